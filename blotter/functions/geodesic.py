@@ -40,35 +40,44 @@ CONVERGENCE_RAD = 1e-9
 _P = "__geo_"  # prefix of temporary columns
 
 
-def _c(name: str) -> Column:
-    return F.col(_P + name)
-
-
-def _trig_step(df: DataFrame) -> DataFrame:
-    """From the current lambda, the terms of one Vincenty step."""
-    f = WGS84_F
-    df = df.withColumns({_P + "sl": F.sin(_c("lam")), _P + "cl": F.cos(_c("lam"))})
-    df = df.withColumns({
-        _P + "ss": F.sqrt(
-            F.pow(_c("cu2") * _c("sl"), 2)
-            + F.pow(_c("cu1") * _c("su2") - _c("su1") * _c("cu2") * _c("cl"), 2)
-        ),
-        _P + "cs": _c("su1") * _c("su2") + _c("cu1") * _c("cu2") * _c("cl"),
-    })
-    df = df.withColumns({
-        _P + "sig": F.atan2(_c("ss"), _c("cs")),
-        _P + "sa": F.when(_c("ss") == 0, F.lit(0.0)).otherwise(
-            _c("cu1") * _c("cu2") * _c("sl") / _c("ss")
-        ),
-    })
-    df = df.withColumn(_P + "c2a", F.lit(1.0) - _c("sa") * _c("sa"))
-    df = df.withColumns({
-        _P + "c2sm": F.when(_c("c2a") == 0, F.lit(0.0)).otherwise(
-            _c("cs") - F.lit(2.0) * _c("su1") * _c("su2") / _c("c2a")
-        ),
-        _P + "cc": F.lit(f / 16) * _c("c2a") * (F.lit(4.0) + F.lit(f) * (F.lit(4.0) - F.lit(3.0) * _c("c2a"))),
-    })
-    return df
+def _d(x: float) -> str:
+    """A double literal in Spark SQL text."""
+    return f"{x!r}D"
+
+
+def _n(name: str) -> str:
+    return f"`{_P}{name}`"
+
+
+# One Vincenty step as SQL text over the temporary columns: three
+# projections (sin/cos of lambda; sigma terms; next lambda). Terms repeated
+# inside a projection are computed once by common-subexpression elimination,
+# which is why divisions are guarded with try_divide/coalesce rather than
+# CASE (branches of a CASE are excluded from elimination).
+_SU1, _CU1, _SU2, _CU2 = _n("su1"), _n("cu1"), _n("su2"), _n("cu2")
+_SL, _CL, _SS, _CS, _LAM = _n("sl"), _n("cl"), _n("ss"), _n("cs"), _n("lam")
+_SIG = f"atan2({_SS}, {_CS})"
+_SA = f"coalesce(try_divide({_CU1} * {_CU2} * {_SL}, {_SS}), 0D)"
+_C2A = f"(1D - {_SA} * {_SA})"
+_C2SM = f"({_CS} - coalesce(try_divide(2D * {_SU1} * {_SU2}, {_C2A}), {_CS}))"
+_CC = f"({_d(WGS84_F / 16)} * {_C2A} * (4D + {_d(WGS84_F)} * (4D - 3D * {_C2A})))"
+_TRIG = {"sl": f"sin({_LAM})", "cl": f"cos({_LAM})"}
+_SIGMA = {
+    "ss": f"sqrt(({_CU2} * {_SL}) * ({_CU2} * {_SL}) + ({_CU1} * {_SU2} - {_SU1} * {_CU2} * {_CL})"
+          f" * ({_CU1} * {_SU2} - {_SU1} * {_CU2} * {_CL}))",
+    "cs": f"{_SU1} * {_SU2} + {_CU1} * {_CU2} * {_CL}",
+}
+_NEXT = {
+    "prev": _LAM,
+    "lam": (f"{_n('L')} + (1D - {_CC}) * {_d(WGS84_F)} * {_SA} * ({_SIG} + {_CC} * {_SS} * "
+            f"({_C2SM} + {_CC} * {_CS} * (-1D + 2D * {_C2SM} * {_C2SM})))"),
+}
+_U2SQ = f"({_C2A} * {_d((WGS84_A ** 2 - WGS84_B ** 2) / WGS84_B ** 2)})"
+_BIG_A = f"(1D + {_U2SQ} / 16384D * (4096D + {_U2SQ} * (-768D + {_U2SQ} * (320D - 175D * {_U2SQ}))))"
+_BIG_B = f"({_U2SQ} / 1024D * (256D + {_U2SQ} * (-128D + {_U2SQ} * (74D - 47D * {_U2SQ}))))"
+_DSIG = (f"({_BIG_B} * {_SS} * ({_C2SM} + {_BIG_B} / 4D * ({_CS} * (-1D + 2D * {_C2SM} * {_C2SM})"
+         f" - {_BIG_B} / 6D * {_C2SM} * (-3D + 4D * {_SS} * {_SS}) * (-3D + 4D * {_C2SM} * {_C2SM}))))")
+_FINAL = {"dist": f"{_d(WGS84_B / 1000.0)} * {_BIG_A} * ({_SIG} - {_DSIG})"}
 
 
 def with_geodesic_km(
@@ -80,50 +89,35 @@ def with_geodesic_km(
     out: str = "distance_km",
     iterations: int = DEFAULT_ITERATIONS,
 ) -> DataFrame:
-    """Add column ``out``: WGS-84 geodesic distance in kilometres."""
-    f, a, b = WGS84_F, WGS84_A, WGS84_B
-    df = df.withColumns({
+    """Add column ``out``: WGS-84 geodesic distance in kilometres.
+
+    Null when any coordinate is null or the iteration has not converged
+    (near-antipodal points). The projection chain is issued as one nested
+    SQL statement over ``df`` -- a single parse and analysis instead of one
+    per step.
+    """
+    f = WGS84_F
+    start = df.withColumns({
         _P + "L": F.radians(as_col(lon2)) - F.radians(as_col(lon1)),
         _P + "u1": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat1)))),
         _P + "u2": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat2)))),
     })
-    df = df.withColumns({
-        _P + "su1": F.sin(_c("u1")), _P + "cu1": F.cos(_c("u1")),
-        _P + "su2": F.sin(_c("u2")), _P + "cu2": F.cos(_c("u2")),
-        _P + "lam": _c("L"),
-    })
-    for _ in range(iterations):
-        df = _trig_step(df)
-        df = df.withColumns({
-            _P + "prev": _c("lam"),
-            _P + "lam": _c("L") + (F.lit(1.0) - _c("cc")) * F.lit(f) * _c("sa") * (
-                _c("sig") + _c("cc") * _c("ss") * (
-                    _c("c2sm") + _c("cc") * _c("cs") * (F.lit(-1.0) + F.lit(2.0) * _c("c2sm") * _c("c2sm"))
-                )
-            ),
-        })
-    converged = F.abs(_c("lam") - _c("prev")) <= F.lit(CONVERGENCE_RAD)
-    df = _trig_step(df)
-    df = df.withColumn(_P + "u2sq", _c("c2a") * F.lit((a * a - b * b) / (b * b)))
-    df = df.withColumns({
-        _P + "A": F.lit(1.0) + _c("u2sq") / F.lit(16384.0) * (
-            F.lit(4096.0) + _c("u2sq") * (F.lit(-768.0) + _c("u2sq") * (F.lit(320.0) - F.lit(175.0) * _c("u2sq")))
-        ),
-        _P + "B": _c("u2sq") / F.lit(1024.0) * (
-            F.lit(256.0) + _c("u2sq") * (F.lit(-128.0) + _c("u2sq") * (F.lit(74.0) - F.lit(47.0) * _c("u2sq")))
-        ),
-    })
-    dsig = _c("B") * _c("ss") * (
-        _c("c2sm") + _c("B") / F.lit(4.0) * (
-            _c("cs") * (F.lit(-1.0) + F.lit(2.0) * _c("c2sm") * _c("c2sm"))
-            - _c("B") / F.lit(6.0) * _c("c2sm")
-            * (F.lit(-3.0) + F.lit(4.0) * _c("ss") * _c("ss"))
-            * (F.lit(-3.0) + F.lit(4.0) * _c("c2sm") * _c("c2sm"))
-        )
-    )
-    dist = F.lit(b / 1000.0) * _c("A") * (_c("sig") - dsig)
-    df = df.withColumn(out, F.when(converged, dist))
-    return df.drop(*[c for c in df.columns if c.startswith(_P)])
+    steps = [{"su1": f"sin({_n('u1')})", "cu1": f"cos({_n('u1')})",
+              "su2": f"sin({_n('u2')})", "cu2": f"cos({_n('u2')})", "lam": _n("L")}]
+    steps += [_TRIG, _SIGMA, _NEXT] * iterations
+    steps += [_TRIG, _SIGMA, _FINAL]
+    keep = [c for c in start.columns if not c.startswith(_P)]
+    temps = [_P + c for c in ("L", "u1", "u2")]
+    query = "{src}"
+    for step in steps:
+        carried = [c for c in temps if c[len(_P):] not in step]
+        cols = [f"`{c}`" for c in keep + carried] + [f"{expr} AS `{_P}{name}`" for name, expr in step.items()]
+        query = f"SELECT {', '.join(cols)} FROM ({query})"
+        temps = carried + [_P + name for name in step if _P + name not in carried]
+    converged = f"abs({_LAM} - {_n('prev')}) <= {_d(CONVERGENCE_RAD)}"
+    cols = [f"`{c}`" for c in keep] + [f"CASE WHEN {converged} THEN {_n('dist')} END AS `{out}`"]
+    query = f"SELECT {', '.join(cols)} FROM ({query})"
+    return df.sparkSession.sql(query, src=start)
 
 
 def haversine_km(lat1: ColumnLike, lon1: ColumnLike, lat2: ColumnLike, lon2: ColumnLike,

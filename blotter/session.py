@@ -27,6 +27,11 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # whole-stage method beyond that runs interpreted. Spark's documentation
+    # recommends this limit on HotSpot so such stages fall back to
+    # per-operator generated code, which is compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
