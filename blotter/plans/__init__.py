@@ -6,7 +6,9 @@ from blotter.plans.income_profile import (
     incidents_with_income,
     ranking_zip_list,
     ranking_zips,
+    year_point_counts,
     zip_descent_counts,
+    zip_descent_totals,
 )
 from blotter.plans.station_profile import firearm_incidents, station_distances, station_profile
 from blotter.plans.top_months import (
@@ -35,5 +37,7 @@ __all__ = [
     "station_profile",
     "top_months_per_year",
     "top_months_per_year_sql",
+    "year_point_counts",
     "zip_descent_counts",
+    "zip_descent_totals",
 ]

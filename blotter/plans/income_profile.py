@@ -7,14 +7,16 @@ Inputs (clean column names):
 * income: ``zip_code`` (int or text), ``income_raw`` (money text) --
   or already-typed ``zip`` / ``income`` columns.
 
-Plan: the year's incidents join the geocoded points on exact (lat, lon)
-and then the income table on the ZIP text -- both lookups are dimension
-tables, broadcast by the planner's size check (at run time, with AQE). The joined rows are reduced at once
-to counts per (zip, income, descent) with map-side partial aggregation, so
-the only shuffle of incident data carries one row per group per task. The
-k ranking ZIPs are chosen from that small table (a k-row limit), applied as
-a broadcast semi-join, relabelled and summed. The grouped table feeds both
-branches through one reused exchange: no driver round trip, one scan.
+Plan: the year's incidents are first reduced to counts per (lat, lon,
+descent) -- counts are additive, and map-side partial aggregation turns a
+hot location into one row per task before anything is shuffled. The
+counts join the geocoded points on exact (lat, lon) and the income table
+on the ZIP text (dimension tables: the planner broadcasts them by size, at
+run time with AQE; a large geocoder falls back to a sort-merge join whose
+skew AQE splits), and are summed per (zip, income, descent). That small
+table feeds both the choice of the k ZIPs (a k-row limit) and the final
+sums; the keys are applied by a broadcast join on the distinct key set,
+so both branches share one exchange and the incidents are scanned once.
 
 Semantics (see README): ZIPs are ranked only among those that have
 incidents in the year after both joins; ``distinct=True`` takes k distinct
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.parsing import INCIDENT_TS_FORMAT, money_to_int, zip5
 from blotter.functions.recode import DESCENT_LABELS, recode
-from blotter.operators.joins import join, semi_join
+from blotter.operators.joins import join
 from blotter.plans.top_months import as_timestamp
 
 
@@ -68,12 +70,34 @@ def zip_descent_counts(joined: DataFrame) -> DataFrame:
     return joined.groupBy("zip", "income", "vict_descent").agg(F.count(F.lit(1)).alias("n"))
 
 
+def year_point_counts(incidents: DataFrame, year: int, fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
+    """Incidents of ``year`` counted per (lat, lon, vict_descent)."""
+    ts = as_timestamp(incidents, "date_occ", fmt)
+    return (incidents
+            .filter(F.col("vict_descent").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+            .filter(F.year(ts) == F.lit(year))
+            .groupBy("lat", "lon", "vict_descent").agg(F.count(F.lit(1)).alias("n")))
+
+
+def zip_descent_totals(incidents: DataFrame, geo: DataFrame, income: DataFrame, year: int,
+                       strategy: str | None = None, fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
+    """Same table as ``zip_descent_counts`` over ``incidents_with_income``,
+    computed from per-point counts (aggregate first, then join)."""
+    pts = year_point_counts(incidents, year, fmt)
+    with_zip = join(pts, clean_geo(geo), ["lat", "lon"], strategy=strategy).drop("lat", "lon")
+    with_income = join(with_zip, clean_income(income), "zip", strategy=strategy)
+    return with_income.groupBy("zip", "income", "vict_descent").agg(F.sum("n").alias("n"))
+
+
 def ranking_zips(per_zip: DataFrame, k: int = 3, end: str = "top", distinct: bool = True) -> DataFrame:
     """The ``zip`` values that the profile keeps (at most k rows)."""
     if end not in ("top", "bottom"):
         raise ValueError("end must be 'top' or 'bottom'")
     by_income = F.desc("income") if end == "top" else F.asc("income")
-    totals = per_zip.groupBy("zip", "income").agg(F.sum("n").alias("rows"))
+    # ZIPs with at least one incident. Using the row totals (rather than a
+    # bare distinct) keeps this branch on the same aggregated subtree as the
+    # final sums, so the two branches share one exchange.
+    totals = per_zip.groupBy("zip", "income").agg(F.sum("n").alias("rows")).filter(F.col("rows") > 0)
     first_k = totals.orderBy(by_income, F.asc("zip")).limit(k)
     if distinct:
         return first_k.select("zip")
@@ -90,9 +114,12 @@ def income_zip_profile(incidents: DataFrame, geo: DataFrame, income: DataFrame,
                        fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
     """``vict_descent, total_victims`` in the k highest (``end="top"``) or
     lowest income ZIPs, largest group first."""
-    per_zip = zip_descent_counts(incidents_with_income(incidents, geo, income, year, strategy, fmt))
+    per_zip = zip_descent_totals(incidents, geo, income, year, strategy, fmt)
     keys = ranking_zips(per_zip, k, end, distinct)
-    kept = semi_join(per_zip, keys, "zip", known_max_rows=k)
+    # ``keys`` holds at most k distinct ZIPs: an inner join with it is a
+    # semi-join, and unlike a semi-join it is not pushed below the
+    # aggregate, so ``per_zip`` stays one shared subtree.
+    kept = per_zip.join(F.broadcast(keys), "zip", "inner")
     return (kept.groupBy(recode("vict_descent", labels).alias("vict_descent"))
             .agg(F.sum("n").alias("total_victims"))
             .orderBy(F.desc("total_victims"), "vict_descent"))
@@ -102,5 +129,5 @@ def ranking_zip_list(incidents: DataFrame, geo: DataFrame, income: DataFrame, ye
                      k: int = 3, end: str = "top", distinct: bool = True,
                      strategy: str | None = None) -> DataFrame:
     """One row, column ``zips``: the sorted array of the chosen ZIPs."""
-    per_zip = zip_descent_counts(incidents_with_income(incidents, geo, income, year, strategy))
+    per_zip = zip_descent_totals(incidents, geo, income, year, strategy)
     return ranking_zips(per_zip, k, end, distinct).agg(F.sort_array(F.collect_list("zip")).alias("zips"))
