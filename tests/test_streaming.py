@@ -1,0 +1,33 @@
+from __future__ import annotations
+
+import shutil
+
+from blotter import plans
+from blotter.session import scratch_path
+from blotter.sources import read_csv
+from blotter.streaming import incident_stream, running_day_band_counts, running_monthly_counts
+
+
+def test_streaming_counts_equal_batch(spark, incident_files, tmp_path):
+    folder = tmp_path / "arriving"
+    folder.mkdir()
+    for f in incident_files:
+        shutil.copy(f, folder)
+    stream = incident_stream(spark, str(folder))
+    bands = (running_day_band_counts(stream).writeStream.outputMode("complete").format("memory")
+             .queryName("blotter_bands").option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+             .start())
+    months = (running_monthly_counts(stream).writeStream.outputMode("complete").format("memory")
+              .queryName("blotter_months").option("checkpointLocation", scratch_path(spark, "stream-ckpt"))
+              .start())
+    try:
+        bands.processAllAvailable()
+        months.processAllAvailable()
+        got = {tuple(r) for r in spark.sql("SELECT * FROM blotter_bands").collect()}
+        got_m = {tuple(r) for r in spark.sql("SELECT * FROM blotter_months").collect()}
+    finally:
+        bands.stop()
+        months.stop()
+    batch = read_csv(spark, list(incident_files), table="incidents")
+    assert got == {tuple(r) for r in plans.day_band_counts(batch).collect()}
+    assert got_m == {tuple(r) for r in plans.monthly_counts(batch, "date_rptd").collect()}
