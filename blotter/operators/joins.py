@@ -33,7 +33,7 @@ STRATEGIES = (None, "auto", "broadcast", "merge", "shuffle_hash")
 
 # Default bound for a broadcast side: dimension tables (stations, ZIP codes,
 # geocoded points) stay far below it; a fact table never does.
-MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 
 _SALT = "__salt"
 
@@ -41,11 +41,12 @@ _SALT = "__salt"
 def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     """True when ``df`` provably has at most ``max_rows`` rows.
 
-    Runs ``take(max_rows + 1)`` on a one-literal projection: the scan reads
-    no payload columns, and Spark stops as soon as one more row than the
-    bound has been found (a large table answers from its first partition).
+    Runs ``take(max_rows + 1)`` on an empty projection: the scan reads no
+    payload columns, and Spark's incremental take stops as soon as one more
+    row than the bound has been found, so a large table answers from its
+    first partitions instead of a full scan.
     """
-    return len(df.select(F.lit(1).alias("one")).take(max_rows + 1)) <= max_rows
+    return len(df.select().take(max_rows + 1)) <= max_rows
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:

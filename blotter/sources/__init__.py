@@ -1,4 +1,5 @@
 from blotter.sources.readers import (
+    FIRST_LINE,
     clean,
     csv_to_parquet,
     header_line,
@@ -14,6 +15,7 @@ from blotter.sources.readers import (
 from blotter.sources.schemas import LAYOUTS, text_schema
 
 __all__ = [
+    "FIRST_LINE",
     "LAYOUTS",
     "clean",
     "csv_to_parquet",

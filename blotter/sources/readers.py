@@ -5,7 +5,7 @@
   such as ``"A ""B"", C"`` neither splits nor shifts later columns.
 * Text lines (``spark.read.text``) parsed with ``from_csv`` for inputs that
   arrive as raw lines: header lines and blank lines are dropped by column
-  predicates, never by a driver round trip.
+  predicates (only the optional first-line header form fetches one line).
 * Parquet, the working format; ``csv_to_parquet`` converts once.
 
 Typed cleaning is separate (``clean``), so every source feeds the same
@@ -61,15 +61,23 @@ def read_text_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     return spark.read.text(path_list)
 
 
-def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: str | None = None,
+FIRST_LINE = object()  # ``header=FIRST_LINE``: the header is the input's first line
+
+
+def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: str | object | None = None,
                     value_col: str = "value") -> DataFrame:
     """Parse CSV text lines into typed columns.
 
     Lines equal to ``header`` (every copy, e.g. one per concatenated file)
     and blank lines are dropped; each remaining line is parsed by
     ``from_csv`` with quote-doubling escapes, so quoted commas stay inside
-    their field. Missing trailing fields come out null.
+    their field. Missing trailing fields come out null. With
+    ``header=FIRST_LINE`` the header text is read from the input's first
+    line (one line fetched to the driver).
     """
+    if header is FIRST_LINE:
+        first = lines.select(value_col).first()
+        header = None if first is None else first[0]
     v = F.col(value_col)
     keep = F.trim(v) != F.lit("")
     if header is not None:

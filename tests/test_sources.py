@@ -71,3 +71,13 @@ def test_sql_over_view_with_bound_frame(spark):
     assert run_sql(spark, "SELECT count(*) AS n FROM blotter_test_view WHERE id < 4").first().n == 4
     df = spark.range(3)
     assert run_sql(spark, "SELECT sum(id) AS s FROM {src}", src=df).first().s == 3
+
+
+def test_text_lines_header_from_first_line(spark, tmp_path):
+    from blotter.sources import FIRST_LINE
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    p = tmp_path / "one.txt"
+    p.write_text("a,b\n1,x\n\n2,y\n")
+    out = parse_csv_lines(read_text_lines(spark, str(p)), schema, header=FIRST_LINE)
+    assert sorted((r.a, r.b) for r in out.collect()) == [(1, "x"), (2, "y")]
