@@ -6,6 +6,7 @@ from blotter.sources.readers import (
     parse_csv_lines,
     read_csv,
     read_parquet,
+    read_table,
     read_text_lines,
     register_view,
     run_sql,
@@ -23,6 +24,7 @@ __all__ = [
     "parse_csv_lines",
     "read_csv",
     "read_parquet",
+    "read_table",
     "read_text_lines",
     "register_view",
     "run_sql",

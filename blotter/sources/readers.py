@@ -86,6 +86,29 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: str | object
     return lines.filter(keep).select(parsed.alias("r")).select("r.*")
 
 
+def read_table(spark: SparkSession, paths: str | Iterable[str], table: str, fmt: str = "csv") -> DataFrame:
+    """Read a known table layout from CSV, raw text lines or Parquet.
+
+    CSV and text give text columns with clean names (type them with
+    ``clean``). For text input each path drops its own header line (its
+    first line), as files of one data set may spell the header differently.
+    Parquet is expected as written by ``csv_to_parquet``.
+    """
+    path_list = [paths] if isinstance(paths, str) else list(paths)
+    if fmt == "csv":
+        return read_csv(spark, path_list, table=table)
+    if fmt == "parquet":
+        return read_parquet(spark, path_list)
+    if fmt == "text":
+        schema = schemas.text_schema(_layout(table))
+        frames = [parse_csv_lines(read_text_lines(spark, p), schema, header=FIRST_LINE) for p in path_list]
+        out = frames[0]
+        for df in frames[1:]:
+            out = out.unionByName(df)
+        return out
+    raise ValueError(f"fmt must be csv, parquet or text, got {fmt!r}")
+
+
 def header_line(columns: list[str]) -> str:
     """The CSV header line that ``write_csv`` produces for ``columns``."""
     out = []
