@@ -67,9 +67,19 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The test table as a DataFrame, loaded once per application (file
+    listing and footers are read once; the DataFrame itself is immutable)."""
     _prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _inc(spark, sf_dir) -> DataFrame:
