@@ -5,7 +5,7 @@
     python -m blotter income-profile  --incidents ... --geo G.csv --income I.csv [--year 2015] [-k 3]
                                       [--end top|bottom] [--rows] [--strategy broadcast|merge|shuffle_hash]
     python -m blotter station-profile --incidents ... --stations S.csv [--strategy ...] [--salt N]
-    python -m blotter csv-to-parquet  --src A.csv B.csv --dst OUT [--table incidents]
+    python -m blotter csv-to-parquet  --src A.csv B.csv --dst OUT [--table incidents] [--typed]
 
 Paths are any Hadoop-supported URI. The result is shown (``--show N``) or
 written as Parquet (``--output``); ``--explain`` prints the physical plan.
@@ -60,7 +60,7 @@ def _station_profile(spark, args) -> DataFrame:
 
 
 def _csv_to_parquet(spark, args) -> DataFrame:
-    return csv_to_parquet(spark, args.src, args.dst, table=args.table)
+    return csv_to_parquet(spark, args.src, args.dst, table=args.table, typed=args.typed)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -112,6 +112,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--src", nargs="+", required=True)
     sp.add_argument("--dst", required=True)
     sp.add_argument("--table", default="incidents")
+    sp.add_argument("--typed", action="store_true", help="store parsed dates/numbers (enables row-group skipping)")
     sp.set_defaults(run=_csv_to_parquet)
     return p
 

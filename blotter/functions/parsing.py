@@ -77,10 +77,12 @@ def month_of(c: ColumnLike) -> Column:
     return F.month(as_col(c))
 
 
-def in_year(c: ColumnLike, year: int) -> Column:
-    """``year(c) = year`` written as a half-open range so Parquet can skip
-    row groups by min/max statistics when ``c`` is a stored timestamp."""
+def in_year(c: ColumnLike, year: int, kind: str = "timestamp") -> Column:
+    """``year(c) = year`` written as a half-open range of literals of the
+    column's own type (``kind``: timestamp, timestamp_ntz or date), so the
+    predicate reaches the Parquet reader and row groups of other years are
+    skipped by their min/max statistics."""
     col = as_col(c)
-    lo = F.make_timestamp(F.lit(year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    hi = F.make_timestamp(F.lit(year + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    lo = F.lit(f"{year:04d}-01-01").cast(kind)
+    hi = F.lit(f"{year + 1:04d}-01-01").cast(kind)
     return (col >= lo) & (col < hi)

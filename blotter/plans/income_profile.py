@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.functions.parsing import INCIDENT_TS_FORMAT, money_to_int, zip5
+from blotter.functions.parsing import INCIDENT_TS_FORMAT, in_year, money_to_int, zip5
 from blotter.functions.recode import DESCENT_LABELS, recode
 from blotter.operators.joins import join
 from blotter.plans.top_months import as_timestamp
@@ -55,12 +55,10 @@ def incidents_with_income(incidents: DataFrame, geo: DataFrame, income: DataFram
                           keep: tuple[str, ...] = ()) -> DataFrame:
     """Incident rows of ``year`` with their ZIP and the ZIP's income
     (columns ``vict_descent, zip, income`` plus ``keep``)."""
-    ts = as_timestamp(incidents, "date_occ", fmt)
     inc = (incidents
            .filter(F.col("vict_descent").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-           .select(*keep, "vict_descent", "lat", "lon", ts.alias("_ts"))
-           .filter(F.year("_ts") == F.lit(year))
-           .drop("_ts"))
+           .filter(_year_filter(incidents, "date_occ", year, fmt))
+           .select(*keep, "vict_descent", "lat", "lon"))
     with_zip = join(inc, clean_geo(geo), ["lat", "lon"], strategy=strategy).drop("lat", "lon")
     return join(with_zip, clean_income(income), "zip", strategy=strategy)
 
@@ -70,12 +68,18 @@ def zip_descent_counts(joined: DataFrame) -> DataFrame:
     return joined.groupBy("zip", "income", "vict_descent").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _year_filter(incidents: DataFrame, column: str, year: int, fmt: str):
+    kind = dict(incidents.dtypes)[column]
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return in_year(column, year, kind)  # stored dates: pushed to the scan
+    return F.year(as_timestamp(incidents, column, fmt)) == F.lit(year)
+
+
 def year_point_counts(incidents: DataFrame, year: int, fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
     """Incidents of ``year`` counted per (lat, lon, vict_descent)."""
-    ts = as_timestamp(incidents, "date_occ", fmt)
     return (incidents
             .filter(F.col("vict_descent").isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
-            .filter(F.year(ts) == F.lit(year))
+            .filter(_year_filter(incidents, "date_occ", year, fmt))
             .groupBy("lat", "lon", "vict_descent").agg(F.count(F.lit(1)).alias("n")))
 
 

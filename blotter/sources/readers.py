@@ -134,17 +134,32 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists",
 
 def csv_to_parquet(spark: SparkSession, src: str | Iterable[str], dst: str,
                    table: str | None = None, schema: T.StructType | None = None,
-                   mode: str = "errorifexists") -> DataFrame:
-    """Convert CSV to Parquet in one distributed pass; returns the Parquet view."""
-    write_parquet(read_csv(spark, src, table=table, schema=schema), dst, mode=mode)
+                   mode: str = "errorifexists", typed: bool = False) -> DataFrame:
+    """Convert CSV to Parquet in one distributed pass; returns the Parquet view.
+
+    With ``typed=True`` (a known ``table`` layout) dates, codes and
+    coordinates are stored parsed, so later scans can skip row groups by
+    their min/max statistics (e.g. a year range on ``date_occ``).
+    """
+    df = read_csv(spark, src, table=table, schema=schema)
+    if typed:
+        if table is None:
+            raise ValueError("typed conversion needs a known table layout")
+        df = clean(df, table)
+    write_parquet(df, dst, mode=mode)
     return spark.read.parquet(dst)
 
 
 def clean(df: DataFrame, table: str) -> DataFrame:
-    """Convert a text-typed table of a known layout to its typed form."""
+    """Convert a text-typed table of a known layout to its typed form.
+
+    Columns that are already typed (e.g. read from typed Parquet) are left
+    as they are, so ``clean`` can be applied to any source.
+    """
     conv = {}
+    types = dict(df.dtypes)
     for name, dtype in schemas.TYPES[table].items():
-        if name not in df.columns:
+        if name not in df.columns or types[name] != "string":
             continue
         if isinstance(dtype, T.TimestampType):
             conv[name] = parsing.parse_timestamp(name)

@@ -94,3 +94,23 @@ def test_q4_duplicate_station_fails(spark, incidents):
                                      "x double, y double, division string, prec int")
     with pytest.raises(Exception, match="duplicate"):
         plans.station_profile(clean(incidents, "incidents"), stations).collect()
+
+
+def test_q3_on_typed_parquet_pushes_the_year_range(spark, incident_files, geo, income):
+    from blotter.session import scratch_path
+    from blotter.sources import csv_to_parquet
+
+    typed = csv_to_parquet(spark, list(incident_files), scratch_path(spark, "typed-etl"), table="incidents",
+                           typed=True)
+    assert dict(typed.dtypes)["date_occ"] == "timestamp"
+    counts = plans.year_point_counts(typed, 2015)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(date_occ" in plan and "LessThan(date_occ" in plan
+    text = read_csv(spark, list(incident_files), table="incidents")
+    for end in ("top", "bottom"):
+        assert _rows(plans.income_zip_profile(typed, geo, income, year=2015, k=1, end=end)) == _rows(
+            plans.income_zip_profile(text, geo, income, year=2015, k=1, end=end))
