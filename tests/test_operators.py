@@ -131,3 +131,18 @@ def test_union_by_position(spark):
     assert out.columns == ["id", "s"] and out.count() == 3
     with pytest.raises(ValueError):
         union_by_position(a, spark.range(1))
+
+
+def test_salting_spreads_a_hot_key(spark):
+    from blotter.operators.joins import _SALT
+
+    hot = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 10 < 5, 7).otherwise(F.col("id") % 50)
+                                   .cast("int").alias("prec"))  # key 7 holds over half of the rows
+    dims = spark.range(50).select(F.col("id").cast("int").alias("prec"), F.concat(F.lit("d"), F.col("id")).alias("division"))
+    plain = _rows(hot.join(dims, "prec").select("id", "prec", "division"))
+    salted = join(hot, dims, "prec", strategy="merge", salt=8)
+    assert _rows(salted.select("id", "prec", "division")) == plain
+    buckets = (hot.filter("prec = 7").select(F.pmod(F.xxhash64("id", "prec"), F.lit(8)).alias(_SALT))
+               .groupBy(_SALT).count().collect())
+    assert len(buckets) == 8 and max(r["count"] for r in buckets) < 0.25 * sum(r["count"] for r in buckets)
+    assert _SALT in _plan(salted)
