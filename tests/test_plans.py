@@ -20,7 +20,7 @@ def _rows(df):
     return [tuple(r) for r in df.collect()]
 
 
-def test_q1_dataframe_equals_sql_and_drops_bad_dates(spark, incidents):
+def test_top_months_dataframe_equals_sql_and_drops_bad_dates(spark, incidents):
     a = plans.top_months_per_year(incidents, "date_rptd", n=3)
     b = plans.top_months_per_year_sql(spark, incidents, "date_rptd", n=3)
     assert _rows(a) == _rows(b)
@@ -35,7 +35,7 @@ def test_q1_on_typed_timestamps(spark, incidents):
         plans.top_months_per_year(incidents, "date_rptd"))
 
 
-def test_q2_dataframe_equals_sql_and_counts_add_up(spark, incidents):
+def test_day_bands_dataframe_equals_sql_and_counts_add_up(spark, incidents):
     a = plans.day_band_counts(incidents)
     b = plans.day_band_counts_sql(spark, incidents)
     assert _rows(a) == _rows(b)
