@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.bands import BAND_BOUNDS, GREEK_LABELS, day_band
-from blotter.functions.parsing import to_int
-from blotter.operators.aggregates import count_by
 
 
 def band_labels(df: DataFrame, time_col: str = "time_occ", labels=GREEK_LABELS,
@@ -25,11 +23,13 @@ def day_band_counts(df: DataFrame, time_col: str = "time_occ", premis_col: str =
                     premis: str = "STREET", labels=GREEK_LABELS) -> DataFrame:
     """``time_of_day, crime_total`` for rows at ``premis``, most frequent
     band first. Rows with a missing or non-numeric time are dropped."""
-    t = to_int(time_col)
+    # A missing or non-numeric time gives a null label; that group counts 0
+    # labelled rows and is dropped after the aggregation (a filter on the
+    # label before it would be pushed down and evaluate the CASE twice).
     rows = (df.filter(F.col(premis_col) == F.lit(premis))
-            .select(t.alias("_t")).filter(F.col("_t").isNotNull())
-            .select(day_band("_t", labels).alias("time_of_day")))
-    return count_by(rows, "time_of_day").orderBy(F.desc("crime_total"), "time_of_day")
+            .select(day_band(time_col, labels).alias("time_of_day")))
+    counts = rows.groupBy("time_of_day").agg(F.count("time_of_day").alias("crime_total"))
+    return counts.filter(F.col("crime_total") > 0).orderBy(F.desc("crime_total"), "time_of_day")
 
 
 _DAY_BANDS_SQL = """
@@ -38,16 +38,16 @@ WITH categorized_times AS (
              WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {m0} AND {m1} THEN :l0
              WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {a0} AND {a1} THEN :l1
              WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {e0} AND {e1} THEN :l2
-             ELSE :l3
+             WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) IS NOT NULL THEN :l3
            END AS time_of_day
     FROM {{src}}
-    WHERE try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) IS NOT NULL
-      AND `{premis_col}` = :premis
+    WHERE `{premis_col}` = :premis
 ),
 crime_counts AS (
-    SELECT time_of_day, count(*) AS crime_total
+    SELECT time_of_day, count(time_of_day) AS crime_total
     FROM categorized_times
     GROUP BY time_of_day
+    HAVING count(time_of_day) > 0
 )
 SELECT time_of_day, crime_total
 FROM crime_counts

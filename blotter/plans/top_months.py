@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from blotter.functions.parsing import INCIDENT_TS_FORMAT, parse_timestamp
-from blotter.operators.aggregates import count_by
 from blotter.operators.ranking import rank_within, top_n_per_group
 
 
@@ -29,11 +28,18 @@ def as_timestamp(df: DataFrame, column: str, fmt: str = INCIDENT_TS_FORMAT) -> C
 
 def monthly_counts(df: DataFrame, ts_col: str = "date_rptd", fmt: str = INCIDENT_TS_FORMAT,
                    out: str = "crime_total") -> DataFrame:
-    """Rows per (year, month); rows without a valid date are dropped."""
+    """Rows per (year, month); rows without a valid date are dropped.
+
+    Invalid dates fall into one (null, null) group whose count of valid
+    timestamps is 0, dropped after the aggregation. Filtering on the parsed
+    value before aggregating would be pushed below the projection and parse
+    every date twice.
+    """
     ts = as_timestamp(df, ts_col, fmt)
-    months = (df.select(ts.alias("_ts")).filter(F.col("_ts").isNotNull())
-              .select(F.year("_ts").alias("year"), F.month("_ts").alias("month")))
-    return count_by(months, ["year", "month"], out)
+    months = df.select(ts.alias("_ts")).select(
+        F.year("_ts").alias("year"), F.month("_ts").alias("month"), "_ts")
+    counts = months.groupBy("year", "month").agg(F.count("_ts").alias(out))
+    return counts.filter(F.col(out) > 0)
 
 
 def monthly_rank(df: DataFrame, ts_col: str = "date_rptd", fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
@@ -51,15 +57,17 @@ def top_months_per_year(df: DataFrame, ts_col: str = "date_rptd", n: int = 3,
 
 
 _TOP_MONTHS_SQL = """
-WITH valid_dates AS (
+WITH parsed_dates AS (
     SELECT try_to_timestamp(`{ts_col}`, :fmt) AS date_reported
     FROM {{src}}
-    WHERE try_to_timestamp(`{ts_col}`, :fmt) IS NOT NULL
 ),
 crime_counts AS (
-    SELECT year(date_reported) AS year, month(date_reported) AS month, count(*) AS crime_total
-    FROM valid_dates
+    -- count(date_reported) counts valid dates only; the group of invalid
+    -- ones has 0 and is dropped, so each date is parsed once
+    SELECT year(date_reported) AS year, month(date_reported) AS month, count(date_reported) AS crime_total
+    FROM parsed_dates
     GROUP BY year(date_reported), month(date_reported)
+    HAVING count(date_reported) > 0
 ),
 ranked_crimes AS (
     SELECT year, month, crime_total,
