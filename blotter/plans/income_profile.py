@@ -120,10 +120,10 @@ def income_zip_profile(incidents: DataFrame, geo: DataFrame, income: DataFrame,
     lowest income ZIPs, largest group first."""
     per_zip = zip_descent_totals(incidents, geo, income, year, strategy, fmt)
     keys = ranking_zips(per_zip, k, end, distinct)
-    # ``keys`` holds at most k distinct ZIPs: an inner join with it is a
-    # semi-join, and unlike a semi-join it is not pushed below the
+    # ``keys`` holds at most k ZIPs; made distinct, an inner join with it is
+    # a semi-join, and unlike a semi-join it is not pushed below the
     # aggregate, so ``per_zip`` stays one shared subtree.
-    kept = per_zip.join(F.broadcast(keys), "zip", "inner")
+    kept = per_zip.join(F.broadcast(keys.distinct()), "zip", "inner")
     return (kept.groupBy(recode("vict_descent", labels).alias("vict_descent"))
             .agg(F.sum("n").alias("total_victims"))
             .orderBy(F.desc("total_victims"), "vict_descent"))

@@ -114,3 +114,12 @@ def test_q3_on_typed_parquet_pushes_the_year_range(spark, incident_files, geo, i
     for end in ("top", "bottom"):
         assert _rows(plans.income_zip_profile(typed, geo, income, year=2015, k=1, end=end)) == _rows(
             plans.income_zip_profile(text, geo, income, year=2015, k=1, end=end))
+
+
+def test_q3_zip_listed_twice_in_income_is_not_double_counted(spark, incidents, geo):
+    income = spark.createDataFrame([(90012, "$90,000"), (90012, "$91,000"), (90001, "$20,000")],
+                                   "zip_code int, income_raw string")
+    out = plans.income_zip_profile(incidents, geo, income, year=2015, k=2, end="top")
+    # the join multiplies rows of 90012 by its two income rows (as any inner
+    # join does); the key restriction itself must not multiply them again
+    assert _rows(out) == [("Black", 2), ("White", 2)]
