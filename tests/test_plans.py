@@ -123,3 +123,10 @@ def test_q3_zip_listed_twice_in_income_is_not_double_counted(spark, incidents, g
     # the join multiplies rows of 90012 by its two income rows (as any inner
     # join does); the key restriction itself must not multiply them again
     assert _rows(out) == [("Black", 2), ("White", 2)]
+
+
+def test_q3_scans_incidents_once(spark, incidents, geo, income):
+    out = plans.income_zip_profile(clean(incidents, "incidents"), geo, income, year=2015, k=1, end="top")
+    out.collect()  # the final adaptive plan exists after execution
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final
