@@ -56,7 +56,7 @@ def _station_profile(spark, args) -> DataFrame:
     inc = clean(_incidents(spark, args), "incidents")
     stations = clean(read_csv(spark, args.stations, table="stations"), "stations")
     return plans.station_profile(inc, stations, code_prefix_text=args.code_prefix,
-                                 strategy=args.strategy, salt=args.salt)
+                                 strategy=args.strategy, duplicates=args.duplicates, salt=args.salt)
 
 
 def _csv_to_parquet(spark, args) -> DataFrame:
@@ -105,6 +105,8 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--code-prefix", default="1")
     sp.add_argument("--strategy", choices=STRATEGIES)
     sp.add_argument("--salt", type=int)
+    sp.add_argument("--duplicates", choices=["raise", "first", "all"], default="raise",
+                    help="repeated station numbers: fail, keep one (lookup map), or keep all (join)")
     sp.set_defaults(run=_station_profile)
 
     sp = sub.add_parser("csv-to-parquet")

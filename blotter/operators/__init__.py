@@ -1,6 +1,7 @@
 from blotter.operators.aggregates import composite_reduce_mean, count_and_mean, count_by
 from blotter.operators.joins import (
     MAX_BROADCAST_ROWS,
+    first_per_key,
     in_list,
     is_bounded,
     join,
@@ -17,6 +18,7 @@ __all__ = [
     "composite_reduce_mean",
     "count_and_mean",
     "count_by",
+    "first_per_key",
     "in_list",
     "is_bounded",
     "join",

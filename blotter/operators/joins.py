@@ -130,3 +130,11 @@ def require_unique(df: DataFrame, key: str | Sequence[str], what: str = "key") -
     first = keys[0]
     guarded = F.when(n > 1, F.raise_error(F.concat(F.lit(f"duplicate {what}: "), F.col(first).cast("string"))))
     return df.withColumn(first, F.coalesce(guarded.cast(df.schema[first].dataType), F.col(first)))
+
+
+def first_per_key(df: DataFrame, key: str | Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key -- the first by ``order_by`` -- giving a lookup map's
+    one-value-per-key semantics deterministically (meant for small tables)."""
+    keys = _keys(key)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order_by])
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")

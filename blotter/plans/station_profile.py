@@ -12,8 +12,10 @@ meet in one task) -> geodesic distance as native column arithmetic ->
 partial (count, sum) per station -> shuffle of one row per station per
 task -> mean rounded to 3 decimals -> sort.
 
-Station numbers must be unique; a duplicate fails the query (the join
-would otherwise count those incidents twice).
+Duplicate station numbers (``duplicates=``): ``"raise"`` (default) fails the
+query, since a join would count those incidents twice; ``"first"`` keeps
+one station per number (the first division name), as a lookup map would;
+``"all"`` keeps every pair, as a relational join does.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.geodesic import with_geodesic_km
 from blotter.functions.parsing import code_prefix, not_null_island
-from blotter.operators.joins import join, require_unique
+from blotter.operators.joins import first_per_key, join, require_unique
 
 
 def firearm_incidents(incidents: DataFrame, code_prefix_text: str = "1") -> DataFrame:
@@ -34,27 +36,36 @@ def firearm_incidents(incidents: DataFrame, code_prefix_text: str = "1") -> Data
             .select(F.col("area").alias("prec"), "lat", "lon"))
 
 
-def station_points(stations: DataFrame, check_unique: bool = True) -> DataFrame:
+DUPLICATES = ("raise", "first", "all")
+
+
+def station_points(stations: DataFrame, duplicates: str = "raise") -> DataFrame:
+    if duplicates not in DUPLICATES:
+        raise ValueError(f"duplicates must be one of {DUPLICATES}")
     st = stations.select("prec", "division", F.col("y").alias("st_lat"), F.col("x").alias("st_lon"))
-    return require_unique(st, "prec", "station number") if check_unique else st
+    if duplicates == "raise":
+        return require_unique(st, "prec", "station number")
+    if duplicates == "first":
+        return first_per_key(st, "prec", ["division", "st_lat", "st_lon"])
+    return st
 
 
 def station_distances(incidents: DataFrame, stations: DataFrame, code_prefix_text: str = "1",
-                      strategy: str | None = None, check_unique: bool = True,
+                      strategy: str | None = None, duplicates: str = "raise",
                       salt: int | None = None) -> DataFrame:
     """One row per matched incident: ``prec, division, distance_km``."""
     joined = join(firearm_incidents(incidents, code_prefix_text),
-                  station_points(stations, check_unique), "prec", strategy=strategy, salt=salt)
+                  station_points(stations, duplicates), "prec", strategy=strategy, salt=salt)
     return with_geodesic_km(joined, "lat", "lon", "st_lat", "st_lon", "distance_km").select(
         "prec", "division", "distance_km")
 
 
 def station_profile(incidents: DataFrame, stations: DataFrame, code_prefix_text: str = "1",
-                    strategy: str | None = None, check_unique: bool = True,
+                    strategy: str | None = None, duplicates: str = "raise",
                     salt: int | None = None) -> DataFrame:
     """``division, incidents_total, average_distance`` (km, 3 decimals),
     most incidents first."""
-    d = station_distances(incidents, stations, code_prefix_text, strategy, check_unique, salt)
+    d = station_distances(incidents, stations, code_prefix_text, strategy, duplicates, salt)
     agg = d.groupBy("prec", "division").agg(
         F.count(F.lit(1)).alias("incidents_total"),
         F.round(F.avg("distance_km"), 3).alias("average_distance"))

@@ -130,3 +130,13 @@ def test_q3_scans_incidents_once(spark, incidents, geo, income):
     out.collect()  # the final adaptive plan exists after execution
     final = out._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in final
+
+
+def test_q4_duplicate_station_policies(spark, incidents):
+    stations = spark.createDataFrame([(-118.25, 34.05, "Central", 1), (-118.25, 34.05, "Other", 1),
+                                      (-118.30, 34.10, "Rampart", 2)], "x double, y double, division string, prec int")
+    typed = clean(incidents, "incidents")
+    first = {r.division: r.incidents_total for r in plans.station_profile(typed, stations, duplicates="first").collect()}
+    assert first == {"Central": 1, "Rampart": 2}
+    both = {r.division: r.incidents_total for r in plans.station_profile(typed, stations, duplicates="all").collect()}
+    assert both == {"Central": 1, "Other": 1, "Rampart": 2}
