@@ -383,6 +383,16 @@ def q_station_profile_merge(spark, sf_dir):
     return plans.station_profile(_inc_union(spark, sf_dir), _stations(spark, sf_dir), strategy="merge")
 
 
+def q_station_profile_map_lookup(spark, sf_dir):
+    """Repeated station numbers resolved as a lookup map: one station each."""
+    return plans.station_profile(_inc_union(spark, sf_dir), _stations_dup(spark, sf_dir), duplicates="first")
+
+
+def q_station_profile_all_pairs(spark, sf_dir):
+    """Repeated station numbers kept, as a relational join does."""
+    return plans.station_profile(_inc_union(spark, sf_dir), _stations_dup(spark, sf_dir), duplicates="all")
+
+
 def q_result_size(spark, sf_dir):
     return q_station_profile(spark, sf_dir).select(F.count(F.lit(1)).alias("n_rows"))
 
@@ -428,6 +438,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "station_profile": q_station_profile,
     "station_profile_broadcast": q_station_profile_broadcast,
     "station_profile_merge": q_station_profile_merge,
+    "station_profile_map_lookup": q_station_profile_map_lookup,
+    "station_profile_all_pairs": q_station_profile_all_pairs,
     "result_size": q_result_size,
 }
 

@@ -201,16 +201,30 @@ SELECT string_agg(zip, ',' ORDER BY zip) AS zips FROM keys
 """
 
 
-def _station_profile() -> str:
-    firearm = """
+STATIONS_DUP_POINTS = """
+stations_dup_points AS (
+    SELECT prec, division, st_lat, st_lon FROM stations
+    UNION ALL
+    SELECT prec, division || '_B', st_lat, st_lon FROM stations WHERE prec % 5 = 0
+)"""
+
+STATIONS_FIRST = """
+stations_first AS (
+    SELECT prec, min(division) AS division, any_value(st_lat) AS st_lat, any_value(st_lon) AS st_lon
+    FROM stations_dup_points GROUP BY prec
+)"""
+
+
+def _station_profile(source: str = "stations", extra: tuple[str, ...] = ()) -> str:
+    firearm = f"""
 pairs AS (
     SELECT s.prec, s.division, i.lat, i.lon, s.st_lat, s.st_lon
-    FROM inc i JOIN stations s ON i.area = s.prec
+    FROM inc i JOIN {source} s ON i.area = s.prec
     WHERE i.weapon_cd IS NOT NULL AND CAST(i.weapon_cd AS VARCHAR) LIKE '1%'
       AND i.lat IS NOT NULL AND i.lon IS NOT NULL AND (i.lat <> 0 OR i.lon <> 0)
 )"""
     ctes, last = _vincenty_ctes("pairs", ["prec", "division"], "lat", "lon", "st_lat", "st_lon")
-    return _with(INC, STATIONS, firearm, *ctes) + f"""
+    return _with(INC, STATIONS, *extra, firearm, *ctes) + f"""
 SELECT division, count(*) AS incidents_total, round(avg(distance_km), 3) AS average_distance
 FROM {last} GROUP BY prec, division ORDER BY 2 DESC, 1
 """
@@ -346,6 +360,8 @@ FROM inc i JOIN stations s ON i.area = s.prec
     "station_profile": _station_profile(),
     "station_profile_broadcast": _station_profile(),
     "station_profile_merge": _station_profile(),
+    "station_profile_map_lookup": _station_profile("stations_first", (STATIONS_DUP_POINTS, STATIONS_FIRST)),
+    "station_profile_all_pairs": _station_profile("stations_dup_points", (STATIONS_DUP_POINTS,)),
     "result_size": _with(INC, STATIONS) + """
 SELECT count(*) AS n_rows FROM (
     SELECT DISTINCT s.prec FROM inc i JOIN stations s ON i.area = s.prec
