@@ -8,7 +8,6 @@ caller builds the session with the cluster's own settings.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,12 +80,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/blotter/{name}-{uuid.uuid4().hex}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs a plain local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.normpath(path)
