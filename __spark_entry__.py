@@ -157,7 +157,7 @@ def q_sql_over_view(spark, sf_dir):
         ),
         per_group AS (
             SELECT o_orderpriority, order_year, count(*) AS n_orders,
-                   round(sum(o_totalprice), 2) AS total_price
+                   CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price
             FROM dated
             GROUP BY o_orderpriority, order_year
         )
@@ -347,10 +347,14 @@ def q_group_count_avg(spark, sf_dir):
 
 
 def q_composite_reduce_mean(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").withColumn("flag_lower", F.lower("l_returnflag"))
-    out = composite_reduce_mean(li, "l_returnflag", "l_extendedprice", carry="flag_lower",
+    # prices carry two decimals: summed exactly as DECIMAL, so the result
+    # does not depend on how rows are spread over tasks
+    li = _t(spark, sf_dir, "lineitem").select(
+        "l_returnflag", F.lower("l_returnflag").alias("flag_lower"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"))
+    out = composite_reduce_mean(li, "l_returnflag", "price", carry="flag_lower",
                                 count_out="n_rows", sum_out="total_price", mean_out="mean_price")
-    return out.withColumn("total_price", F.round("total_price", 2))
+    return out.withColumn("total_price", F.col("total_price").cast("double"))
 
 
 # ---------------------------------------------------------------- Q4 pieces

@@ -35,10 +35,11 @@ def composite_reduce_mean(df: DataFrame, keys: str | Sequence[str], value: str,
                           carry: str | None = None, count_out: str = "n", sum_out: str = "total",
                           mean_out: str = "mean", decimals: int = 3) -> DataFrame:
     """One pass computing (carried value, count, sum) per key, then the mean
-    as sum / count. ``carry`` is any value of the group; put it in ``keys``
-    instead when a deterministic value is needed."""
+    as sum / count in double precision. ``carry`` is any value of the group;
+    put it in ``keys`` instead when a deterministic value is needed. Pass a
+    decimal ``value`` for an exact, order-independent sum."""
     aggs = [F.count(F.lit(1)).alias(count_out), F.sum(value).alias(sum_out)]
     if carry:
         aggs.insert(0, F.any_value(carry).alias(carry))
     out = df.groupBy(*_keys(keys)).agg(*aggs)
-    return out.withColumn(mean_out, F.round(F.col(sum_out) / F.col(count_out), decimals))
+    return out.withColumn(mean_out, F.round(F.col(sum_out).cast("double") / F.col(count_out), decimals))

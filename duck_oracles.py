@@ -258,7 +258,7 @@ ORACLES: dict[str, str] = {
     "text_line_parse": CUSTOMER_NOTES,
     "sql_over_view": """
 SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_orders,
-       round(sum(o_totalprice), 2) AS total_price
+       CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price
 FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2
 """,
     "union_by_position": """
@@ -345,8 +345,8 @@ SELECT l_returnflag, count(*) AS n_rows, round(avg(l_quantity), 3) AS avg_qty FR
 """,
     "composite_reduce_mean": """
 SELECT l_returnflag, lower(l_returnflag) AS flag_lower, count(*) AS n_rows,
-       round(sum(l_extendedprice), 2) AS total_price,
-       round(sum(l_extendedprice) / count(*), 3) AS mean_price
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price,
+       round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) / count(*), 3) AS mean_price
 FROM lineitem GROUP BY 1
 """,
     "geodesic_km": _geodesic_rows(),
