@@ -58,6 +58,26 @@ def build_session(
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, from the input size and the cluster's cores.
+
+    Scan splits of ``target_partition_bytes``; the initial shuffle width is
+    sized so that each reducer's share of a full shuffle of the input stays
+    near the target (at least three waves of tasks), and AQE coalesces the
+    partitions that turn out small -- the reports shuffle far less than
+    their input after partial aggregation.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **REQUIRED_CONF,
+        **SCALE_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20)),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
