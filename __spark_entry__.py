@@ -339,6 +339,11 @@ def q_profile_top_income_rows(spark, sf_dir):
     return _profile(spark, sf_dir, "top", False)
 
 
+def q_profile_both_ends(spark, sf_dir):
+    return plans.income_zip_profiles(_inc(spark, sf_dir), _geo(spark, sf_dir), _income(spark, sf_dir),
+                                     year=Q3_YEAR, k=3)
+
+
 # ---------------------------------------------------------------- aggregates
 
 def q_group_count_avg(spark, sf_dir):
@@ -439,6 +444,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_top_income_zips": q_profile_top_income_zips,
     "profile_bottom_income_zips": q_profile_bottom_income_zips,
     "profile_top_income_rows": q_profile_top_income_rows,
+    "profile_both_ends": q_profile_both_ends,
     "station_profile": q_station_profile,
     "station_profile_broadcast": q_station_profile_broadcast,
     "station_profile_merge": q_station_profile_merge,

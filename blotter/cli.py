@@ -3,7 +3,7 @@
     python -m blotter top-months      --incidents A.csv B.csv [--format csv|parquet|text] [--sql] [-n 3]
     python -m blotter day-bands       --incidents ... [--sql] [--premis STREET]
     python -m blotter income-profile  --incidents ... --geo G.csv --income I.csv [--year 2015] [-k 3]
-                                      [--end top|bottom] [--rows] [--strategy broadcast|merge|shuffle_hash]
+                                      [--end top|bottom|both] [--rows] [--strategy broadcast|merge|shuffle_hash]
     python -m blotter station-profile --incidents ... --stations S.csv [--strategy ...] [--salt N]
     python -m blotter csv-to-parquet  --src A.csv B.csv --dst OUT [--table incidents] [--typed]
 
@@ -48,6 +48,9 @@ def _income_profile(spark, args) -> DataFrame:
     inc = clean(_incidents(spark, args), "incidents")
     geo = clean(read_csv(spark, args.geo, table="geo"), "geo")
     income = clean(read_csv(spark, args.income, table="income"), "income")
+    if args.end == "both":
+        return plans.income_zip_profiles(inc, geo, income, year=args.year, k=args.k,
+                                         distinct=not args.rows, strategy=args.strategy)
     return plans.income_zip_profile(inc, geo, income, year=args.year, k=args.k, end=args.end,
                                     distinct=not args.rows, strategy=args.strategy)
 
@@ -94,7 +97,7 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--income", nargs="+", required=True)
     sp.add_argument("--year", type=int, default=2015)
     sp.add_argument("-k", type=int, default=3)
-    sp.add_argument("--end", choices=["top", "bottom"], default="top")
+    sp.add_argument("--end", choices=["top", "bottom", "both"], default="both")
     sp.add_argument("--rows", action="store_true", help="rank incident rows, not distinct ZIPs")
     sp.add_argument("--strategy", choices=STRATEGIES)
     sp.set_defaults(run=_income_profile)

@@ -3,6 +3,7 @@ from blotter.plans.income_profile import (
     clean_geo,
     clean_income,
     income_zip_profile,
+    income_zip_profiles,
     incidents_with_income,
     ranking_zip_list,
     ranking_zips,
@@ -28,6 +29,7 @@ __all__ = [
     "day_band_counts_sql",
     "firearm_incidents",
     "income_zip_profile",
+    "income_zip_profiles",
     "incidents_with_income",
     "monthly_counts",
     "monthly_rank",

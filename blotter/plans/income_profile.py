@@ -129,6 +129,22 @@ def income_zip_profile(incidents: DataFrame, geo: DataFrame, income: DataFrame,
             .orderBy(F.desc("total_victims"), "vict_descent"))
 
 
+def income_zip_profiles(incidents: DataFrame, geo: DataFrame, income: DataFrame, year: int = 2015,
+                        k: int = 3, distinct: bool = True, strategy: str | None = None,
+                        labels=DESCENT_LABELS, fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
+    """Both reports in one job: ``end, vict_descent, total_victims`` for
+    ``end`` = ``"top"`` and ``"bottom"``, from a single aggregated subtree
+    (the incidents are scanned once for both ends)."""
+    per_zip = zip_descent_totals(incidents, geo, income, year, strategy, fmt)
+    keys = (ranking_zips(per_zip, k, "top", distinct).distinct().withColumn("end", F.lit("top"))
+            .unionByName(ranking_zips(per_zip, k, "bottom", distinct).distinct().withColumn("end", F.lit("bottom"))))
+    # at most 2k (zip, end) rows; a ZIP in both ends feeds both reports
+    kept = per_zip.join(F.broadcast(keys), "zip", "inner")
+    return (kept.groupBy("end", recode("vict_descent", labels).alias("vict_descent"))
+            .agg(F.sum("n").alias("total_victims"))
+            .orderBy(F.desc("end"), F.desc("total_victims"), "vict_descent"))
+
+
 def ranking_zip_list(incidents: DataFrame, geo: DataFrame, income: DataFrame, year: int = 2015,
                      k: int = 3, end: str = "top", distinct: bool = True,
                      strategy: str | None = None) -> DataFrame:

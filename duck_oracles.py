@@ -195,6 +195,22 @@ GROUP BY 1 ORDER BY 2 DESC, 1
 """
 
 
+def _profile_both() -> str:
+    keys = """
+keys AS (
+    SELECT zip, 'top' AS "end" FROM (
+        SELECT zip FROM (SELECT DISTINCT zip, income FROM joined) ORDER BY income DESC, zip LIMIT 3)
+    UNION ALL
+    SELECT zip, 'bottom' AS "end" FROM (
+        SELECT zip FROM (SELECT DISTINCT zip, income FROM joined) ORDER BY income ASC, zip LIMIT 3)
+)"""
+    return _with(INC, GEO, INCOME, JOINED_1997, keys) + f"""
+SELECT k."end" AS "end", {_recode_case('j.vict_descent')} AS vict_descent, count(*) AS total_victims
+FROM joined j JOIN keys k ON j.zip = k.zip
+GROUP BY 1, 2 ORDER BY 1 DESC, 3 DESC, 2
+"""
+
+
 def _key_list(end: str) -> str:
     return _with(INC, GEO, INCOME, JOINED_1997, _top_keys(end)) + """
 SELECT string_agg(zip, ',' ORDER BY zip) AS zips FROM keys
@@ -357,6 +373,7 @@ FROM inc i JOIN stations s ON i.area = s.prec
     "profile_top_income_zips": _profile("top", True),
     "profile_bottom_income_zips": _profile("bottom", True),
     "profile_top_income_rows": _profile("top", False),
+    "profile_both_ends": _profile_both(),
     "station_profile": _station_profile(),
     "station_profile_broadcast": _station_profile(),
     "station_profile_merge": _station_profile(),

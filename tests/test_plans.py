@@ -140,3 +140,13 @@ def test_q4_duplicate_station_policies(spark, incidents):
     assert first == {"Central": 1, "Rampart": 2}
     both = {r.division: r.incidents_total for r in plans.station_profile(typed, stations, duplicates="all").collect()}
     assert both == {"Central": 1, "Other": 1, "Rampart": 2}
+
+
+def test_q3_both_ends_in_one_job(spark, incidents, geo, income):
+    both = plans.income_zip_profiles(incidents, geo, income, year=2015, k=1)
+    rows = _rows(both)
+    for end in ("top", "bottom"):
+        single = _rows(plans.income_zip_profile(incidents, geo, income, year=2015, k=1, end=end))
+        assert [r[1:] for r in rows if r[0] == end] == single
+    final = both._jdf.queryExecution().executedPlan().toString()
+    assert final.count("ReusedExchange") >= 2  # three branches, one scan
