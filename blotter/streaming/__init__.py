@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.bands import GREEK_LABELS, day_band
-from blotter.functions.parsing import INCIDENT_TS_FORMAT, parse_timestamp, to_int
+from blotter.functions.parsing import INCIDENT_TS_FORMAT, parse_timestamp
 from blotter.sources.readers import CSV_OPTIONS
 from blotter.sources.schemas import LAYOUTS, text_schema
 
@@ -30,21 +30,20 @@ def incident_stream(spark: SparkSession, folder: str, table: str = "incidents",
 def running_day_band_counts(stream: DataFrame, time_col: str = "time_occ", premis_col: str = "premis_desc",
                             premis: str = "STREET", labels=GREEK_LABELS) -> DataFrame:
     """Q2 as a streaming aggregation (write it with output mode ``complete``)."""
-    t = to_int(time_col)
     rows = (stream.filter(F.col(premis_col) == F.lit(premis))
-            .select(t.alias("_t")).filter(F.col("_t").isNotNull())
-            .select(day_band("_t", labels).alias("time_of_day")))
-    return rows.groupBy("time_of_day").agg(F.count(F.lit(1)).alias("crime_total"))
+            .select(day_band(time_col, labels).alias("time_of_day")))
+    counts = rows.groupBy("time_of_day").agg(F.count("time_of_day").alias("crime_total"))
+    return counts.filter(F.col("crime_total") > 0)  # rows without a valid time form an empty group
 
 
 def running_monthly_counts(stream: DataFrame, ts_col: str = "date_rptd",
                            fmt: str = INCIDENT_TS_FORMAT) -> DataFrame:
     """Q1's (year, month) counts as a streaming aggregation; rank them per
     micro-batch (``foreachBatch``) or on the complete result table."""
-    ts = parse_timestamp(ts_col, fmt)
-    months = (stream.select(ts.alias("_ts")).filter(F.col("_ts").isNotNull())
-              .select(F.year("_ts").alias("year"), F.month("_ts").alias("month")))
-    return months.groupBy("year", "month").agg(F.count(F.lit(1)).alias("crime_total"))
+    months = stream.select(parse_timestamp(ts_col, fmt).alias("_ts")).select(
+        F.year("_ts").alias("year"), F.month("_ts").alias("month"), "_ts")
+    counts = months.groupBy("year", "month").agg(F.count("_ts").alias("crime_total"))
+    return counts.filter(F.col("crime_total") > 0)  # invalid dates form an empty group
 
 
 __all__ = ["incident_stream", "running_day_band_counts", "running_monthly_counts"]
