@@ -31,8 +31,11 @@ from blotter.operators.joins import first_per_key, join, require_unique
 def firearm_incidents(incidents: DataFrame, code_prefix_text: str = "1") -> DataFrame:
     """``prec, lat, lon`` of incidents whose weapon code starts with the
     prefix and whose point is known and not (0, 0)."""
+    # ``weapon_cd IS NOT NULL`` is implied by the prefix test but, unlike it,
+    # reaches the Parquet reader (most incidents carry no weapon code).
     return (incidents
-            .filter(code_prefix("weapon_cd", code_prefix_text) & not_null_island("lat", "lon"))
+            .filter(F.col("weapon_cd").isNotNull() & code_prefix("weapon_cd", code_prefix_text)
+                    & not_null_island("lat", "lon"))
             .select(F.col("area").alias("prec"), "lat", "lon"))
 
 

@@ -150,3 +150,19 @@ def test_q3_both_ends_in_one_job(spark, incidents, geo, income):
         assert [r[1:] for r in rows if r[0] == end] == single
     final = both._jdf.queryExecution().executedPlan().toString()
     assert final.count("ReusedExchange") >= 2  # three branches, one scan
+
+
+def test_q4_filters_reach_typed_parquet(spark, incident_files):
+    from blotter.session import scratch_path
+    from blotter.sources import csv_to_parquet
+
+    typed = csv_to_parquet(spark, list(incident_files), scratch_path(spark, "typed-q4"), table="incidents",
+                           typed=True)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plans.firearm_incidents(typed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "IsNotNull(weapon_cd)" in pushed and "IsNotNull(lat)" in pushed
+    assert "ReadSchema: struct<area:int,weapon_cd:int,lat:double,lon:double>" in plan
