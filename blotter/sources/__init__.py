@@ -3,6 +3,7 @@ from blotter.sources.readers import (
     clean,
     csv_to_parquet,
     header_line,
+    normalize_columns,
     parse_csv_lines,
     read_csv,
     read_parquet,
@@ -21,6 +22,7 @@ __all__ = [
     "clean",
     "csv_to_parquet",
     "header_line",
+    "normalize_columns",
     "parse_csv_lines",
     "read_csv",
     "read_parquet",

@@ -86,19 +86,32 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: str | object
     return lines.filter(keep).select(parsed.alias("r")).select("r.*")
 
 
+def normalize_columns(df: DataFrame, table: str) -> DataFrame:
+    """Rename raw header names of a known layout (``"Date Rptd"``,
+    ``"AREA "`` ...; compared trimmed and case-insensitively) to the clean
+    names. Columns already clean or unknown are kept as they are."""
+    names = {}
+    for raw, cleaned in _layout(table):
+        names[raw.strip().lower()] = cleaned
+        names[cleaned] = cleaned
+    cols = [F.col(f"`{c}`").alias(names.get(c.strip().lower(), c)) for c in df.columns]
+    return df.select(*cols)
+
+
 def read_table(spark: SparkSession, paths: str | Iterable[str], table: str, fmt: str = "csv") -> DataFrame:
     """Read a known table layout from CSV, raw text lines or Parquet.
 
     CSV and text give text columns with clean names (type them with
     ``clean``). For text input each path drops its own header line (its
     first line), as files of one data set may spell the header differently.
-    Parquet is expected as written by ``csv_to_parquet``.
+    Parquet may come from ``csv_to_parquet`` or keep the raw CSV headers
+    (renamed to clean names here).
     """
     path_list = [paths] if isinstance(paths, str) else list(paths)
     if fmt == "csv":
         return read_csv(spark, path_list, table=table)
     if fmt == "parquet":
-        return read_parquet(spark, path_list)
+        return normalize_columns(read_parquet(spark, path_list), table)
     if fmt == "text":
         schema = schemas.text_schema(_layout(table))
         frames = [parse_csv_lines(read_text_lines(spark, p), schema, header=FIRST_LINE) for p in path_list]

@@ -81,3 +81,19 @@ def test_text_lines_header_from_first_line(spark, tmp_path):
     p.write_text("a,b\n1,x\n\n2,y\n")
     out = parse_csv_lines(read_text_lines(spark, str(p)), schema, header=FIRST_LINE)
     assert sorted((r.a, r.b) for r in out.collect()) == [(1, "x"), (2, "y")]
+
+
+def test_parquet_with_raw_headers_feeds_the_reports(spark, incident_files):
+    from blotter import plans
+    from blotter.sources import read_table
+    from blotter.sources.schemas import INCIDENT_COLUMNS
+
+    raw_names = [raw for raw, _ in INCIDENT_COLUMNS]
+    raw = read_csv(spark, list(incident_files), table="incidents").toDF(*raw_names)
+    raw = raw.withColumn("AREA ", F.col("`AREA `").cast("int")).withColumn("LAT", F.col("LAT").cast("double"))
+    path = scratch_path(spark, "raw-headers")
+    write_parquet(raw, path)
+    df = read_table(spark, path, "incidents", fmt="parquet")
+    assert "date_rptd" in df.columns and "area" in df.columns and "lat" in df.columns
+    expected = plans.top_months_per_year(read_csv(spark, list(incident_files), table="incidents"))
+    assert [tuple(r) for r in plans.top_months_per_year(df).collect()] == [tuple(r) for r in expected.collect()]
