@@ -24,7 +24,6 @@ from pyspark.sql import functions as F  # noqa: E402
 from blotter import plans  # noqa: E402
 from blotter.functions import (  # noqa: E402
     DESCENT_LABELS,
-    GREEK_LABELS,
     code_prefix,
     haversine_udf,
     money_to_int,

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import functions as F
 
 from blotter import plans
 from blotter.operators import union_by_position
