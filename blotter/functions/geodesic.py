@@ -4,7 +4,7 @@
 Vincenty's inverse method, written as plain column arithmetic so it runs in
 the JVM inside whole-stage code generation -- no Python worker, no per-row
 serialisation. The iteration is unrolled a fixed number of times; each step
-is its own projection so every intermediate is computed once per row (the
+is two projections, each computing its repeated terms once per row (the
 optimizer keeps projections apart when a value is used more than once).
 
 For regional distances the method converges to well below a millimetre in
@@ -50,37 +50,47 @@ def _n(name: str) -> str:
     return f"`{_P}{name}`"
 
 
-# One Vincenty step as SQL text over the temporary columns, in four
-# projections: sin/cos of lambda; the sigma terms; the angle terms; the next
-# lambda. Each projection only references columns of the previous one, so
-# expressions stay small; a term repeated inside one projection is computed
-# once (common-subexpression elimination), which is why divisions are
-# guarded with try_divide/coalesce rather than CASE, whose branches are
-# excluded from elimination.
+# One Vincenty step as SQL text over the temporary columns, in two
+# projections: (1) sin/cos of lambda and the sigma terms, (2) the angle terms
+# and the next lambda. A term repeated inside one projection is computed once
+# (common-subexpression elimination), which is why divisions are guarded
+# with try_divide/coalesce rather than CASE, whose branches are excluded from
+# elimination; the projection boundary keeps each expression small.
 _SU1, _CU1, _SU2, _CU2 = _n("su1"), _n("cu1"), _n("su2"), _n("cu2")
 _SL, _CL, _SS, _CS, _LAM = _n("sl"), _n("cl"), _n("ss"), _n("cs"), _n("lam")
 _SIG, _SA, _C2A = _n("sig"), _n("sa"), _n("c2a")
-_SA_TERM = f"coalesce(try_divide({_CU1} * {_CU2} * {_SL}, {_SS}), 0D)"
-_C2SM = f"({_CS} - coalesce(try_divide(2D * {_SU1} * {_SU2}, {_C2A}), {_CS}))"
-_CC = f"({_d(WGS84_F / 16)} * {_C2A} * (4D + {_d(WGS84_F)} * (4D - 3D * {_C2A})))"
-_TRIG = {"sl": f"sin({_LAM})", "cl": f"cos({_LAM})"}
-_SIGMA = {
+
+
+def _inline(text: str, terms: dict[str, str]) -> str:
+    """Substitute the named temporary columns by their defining terms."""
+    for name, term in terms.items():
+        text = text.replace(_n(name), f"({term})")
+    return text
+
+
+_TRIG_TERMS = {"sl": f"sin({_LAM})", "cl": f"cos({_LAM})"}
+_SIGMA_TERMS = {
     "ss": f"sqrt(({_CU2} * {_SL}) * ({_CU2} * {_SL}) + ({_CU1} * {_SU2} - {_SU1} * {_CU2} * {_CL})"
           f" * ({_CU1} * {_SU2} - {_SU1} * {_CU2} * {_CL}))",
     "cs": f"{_SU1} * {_SU2} + {_CU1} * {_CU2} * {_CL}",
 }
-_ANGLES = {"sig": f"atan2({_SS}, {_CS})", "sa": _SA_TERM, "c2a": f"1D - {_SA_TERM} * {_SA_TERM}"}
-_NEXT = {
-    "prev": _LAM,
-    "lam": (f"{_n('L')} + (1D - {_CC}) * {_d(WGS84_F)} * {_SA} * ({_SIG} + {_CC} * {_SS} * "
-            f"({_C2SM} + {_CC} * {_CS} * (-1D + 2D * {_C2SM} * {_C2SM})))"),
-}
+_SA_TERM = f"coalesce(try_divide({_CU1} * {_CU2} * {_SL}, {_SS}), 0D)"
+_ANGLE_TERMS = {"sig": f"atan2({_SS}, {_CS})", "sa": _SA_TERM, "c2a": f"1D - {_SA_TERM} * {_SA_TERM}"}
+_C2SM = f"({_CS} - coalesce(try_divide(2D * {_SU1} * {_SU2}, {_C2A}), {_CS}))"
+_CC = f"({_d(WGS84_F / 16)} * {_C2A} * (4D + {_d(WGS84_F)} * (4D - 3D * {_C2A})))"
+_NEXT_LAM = (f"{_n('L')} + (1D - {_CC}) * {_d(WGS84_F)} * {_SA} * ({_SIG} + {_CC} * {_SS} * "
+             f"({_C2SM} + {_CC} * {_CS} * (-1D + 2D * {_C2SM} * {_C2SM})))")
+
+# projection 1: sl, cl, ss, cs from lambda
+_STEP_SIGMA = {**_TRIG_TERMS, **{k: _inline(v, _TRIG_TERMS) for k, v in _SIGMA_TERMS.items()}}
+# projection 2: sig, sa, c2a and the next lambda from the sigma terms
+_STEP_NEXT = {**_ANGLE_TERMS, "prev": _LAM, "lam": _inline(_NEXT_LAM, _ANGLE_TERMS)}
 _U2SQ = f"({_C2A} * {_d((WGS84_A ** 2 - WGS84_B ** 2) / WGS84_B ** 2)})"
 _BIG_A = f"(1D + {_U2SQ} / 16384D * (4096D + {_U2SQ} * (-768D + {_U2SQ} * (320D - 175D * {_U2SQ}))))"
 _BIG_B = f"({_U2SQ} / 1024D * (256D + {_U2SQ} * (-128D + {_U2SQ} * (74D - 47D * {_U2SQ}))))"
 _DSIG = (f"({_BIG_B} * {_SS} * ({_C2SM} + {_BIG_B} / 4D * ({_CS} * (-1D + 2D * {_C2SM} * {_C2SM})"
          f" - {_BIG_B} / 6D * {_C2SM} * (-3D + 4D * {_SS} * {_SS}) * (-3D + 4D * {_C2SM} * {_C2SM}))))")
-_FINAL = {"dist": f"{_d(WGS84_B / 1000.0)} * {_BIG_A} * ({_SIG} - {_DSIG})"}
+_FINAL = {"dist": _inline(f"{_d(WGS84_B / 1000.0)} * {_BIG_A} * ({_SIG} - {_DSIG})", _ANGLE_TERMS)}
 
 
 def with_geodesic_km(
@@ -107,8 +117,8 @@ def with_geodesic_km(
     })
     steps = [{"su1": f"sin({_n('u1')})", "cu1": f"cos({_n('u1')})",
               "su2": f"sin({_n('u2')})", "cu2": f"cos({_n('u2')})", "lam": _n("L")}]
-    steps += [_TRIG, _SIGMA, _ANGLES, _NEXT] * iterations
-    steps += [_TRIG, _SIGMA, _ANGLES, _FINAL]
+    steps += [_STEP_SIGMA, _STEP_NEXT] * iterations
+    steps += [_STEP_SIGMA, _FINAL]
     keep = [c for c in start.columns if not c.startswith(_P)]
     temps = [_P + c for c in ("L", "u1", "u2")]
     query = "{src}"
