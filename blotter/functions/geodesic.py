@@ -18,10 +18,12 @@ pandas UDF for a caller's own vectorised solver) cover the UDF surface.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -157,8 +159,14 @@ def make_distance_udf(solver: Callable = haversine_np):
     Arrow-batched pandas UDF returning double.
 
     Use this only for a solver that has no column-expression form; batches of
-    rows cross to Python once per Arrow batch, not once per row.
+    rows cross to Python once per Arrow batch, not once per row. The UDF is
+    serialised by value (this module included), so executors need numpy and
+    pandas but not this package on their path.
     """
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    solver_module = sys.modules.get(getattr(solver, "__module__", ""), None)
+    if solver_module is not None and solver_module.__name__.startswith("blotter"):
+        cloudpickle.register_pickle_by_value(solver_module)
 
     @F.pandas_udf(T.DoubleType())
     def distance(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
