@@ -34,3 +34,22 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(rel.columns, rel.fetchall())
+
+
+def test_udf_query_runs_from_another_directory(tmp_path):
+    """Executors need not import the package: the pandas UDF ships by value."""
+    import subprocess
+    import sys
+
+    from tests.conftest import ROOT
+
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from pyspark.sql import SparkSession\n"
+            "import __spark_entry__ as e\n"
+            "s = SparkSession.builder.master('local[2]').getOrCreate()\n"
+            "print('rows', e.queries()['udf_distance'](s, %r).count())\n") % (ROOT, SF_SMALL)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "rows " in out.stdout
