@@ -30,3 +30,9 @@ def test_cli_reports_run_on_every_input_format(spark, incident_files, tmp_path,
                  "--salt", "4"]) == 0
     out = capsys.readouterr().out
     assert "Rampart" in out and "White" in out
+    typed = scratch_path(spark, "cli-etl-typed")
+    assert main(["csv-to-parquet", "--src", f1, f2, "--dst", typed, "--typed"]) == 0
+    assert main(["income-profile", "--incidents", typed, "--format", "parquet", "--geo", str(geo),
+                 "--income", str(income), "-k", "1", "--end", "both"]) == 0
+    out = capsys.readouterr().out
+    assert "bottom" in out and "top" in out
