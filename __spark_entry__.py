@@ -10,6 +10,7 @@ over the same tables; stand-ins are re-derived there in SQL.
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -56,6 +57,13 @@ from blotter.sources import (  # noqa: E402
     write_csv,
 )
 
+try:  # the corpus operators are an optional part
+    _CORPUS = importlib.import_module("blotter.llm.queries")
+except ModuleNotFoundError as missing:
+    if not str(missing.name).startswith(("blotter.llm", "corpus_pipeline")):
+        raise
+    _CORPUS = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 Q3_YEAR = 1997
 DROPPED_STATIONS = (3, 7, 11)
@@ -459,10 +467,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(_QUERIES) | (_CORPUS.QUERIES if _CORPUS else {})
 
 
 def oracle_sql() -> dict[str, str]:
     from duck_oracles import ORACLES
 
-    return {name: ORACLES[name] for name in _QUERIES if name in ORACLES}
+    return {name: ORACLES[name] for name in _QUERIES if name in ORACLES} | (_CORPUS.ORACLES if _CORPUS else {})
