@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard_join import jaccard_join
+from .line_dedup import line_dedup
+from .mixing import mix_sources
+from .quality import CUT, held_out, score_quality, train
 from .shared import read_table
 
 
@@ -14,8 +18,84 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents")).rows
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents")).drop("source")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"), "quality")
+    return score_quality(docs, model).select("doc_id", held_out().alias("held_out"), "score",
+                                             (F.col("score") >= CUT).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_mix_sources": op7_mix_sources,
+    "op8_quality": op8_quality,
 }
 
-ORACLES: dict[str, str] = {}
+_LINES = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+    FROM lines
+), common AS (
+    SELECT k FROM keyed WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(common.k) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common ON keyed.k = common.k
+GROUP BY doc_id
+"""
+
+_MIX = r"""
+WITH base AS (
+    SELECT doc_id, source,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 9))::BIGINT AS cell
+    FROM documents
+), ranked AS (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+    FROM base GROUP BY source
+), levels AS (
+    SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5
+               - coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+              / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM ranked WINDOW o AS (ORDER BY 2 * source_size / w, source NULLS LAST)
+), plan AS (
+    SELECT source, source_size, least((2 * source_size)::DOUBLE, max(level) OVER () * w) AS target FROM levels
+), rests AS (
+    SELECT *, target - passes * source_size AS rest
+    FROM (SELECT *, coalesce(CASE WHEN source_size > 0 THEN least(2, floor(target / source_size)) END, 0)::BIGINT
+                    AS passes FROM plan)
+), cells AS (
+    SELECT source, cell, sum(size)::BIGINT AS s,
+           (sum(sum(size)) OVER (PARTITION BY source ORDER BY cell))::BIGINT AS up_to
+    FROM base GROUP BY source, cell
+), edge AS (
+    SELECT r.source, CASE WHEN 2 * (rest - (up_to - s)) >= s THEN cell + 1 ELSE cell END AS below
+    FROM rests r JOIN cells c ON r.source IS NOT DISTINCT FROM c.source
+    WHERE up_to - s <= rest AND up_to > rest
+)
+SELECT b.doc_id, b.size, r.source_size, r.target,
+       b.size * (r.passes + CASE WHEN b.cell < coalesce(e.below, 0) THEN 1 ELSE 0 END) AS taken
+FROM base b JOIN rests r ON b.source IS NOT DISTINCT FROM r.source
+LEFT JOIN edge e ON b.source IS NOT DISTINCT FROM e.source
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": _LINES,
+    "op7_mix_sources": _MIX.replace("\\\\x", "\\x"),
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -41,6 +42,16 @@ def arrow_groups(df: DataFrame, key: str, fn, schema) -> DataFrame:
         return df.groupBy(key).applyInArrow(group, schema)
 
 
+def send(spark: SparkSession, model):
+    """Broadcast an object of this subpackage's classes; the caller has bounded its size. ``received`` reads it."""
+    with _by_value():
+        return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(sent):
+    return pickle.loads(sent.value)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the folder every executor shares and read it back.
 
