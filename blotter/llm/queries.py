@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_contamination
 from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .mixing import mix_sources
@@ -14,6 +15,15 @@ from .quality import CUT, held_out, score_quality, train
 from .shared import read_table
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents")).rows
 
@@ -35,6 +45,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_mix_sources": op7_mix_sources,
