@@ -12,9 +12,12 @@ pair are counted in every fragment on its own and summed per pair.
    n-grams in the global order; unshared n-grams come first, so most sets of
    ordinary prose drop out here, exactly.
 3. Round one joins each set with the least set of each of its prefix n-grams (a
-   star, linear in the group); round two joins only sets that round one left in
-   different components. Within a component no pair is written, and no link
-   between components is lost.
+   star, linear in the group). Round two looks for links between the components
+   that round one left: n-grams of few sets give pairs; sets that n-grams of many
+   sets hold together form a family, cut into blocks, and a task takes two blocks,
+   adds up their overlaps fragment by fragment in one matrix, and writes only
+   links that connect them. No link between components is lost, and no group
+   writes all its pairs.
 
 Rows: a null, empty or wordless text has no n-grams and links with nothing; a
 text with fewer than ``k`` words is one n-gram. Repeated rows are rows of one
@@ -38,6 +41,8 @@ from .text import LOWER, NON_SPACE, chunks, mix64, nullable_ids, roll, span_hash
 SHINGLE_WORDS = 5
 PERCENT = 75
 FRAGMENTS = 8
+SMALL_GROUP = 32            # n-grams of more sets are handled by families
+BLOCK_SETS = 1024           # sets of one family handled at once, twice
 PART_BYTES = 24 << 20       # text bytes behind one part of the n-gram space
 FLUSH_TOKENS = 4_000_000    # n-grams a task gathers before it writes packed runs
 FLUSH_SETS = 60_000
@@ -287,6 +292,92 @@ def _pair(x: DataFrame, percent: int) -> DataFrame:
             .distinct())
 
 
+def _family_links(nodes: DataFrame, family: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect the sets of each family (node, comp) wherever its sets reach the threshold."""
+    comp = comp.withColumnsRenamed({"comp": "now"})
+    family = family.withColumnRenamed("comp", "family").join(comp, "node", "left")
+    open_ones = (family.groupBy("family").agg(F.min(F.coalesce("now", "node")).alias("x"),
+                                              F.max(F.coalesce("now", "node")).alias("y")).filter("x <> y"))
+    steps = F.log(F.col("n")) / float(np.log(100 / percent))
+    sized = (nodes.join(family.select("node", "family"), "node").join(open_ones.select("family"), "family")
+             .select("node", "n", "toks", "cuts", "family", F.floor(steps + 1e-9).cast("int").alias("size_class")))
+    counts = shared_table(sized.groupBy("family", "size_class").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks")), "jaccard-blocks")
+    sized = sized.join(counts, ["family", "size_class"]).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    ids = counts.select("family", "size_class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    block = F.struct("size_class", "block")
+    tiles = (ids.select("family", block.alias("i")).join(ids.select("family", block.alias("j")), "family")
+             .filter((F.col("i") <= F.col("j")) & (F.col("j.size_class") - F.col("i.size_class") <= 1)))
+    sides = tiles.select("family", "i", "j", F.col("i.*")).unionByName(
+        tiles.filter("i <> j").select("family", "i", "j", F.col("j.*")))
+    rows = (sides.join(sized, ["family", "size_class", "block"])
+            .select("family", "i", "j", (F.struct("size_class", "block") == F.col("i")).alias("left"),
+                    "node", "n", "toks", "cuts"))
+    return arrow_groups(rows, ["family", "i", "j"], _tile_links(percent), "a long, b long")
+
+
+def _tile_links(percent: int):
+    """Links that connect the sets of two blocks (or of one) exactly as all their links would."""
+
+    def run(key, batches):
+        nodes, ns, left, toks, cuts = [], [], [], [], []
+        for b in batches:
+            b = pa.Table.from_batches([b]).combine_chunks()
+            nodes.append(b.column("node").to_numpy())
+            ns.append(b.column("n").to_numpy())
+            left.append(b.column("left").to_numpy())
+            toks += [np.asarray(x.values) for x in b.column("toks")]
+            cuts += [np.asarray(x.values) for x in b.column("cuts")]
+        node, n, left = np.concatenate(nodes), np.concatenate(ns).astype(np.int64), np.concatenate(left)
+        order = np.lexsort((node, ~left))
+        node, n, left = node[order], n[order], left[order]
+        toks, cuts = [toks[i] for i in order], [cuts[i] for i in order]
+        rows = np.arange(len(node))
+        one, two = (rows[left], rows[~left]) if not left.all() else (rows, rows)
+        overlap = np.zeros((len(one), len(two)), np.float32)
+        for f in range(FRAGMENTS):
+            overlap += _overlaps([toks[i][cuts[i][f]:cuts[i][f + 1]] for i in one],
+                                 [toks[i][cuts[i][f]:cuts[i][f + 1]] for i in two])
+        size = (n[one][:, None] + n[two][None, :]).astype(np.float32)
+        linked = overlap * (100 + percent) >= size * percent
+        label = rows.copy()
+        while True:
+            now = label.copy()
+            np.minimum.at(now, one, np.where(linked, label[two][None, :], len(rows)).min(1))
+            np.minimum.at(now, two, np.where(linked, label[one][:, None], len(rows)).min(0))
+            now = now[now]
+            if (now == label).all():
+                break
+            label = now
+        joined = label != rows
+        yield pa.RecordBatch.from_arrays([pa.array(node[joined]), pa.array(node[label[joined]])], ["a", "b"])
+
+    return run
+
+
+def _overlaps(one: list[np.ndarray], two: list[np.ndarray], width: int = 2048) -> np.ndarray:
+    """How many values each array of ``one`` shares with each of ``two`` (values of an array are distinct)."""
+    out = np.zeros((len(one), len(two)), np.float32)
+    a, b = np.concatenate(one), np.concatenate(two)
+    both = np.intersect1d(a, b)
+    if not len(both):
+        return out
+    who_a, who_b = (np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (one, two))
+    at_a, at_b = np.searchsorted(both, a), np.searchsorted(both, b)
+    hit_a, hit_b = both[np.minimum(at_a, len(both) - 1)] == a, both[np.minimum(at_b, len(both) - 1)] == b
+    at_a, who_a, at_b, who_b = at_a[hit_a], who_a[hit_a], at_b[hit_b], who_b[hit_b]
+    for lo in range(0, len(both), width):
+        span = min(width, len(both) - lo)
+        m, w = np.zeros((len(one), span), np.float32), np.zeros((len(two), span), np.float32)
+        mine = (at_a >= lo) & (at_a < lo + span)
+        m[who_a[mine], at_a[mine] - lo] = 1
+        mine = (at_b >= lo) & (at_b < lo + span)
+        w[who_b[mine], at_b[mine] - lo] = 1
+        out += m @ w.T
+    return out
+
+
 @dataclass
 class JaccardLinks:
     """``rows``: every input row (doc_id, n_shingles, component_id); ``links``: verified pairs of classes (node
@@ -314,22 +405,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     segments = nodes.select("node", fragment.alias("s")).select("node", "s.f", "s.toks").filter(F.size("toks") > 0)
     prefix = nodes.select("node", "n", F.explode(F.slice("toks", F.lit(1), F.col("head"))).alias("t"))
 
-    heads = (prefix.groupBy("t").agg(F.min(F.struct("node", "n")).alias("lead"), F.count(F.lit(1)).alias("c"))
-             .filter("c > 1").select("t", F.col("lead.node").alias("v"), F.col("lead.n").alias("nv")))
+    groups = shared_table(prefix.groupBy("t").agg(F.min(F.struct("node", "n")).alias("lead"),
+                                                  F.count(F.lit(1)).alias("c")).filter("c > 1"), "jaccard-groups")
+    heads = groups.select("t", F.col("lead.node").alias("v"), F.col("lead.n").alias("nv"))
     star = _pair(prefix.withColumnsRenamed({"node": "u", "n": "nu"}).join(heads, "t"), percent)
-    first = shared_table(_linked(star, segments, percent), "jaccard-links")
-
-    comp = components(first)
-    member = (prefix.join(comp, "node", "left").select("t", "node", "n", F.coalesce("comp", "node").alias("comp")))
-    member = shared_table(member, "jaccard-prefix")
-    per = member.select("t", "comp").distinct()
-    split = (per.withColumnRenamed("comp", "cu").join(per.withColumnRenamed("comp", "cv"), "t")
-             .filter(F.col("cu") < F.col("cv")))
-    left = member.select("t", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("comp").alias("cu"))
-    right = member.select("t", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("comp").alias("cv"))
-    cross = _pair(split.join(left, ["t", "cu"]).join(right, ["t", "cv"]), percent)
-    more = shared_table(_linked(cross, segments, percent), "jaccard-links")
-    links = first.unionByName(more)
+    links = shared_table(_linked(star, segments, percent), "jaccard-links")
+    comp = components(links)
+
+    few = prefix.join(groups.filter(F.col("c") <= SMALL_GROUP).select("t"), "t")
+    few = shared_table(few.join(comp, "node", "left").select("t", "node", "n", F.coalesce("comp", "node").alias("comp")),
+                       "jaccard-prefix")
+    cross = few.withColumnsRenamed({"node": "u", "n": "nu", "comp": "cu"}).join(
+        few.withColumnsRenamed({"node": "v", "n": "nv", "comp": "cv"}), "t").filter(
+        (F.col("cu") < F.col("cv")) & _near_size("nu", "nv", percent))
+    links = links.unionByName(shared_table(_linked(_pair(cross, percent), segments, percent), "jaccard-links"))
+
+    many = groups.filter(F.col("c") > SMALL_GROUP).select("t", F.col("lead.node").alias("b"))
+    if not many.isEmpty():
+        family = components(prefix.join(many, "t").select(F.col("node").alias("a"), "b").distinct())
+        links = links.unionByName(shared_table(_family_links(nodes, family, comp, percent), "jaccard-links"))
     comp = components(links)
 
     labelled = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))

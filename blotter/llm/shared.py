@@ -32,14 +32,14 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
         return df.mapInArrow(fn, schema)
 
 
-def arrow_groups(df: DataFrame, key: str, fn, schema) -> DataFrame:
+def arrow_groups(df: DataFrame, key: str | list[str], fn, schema) -> DataFrame:
     """``df.groupBy(key).applyInArrow`` over record batches, with the function shipped by value."""
 
     def group(k: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(k, batches)
 
     with _by_value():
-        return df.groupBy(key).applyInArrow(group, schema)
+        return df.groupBy(*([key] if isinstance(key, str) else key)).applyInArrow(group, schema)
 
 
 def send(spark: SparkSession, model):
