@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import toxicity
 from .decontaminate import find_contamination
 from .jaccard_join import jaccard_join
+from .licenses import scan_licenses
 from .line_dedup import line_dedup
+from .lm_scores import score_texts
 from .mixing import mix_sources
+from .nearest import nearest
 from .quality import CUT, held_out, score_quality, train
 from .shared import read_table
+from .token_counts import count_tokens, read_ranked_pieces
+
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, read_table(spark, sf_dir, "benchmark"), docs).drop("text")
+
+
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +41,14 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "neighbours")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents")).rows
 
@@ -44,12 +69,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, read_ranked_pieces(tokenizer)).drop("text")
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scores": op1_lm_scores,
+    "op2_nearest": op2_nearest,
     "op3_decontaminate": op3_decontaminate,
+    "op4_toxicity": op4_toxicity,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_line_dedup": op6_line_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op8_quality": op8_quality,
+    "op9_token_counts": op9_token_counts,
+    "op10_licenses": op10_licenses,
 }
 
 _LINES = r"""
@@ -106,7 +145,22 @@ FROM base b JOIN rests r ON b.source IS NOT DISTINCT FROM r.source
 LEFT JOIN edge e ON b.source IS NOT DISTINCT FROM e.source
 """
 
+_NEAREST = r"""
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score
+    FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_nearest": _NEAREST,
     "op6_line_dedup": _LINES,
     "op7_mix_sources": _MIX.replace("\\\\x", "\\x"),
 }
