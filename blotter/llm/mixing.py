@@ -91,17 +91,42 @@ def _thresholds(base: DataFrame, targets: DataFrame, most: int) -> DataFrame:
     return state
 
 
-def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST,
-                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(``id_col``, source, size, source_size, target, taken) of every row of ``docs``."""
-    base = shared_table(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(text_col, F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
-        _hash(F.col(id_col)).alias("h")), "mix-sizes")
+def _sized(id_col: str, text_col: str) -> list[Column]:
+    return [F.coalesce(F.regexp_count(text_col, F.lit(_WORD)), F.lit(0)).cast("long").alias("size"),
+            _hash(F.col(id_col)).alias("h")]
+
+
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return shared_table(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+                                    *_sized(id_col, text_col)), "mix-sizes")
+
+
+def _plan(base: DataFrame, weights: Sequence[float], share: float, most: int) -> DataFrame:
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = _thresholds(base, shared_table(source_targets(sizes, weights, share, most), "mix-targets"), most)
-    plan = plan.withColumnRenamed("source", "src").drop("rest")
-    once_more = F.when(F.col("h") < F.col("below"), 1).otherwise(0)
-    return (base.join(plan, F.col("source").eqNullSafe(F.col("src")))
-            .select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
-                    (F.col("size") * (F.col("passes") + once_more)).alias("taken")))
+    return plan.withColumnRenamed("source", "__mix_source").drop("rest")
+
+
+def _taken(size: Column, h: Column) -> Column:
+    return (size * (F.col("passes") + F.when(h < F.col("below"), 1).otherwise(0))).alias("taken")
+
+
+def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST,
+                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(``id_col``, ``source_col``, size, source_size, target, taken) of every row of ``docs``."""
+    base = _measured(docs, id_col, text_col, source_col)
+    joined = base.join(_plan(base, weights, share, most), F.col("source").eqNullSafe(F.col("__mix_source")))
+    return joined.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size",
+                         "target", _taken(F.col("size"), F.col("h")))
+
+
+def with_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST,
+             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with size, source_size, target and taken: the whole rows meet the small plan, not each other."""
+    docs = docs.drop("size", "source_size", "target", "taken")
+    plan = _plan(_measured(docs, id_col, text_col, source_col), weights, share, most)
+    joined = docs.join(plan, docs[source_col].cast("string").eqNullSafe(plan["__mix_source"]))
+    size, h = _sized(id_col, text_col)
+    return (joined.withColumns({"__size": size, "__h": h})
+            .select(*docs.columns, F.col("__size").alias("size"), "source_size", "target",
+                    _taken(F.col("__size"), F.col("__h"))))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import toxicity
 from .decontaminate import find_contamination
 from .jaccard_join import jaccard_join
@@ -89,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_licenses": op10_licenses,
+    "pipeline": corpus_pipeline.run,
 }
 
 _LINES = r"""
