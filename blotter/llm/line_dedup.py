@@ -38,6 +38,7 @@ _KICKS = 200
 _KEYS = "__line_keys"
 
 _FILTER = "shard int, filter binary"
+_CHANGES = "shard int, hi long, lo long, docs long"
 
 
 class CuckooChain:
@@ -202,8 +203,8 @@ class LineIndex:
         """(shard, hi, lo, docs): in how many documents each key is, exactly."""
         version = self.version if version is None else version
         if not version:
-            return self.spark.createDataFrame([], "shard int, hi long, lo long, docs long")
-        log = self.spark.read.parquet(*[f"{self.path}/changes-{v}" for v in range(1, version + 1)])
+            return self.spark.createDataFrame([], _CHANGES)
+        log = self.spark.read.schema(_CHANGES).parquet(*[f"{self.path}/changes-{v}" for v in range(1, version + 1)])
         if version > 1:
             log = log.groupBy("shard", "hi", "lo").agg(F.sum("docs").alias("docs"))
         return log.filter("docs > 0")
@@ -221,14 +222,13 @@ class LineIndex:
 
     def _change(self, docs: DataFrame, sign: int) -> None:
         shard = F.pmod(F.col("lo"), F.lit(self.shards)).cast("int").alias("shard")
-        per_doc = self._keys(docs)
-        per_doc = per_doc.distinct()
+        per_doc = self._keys(docs).distinct()
         change = (per_doc.groupBy("hi", "lo").agg((F.count(F.lit(1)) * sign).alias("docs"))
                   .select(shard, "hi", "lo", "docs"))
         old, old_filters = self.counts(), self.filters()
         new = self.version + 1
         change.write.parquet(f"{self.path}/changes-{new}")
-        change = self.spark.read.parquet(f"{self.path}/changes-{new}")
+        change = self.spark.read.schema(_CHANGES).parquet(f"{self.path}/changes-{new}")
         if self.version:
             was = change.join(old.withColumnRenamed("docs", "was"), ["shard", "hi", "lo"], "left")
             was = was.withColumn("was", F.coalesce("was", F.lit(0)))

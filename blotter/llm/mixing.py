@@ -104,11 +104,16 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
 def _plan(base: DataFrame, weights: Sequence[float], share: float, most: int) -> DataFrame:
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = _thresholds(base, shared_table(source_targets(sizes, weights, share, most), "mix-targets"), most)
-    return plan.withColumnRenamed("source", "__mix_source").drop("rest")
+    return plan.drop("rest").withColumnsRenamed({c: f"__mix_{c}" for c in plan.columns})
 
 
 def _taken(size: Column, h: Column) -> Column:
-    return (size * (F.col("passes") + F.when(h < F.col("below"), 1).otherwise(0))).alias("taken")
+    once_more = F.when(h < F.col("__mix_below"), 1).otherwise(0)
+    return (size * (F.col("__mix_passes") + once_more)).alias("taken")
+
+
+def _of_source() -> list[Column]:
+    return [F.col("__mix_source_size").alias("source_size"), F.col("__mix_target").alias("target")]
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST,
@@ -116,8 +121,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: floa
     """(``id_col``, ``source_col``, size, source_size, target, taken) of every row of ``docs``."""
     base = _measured(docs, id_col, text_col, source_col)
     joined = base.join(_plan(base, weights, share, most), F.col("source").eqNullSafe(F.col("__mix_source")))
-    return joined.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size",
-                         "target", _taken(F.col("size"), F.col("h")))
+    return joined.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "size", *_of_source(),
+                         _taken(F.col("size"), F.col("h")))
 
 
 def with_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: int = MOST,
@@ -127,6 +132,6 @@ def with_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     plan = _plan(_measured(docs, id_col, text_col, source_col), weights, share, most)
     joined = docs.join(plan, docs[source_col].cast("string").eqNullSafe(plan["__mix_source"]))
     size, h = _sized(id_col, text_col)
-    return (joined.withColumns({"__size": size, "__h": h})
-            .select(*docs.columns, F.col("__size").alias("size"), "source_size", "target",
-                    _taken(F.col("__size"), F.col("__h"))))
+    return (joined.withColumns({"__mix_size": size, "__mix_h": h})
+            .select(*docs.columns, F.col("__mix_size").alias("size"), *_of_source(),
+                    _taken(F.col("__mix_size"), F.col("__mix_h"))))

@@ -31,6 +31,7 @@ from .shared import arrow_groups, arrow_map, parts_for, shared_table
 K = 5
 QUERY_BLOCK = 1024
 CANDIDATE_BLOCK = 4096
+LANE_BLOCKS = 8
 
 _BLOCK = "dim int, ids binary, raw binary, codes binary, scales binary, errors binary"
 
@@ -147,7 +148,7 @@ def _leading(x: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nd
 
 
 def _tiles(k: int):
-    def run(batches):
+    def run(key, batches):
         heaps: dict[int, list] = {}
         for batch in batches:
             for i in range(batch.num_rows):
@@ -173,13 +174,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, id_col: str = "v
     asked = asked.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
     asked = shared_table(arrow_groups(asked, "qb", _query_blocks, "qb int, " + _BLOCK), "query-blocks")
     asked = asked.withColumnsRenamed({c: f"q_{c}" for c in _BLOCK_NAMES if c != "dim"})
-    # every candidate block meets every query block; the lanes spread one query block over tasks
-    lanes = max(1, -(-vectors.sparkSession.sparkContext.defaultParallelism * 4 // blocks))
+    # every candidate block meets every query block; lanes cut a query block's candidates into groups of few blocks
+    spread = -(-vectors.sparkSession.sparkContext.defaultParallelism * 4 // blocks)
+    lanes = max(spread, parts_for(vectors.count(), CANDIDATE_BLOCK * LANE_BLOCKS))
     tiles = (arrow_map(clean(vectors), _candidate_blocks, _BLOCK)
              .withColumn("lane", F.pmod(F.xxhash64("ids"), F.lit(lanes)).cast("int"))
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
     asked = asked.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    found = arrow_map(tiles.join(asked, ["qb", "lane", "dim"]), _tiles(k), "query_id long, id long, score double")
+    found = arrow_groups(tiles.join(asked, ["qb", "lane", "dim"]), ["qb", "lane"], _tiles(k),
+                         "query_id long, id long, score double")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (found.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(id_col), "score"))

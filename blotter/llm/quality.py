@@ -7,7 +7,8 @@ is the only sample. Scoring reads every whole text and only the text.
 Rows: null or empty texts have all-zero statistics and a score like any other.
 Labels that are null or have no document are ignored; several labels of one
 document count as their mean, rounded up from one half. Without labels, or with
-labels of one kind only, every score is their share (0.5 without any).
+labels of one kind only, every score is their share (0.5 without any), kept
+within 0.001 and 0.999.
 Repeated rows score alike. Other columns are carried through by the caller.
 """
 

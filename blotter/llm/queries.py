@@ -162,8 +162,64 @@ SELECT query_id, CAST(row_number() OVER w AS INT) AS rank, vec_id, score FROM sc
 WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_CONTAMINATED = rf"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), phrases AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[a:a + k - 1], ' ') AS p
+    FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS a
+          FROM items WHERE len(w) > 0)
+), places AS (
+    SELECT doc_id, k, a, array_to_string(w[a:a + k - 1], ' ') AS p
+    FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS a
+          FROM docs, (SELECT DISTINCT k FROM phrases) WHERE len(w) >= k)
+), hits AS (
+    SELECT doc_id, k, a, item_id FROM places JOIN phrases USING (k, p)
+), words AS (
+    SELECT doc_id, count(DISTINCT i) AS n_hit
+    FROM (SELECT doc_id, unnest(range(a, a + k)) AS i FROM (SELECT DISTINCT doc_id, a, k FROM hits))
+    GROUP BY doc_id
+), found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT docs.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words ON docs.doc_id = words.doc_id LEFT JOIN found ON docs.doc_id = found.doc_id
+"""
+
+_JACCARD = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[a:a + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS a FROM docs WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), meets AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM meets JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b
+    WHERE 100 * c >= 75 * (s.n + t.n - c)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id
+JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON docs.doc_id = r.a
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_decontaminate": _CONTAMINATED,
+    "op5_jaccard_join": _JACCARD,
     "op2_nearest": _NEAREST,
     "op6_line_dedup": _LINES,
-    "op7_mix_sources": _MIX.replace("\\\\x", "\\x"),
+    "op7_mix_sources": _MIX,
 }
