@@ -13,6 +13,7 @@ from blotter.functions.parsing import (
     to_int,
     year_of,
     zip5,
+    zip_text,
 )
 from blotter.functions.recode import DESCENT_LABELS, recode, recode_frame
 
@@ -40,4 +41,5 @@ __all__ = [
     "with_geodesic_km",
     "year_of",
     "zip5",
+    "zip_text",
 ]

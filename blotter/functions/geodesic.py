@@ -9,8 +9,9 @@ optimizer keeps projections apart when a value is used more than once).
 
 For regional distances the method converges to well below a millimetre in
 three or four steps; eight are run, which also covers all but about 0.02% of
-random global pairs. Near-antipodal pairs, where it does not converge, give
-null instead of a wrong number.
+random global pairs. The rest (near-antipodal points, where the fixed-point
+iteration swings) are solved by bisection, again as a native expression that
+runs only for those rows: every valid pair has a distance.
 
 ``haversine_km`` (native column) and ``make_distance_udf`` (Arrow-batched
 pandas UDF for a caller's own vectorised solver) cover the UDF surface.
@@ -19,7 +20,9 @@ pandas UDF for a caller's own vectorised solver) cover the UDF surface.
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,7 @@ EARTH_RADIUS_KM = 6371.0088
 
 DEFAULT_ITERATIONS = 8
 CONVERGENCE_RAD = 1e-9
+HALVINGS = 120  # a bracket of at most pi shrinks below the smallest angle that matters
 
 _P = "__geo_"  # prefix of temporary columns
 
@@ -95,6 +99,61 @@ _DSIG = (f"({_BIG_B} * {_SS} * ({_C2SM} + {_BIG_B} / 4D * ({_CS} * (-1D + 2D * {
 _FINAL = {"dist": _inline(f"{_d(WGS84_B / 1000.0)} * {_BIG_A} * ({_SIG} - {_DSIG})", _ANGLE_TERMS)}
 
 
+# Near-antipodal pairs. With x = pi - lambda the method's equation reads
+# x + correction(x) = pi - |L|, whose left side is 0 at x = 0 (unless the
+# reduced latitudes are exactly opposite) and at least pi - |L| at
+# x = pi - |L|: the root is bracketed and halving always ends. Written in x,
+# the sigma terms keep full precision however close to antipodal the pair is.
+# If the latitudes are opposite and no root is left above 0, the geodesic
+# passes half round the auxiliary sphere and its azimuth is free: sin(alpha)
+# follows from the same equation with sigma = pi.
+_LEFT = f"(pi() - abs(pmod({_n('L')} + pi(), 2D * pi()) - pi()))"
+_AT_X = {
+    "ss": f"sqrt(pow({_CU2} * sin(x), 2) + pow(sin({_n('u1')} + {_n('u2')})"
+          f" - 2D * {_SU1} * {_CU2} * pow(sin(x / 2D), 2), 2))",
+    "cs": f"({_SU1} * {_SU2} - {_CU1} * {_CU2} * cos(x))",
+}
+_X_SIGMA = f"named_struct('ss', {_AT_X['ss']}, 'cs', {_AT_X['cs']}, 'sx', sin(x))"
+_X_ANGLES = (f"named_struct('ss', s.ss, 'cs', s.cs, 'sig', atan2(s.ss, s.cs),"
+             f" 'sa', coalesce(try_divide({_CU1} * {_CU2} * s.sx, s.ss), 0D))")
+_X_SERIES = (f"named_struct('ss', a.ss, 'cs', a.cs, 'sig', a.sig, 'sa', a.sa, 'c2a', 1D - a.sa * a.sa, 'c2sm',"
+             f" a.cs - coalesce(try_divide(2D * {_SU1} * {_SU2}, 1D - a.sa * a.sa), a.cs))")
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _series(body: str) -> str:
+    """``body`` over ``t``, the terms of the current ``x``."""
+    return _let("s", _X_SIGMA, _let("a", _X_ANGLES, _let("t", _X_SERIES, body)))
+
+
+_TC = f"({_d(WGS84_F / 16)} * t.c2a * (4D + {_d(WGS84_F)} * (4D - 3D * t.c2a)))"
+_CORRECTION = (f"((1D - {_TC}) * {_d(WGS84_F)} * t.sa * (t.sig + {_TC} * t.ss * (t.c2sm + {_TC} * t.cs *"
+               f" (-1D + 2D * t.c2sm * t.c2sm))))")
+_HALVE = (f"CASE WHEN x + {_CORRECTION} < {_LEFT} THEN named_struct('lo', x, 'hi', b.hi)"
+          f" ELSE named_struct('lo', b.lo, 'hi', x) END")
+_ROOT = (f"aggregate(sequence(1, {HALVINGS}), named_struct('lo', 0D, 'hi', {_LEFT}),"
+         f" (b, i) -> {_let('x', '(b.lo + b.hi) / 2D', _series(_HALVE))}, b -> (b.lo + b.hi) / 2D)")
+
+
+def _length(c2a: str, sig: str, ss: str, cs: str, c2sm: str) -> str:
+    """Kilometres along the spheroid from the terms of the auxiliary sphere."""
+    terms = {"c2a": c2a, "sig": sig, "ss": ss, "cs": cs}
+    text = f"({_d(WGS84_B / 1000.0)} * {_BIG_A} * ({_SIG} - {_DSIG}))".replace(_C2SM, f"({c2sm})")
+    return _inline(text, terms)
+
+
+_HALF_ROUND = (f"aggregate(sequence(1, 20), 0D, (sa, i) -> {_LEFT} / (pi() * {_d(WGS84_F)} * (1D - {_d(WGS84_F / 16)}"
+               f" * (1D - sa * sa) * (4D + {_d(WGS84_F)} * (4D - 3D * (1D - sa * sa))))))")
+_BISECTED = _let("x", _ROOT, (
+    f"CASE WHEN {_n('u1')} + {_n('u2')} = 0D AND x < 1e-12D"
+    f" THEN {_let('q', _HALF_ROUND, _length('(1D - q * q)', 'pi()', '0D', '-1D', '0D'))}"
+    f" ELSE {_series(_length('t.c2a', 't.sig', 't.ss', 't.cs', 't.c2sm'))} END"))
+
+
 def with_geodesic_km(
     df: DataFrame,
     lat1: ColumnLike,
@@ -106,32 +165,35 @@ def with_geodesic_km(
 ) -> DataFrame:
     """Add column ``out``: WGS-84 geodesic distance in kilometres.
 
-    Null when any coordinate is null or the iteration has not converged
-    (near-antipodal points). The projection chain is issued as one nested
-    SQL statement over ``df`` -- a single parse and analysis instead of one
-    per step.
+    Null only when a coordinate is null or not a number. An existing column
+    ``out`` is replaced; other columns are kept, whatever their names. The
+    projection chain is issued as one nested SQL statement over ``df`` -- a
+    single parse and analysis instead of one per step.
     """
     f = WGS84_F
+    prefix = f"__geo_{uuid.uuid4().hex[:12]}_"  # fresh, so no caller column can have it
+    keep = [c for c in df.columns if c != out]
     start = df.withColumns({
-        _P + "L": F.radians(as_col(lon2)) - F.radians(as_col(lon1)),
-        _P + "u1": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat1)))),
-        _P + "u2": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat2)))),
+        prefix + "L": F.radians(as_col(lon2)) - F.radians(as_col(lon1)),
+        prefix + "u1": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat1)))),
+        prefix + "u2": F.atan(F.lit(1 - f) * F.tan(F.radians(as_col(lat2)))),
     })
     steps = [{"su1": f"sin({_n('u1')})", "cu1": f"cos({_n('u1')})",
               "su2": f"sin({_n('u2')})", "cu2": f"cos({_n('u2')})", "lam": _n("L")}]
     steps += [_STEP_SIGMA, _STEP_NEXT] * iterations
     steps += [_STEP_SIGMA, _FINAL]
-    keep = [c for c in start.columns if not c.startswith(_P)]
     temps = [_P + c for c in ("L", "u1", "u2")]
+    names = ", ".join(f"`{c.replace('`', '``')}`" for c in keep)
+    names += ", " if names else ""
     query = "{src}"
     for step in steps:
         carried = [c for c in temps if c[len(_P):] not in step]
-        cols = [f"`{c}`" for c in keep + carried] + [f"{expr} AS `{_P}{name}`" for name, expr in step.items()]
-        query = f"SELECT {', '.join(cols)} FROM ({query})"
+        cols = [f"`{c}`" for c in carried] + [f"{expr} AS `{_P}{name}`" for name, expr in step.items()]
+        query = f"SELECT @kept {', '.join(cols)} FROM ({query})"
         temps = carried + [_P + name for name in step if _P + name not in carried]
     converged = f"abs({_LAM} - {_n('prev')}) <= {_d(CONVERGENCE_RAD)}"
-    cols = [f"`{c}`" for c in keep] + [f"CASE WHEN {converged} THEN {_n('dist')} END AS `{out}`"]
-    query = f"SELECT {', '.join(cols)} FROM ({query})"
+    query = f"SELECT @kept CASE WHEN {converged} THEN {_n('dist')} ELSE {_BISECTED} END AS `{out}` FROM ({query})"
+    query = query.replace(_P, prefix).replace("@kept", names)
     return df.sparkSession.sql(query, src=start)
 
 
@@ -163,11 +225,6 @@ def make_distance_udf(solver: Callable = haversine_np):
     serialised by value (this module included), so executors need numpy and
     pandas but not this package on their path.
     """
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    solver_module = sys.modules.get(getattr(solver, "__module__", ""), None)
-    if solver_module is not None and solver_module.__name__.startswith("blotter"):
-        cloudpickle.register_pickle_by_value(solver_module)
-
     @F.pandas_udf(T.DoubleType())
     def distance(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
         out = solver(lat1.to_numpy(dtype="float64", na_value=np.nan),
@@ -176,7 +233,26 @@ def make_distance_udf(solver: Callable = haversine_np):
                      lon2.to_numpy(dtype="float64", na_value=np.nan))
         return pd.Series(out, dtype="float64")
 
-    return distance
+    def call(lat1: ColumnLike, lon1: ColumnLike, lat2: ColumnLike, lon2: ColumnLike) -> Column:
+        # the function is serialised when the UDF is first applied
+        with _by_value(distance, solver):
+            return distance(lat1, lon1, lat2, lon2)
+
+    return call
+
+
+@contextmanager
+def _by_value(*functions: Callable):
+    """While the UDF is built, the package's modules of these functions are serialised by value."""
+    names = {f.__module__ for f in functions if getattr(f, "__module__", "").split(".")[0] == __name__.split(".")[0]}
+    modules = [sys.modules[n] for n in sorted(names | {__name__})]
+    for m in modules:
+        cloudpickle.register_pickle_by_value(m)
+    try:
+        yield
+    finally:
+        for m in modules:
+            cloudpickle.unregister_pickle_by_value(m)
 
 
 haversine_udf = make_distance_udf(haversine_np)

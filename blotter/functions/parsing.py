@@ -28,11 +28,12 @@ def parse_date(c: ColumnLike, fmt: str = INCIDENT_TS_FORMAT) -> Column:
 
 
 def to_int(c: ColumnLike) -> Column:
-    """Text or number -> int; null for text that is not an integer.
+    """Text or number -> int; null for text that is not a number.
 
-    Leading zeros are accepted (``"01"`` -> 1), surrounding blanks ignored.
+    Leading zeros and decimal forms are accepted (``"01"`` -> 1, ``"101.0"``
+    -> 101, decimals are cut off), surrounding blanks ignored.
     """
-    return F.trim(as_col(c).cast("string")).try_cast("int")
+    return F.trim(as_col(c).cast("string")).try_cast("double").try_cast("int")
 
 
 def to_double(c: ColumnLike) -> Column:
@@ -41,8 +42,8 @@ def to_double(c: ColumnLike) -> Column:
 
 
 def money_to_int(c: ColumnLike) -> Column:
-    """Money text such as ``"$12,345"`` -> 12345; empty or invalid -> null."""
-    return F.regexp_replace(as_col(c), r"[$,]", "").try_cast("int")
+    """Money text such as ``"$12,345"`` or ``"$12,345.67"`` -> 12345; empty or invalid -> null."""
+    return to_int(F.regexp_replace(as_col(c), r"[$,]", ""))
 
 
 def zip5(c: ColumnLike) -> Column:
@@ -50,6 +51,13 @@ def zip5(c: ColumnLike) -> Column:
     return F.substring(as_col(c), 1, 5)
 
 
+def zip_text(c: ColumnLike) -> Column:
+    """A ZIP code as text of at least five digits: number files lose leading
+    zeros (``1234`` or ``1234.0`` -> ``"01234"``)."""
+    text = F.regexp_replace(F.trim(as_col(c).cast("string")), r"\.0*$", "")
+    return F.when(F.length(text).between(1, 4), F.lpad(text, 5, "0")).otherwise(text)
+
+
 def code_prefix(c: ColumnLike, prefix: str = "1") -> Column:
     """True when the integer code's text starts with ``prefix``.
 

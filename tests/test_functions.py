@@ -22,6 +22,7 @@ from blotter.functions import (
     to_int,
     with_geodesic_km,
     zip5,
+    zip_text,
 )
 from tests.vincenty_ref import vincenty_reference_km
 
@@ -103,8 +104,32 @@ def test_geodesic_matches_reference_and_is_symmetric(spark):
         assert x is not None and abs(x - ref) < 1e-6 and abs(x - y) < 1e-6 and x >= 0
 
 
-def test_geodesic_antipodal_is_null(spark):
-    assert _dist(spark, [(0.0, 0.0, 0.5, 179.7)]) == [None]
+def test_geodesic_near_antipodal(spark):
+    """Published lengths (km) of lines that the plain iteration can't solve, and lines half round the spheroid."""
+    half = 20003.9314586236
+    pts = [(0.0, 0.0, 0.5, 179.5), (0.0, 0.0, 0.5, 179.7), (-30.0, 0.0, 29.9, 179.8), (0.0, 0.0, 0.0, 180.0),
+           (30.0, 10.0, -30.0, -170.0), (90.0, 0.0, -90.0, 10.0)]
+    want = [19936.288579, 19944.127421, 19989.832828, half, half, half]
+    out = _dist(spark, pts)
+    assert all(abs(x - y) < 2e-6 for x, y in zip(out, want))
+    back = _dist(spark, [(c, d, a, b) for a, b, c, d in pts])
+    assert all(abs(x - y) < 1e-6 for x, y in zip(out, back))
+
+
+def test_geodesic_keeps_the_callers_columns(spark):
+    df = spark.createDataFrame([(34.0, -118.0, 34.5, -118.4, "x", "old")],
+                               "a double, b double, c double, d double, __geo_lam string, distance_km string")
+    out = with_geodesic_km(df, "a", "b", "c", "d")
+    assert sorted(out.columns) == sorted(df.columns) and out.columns.count("distance_km") == 1
+    row = out.first()
+    assert row["__geo_lam"] == "x" and abs(row["distance_km"] - 66.6) < 1
+
+
+def test_numbers_in_decimal_form(spark):
+    row = spark.sql("SELECT ' 101.0' a, '$12,345.67' b, '1.5e2' c, 'x' d, '99999999999' e, 1234 f, '90012' g, '501.0' h")
+    got = row.select(to_int("a"), money_to_int("b"), to_int("c"), to_int("d"), to_int("e"), zip_text("f"),
+                     zip_text("g"), zip_text("h")).first()
+    assert tuple(got) == (101, 12345, 150, None, None, "01234", "90012", "00501")
 
 
 def test_haversine_udf_equals_native(spark):
