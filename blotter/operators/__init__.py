@@ -1,11 +1,12 @@
 from blotter.operators.aggregates import composite_reduce_mean, count_and_mean, count_by
 from blotter.operators.joins import (
-    MAX_BROADCAST_ROWS,
+    MAX_BROADCAST_BYTES,
+    broadcast_side,
     first_per_key,
     in_list,
-    is_bounded,
     join,
     lookup,
+    measured_bytes,
     require_unique,
     salted_join,
     semi_join,
@@ -14,15 +15,16 @@ from blotter.operators.ranking import rank_within, top_k_keys, top_k_rows, top_n
 from blotter.operators.union import union_by_name, union_by_position
 
 __all__ = [
-    "MAX_BROADCAST_ROWS",
+    "MAX_BROADCAST_BYTES",
+    "broadcast_side",
     "composite_reduce_mean",
     "count_and_mean",
     "count_by",
     "first_per_key",
     "in_list",
-    "is_bounded",
     "join",
     "lookup",
+    "measured_bytes",
     "rank_within",
     "require_unique",
     "salted_join",

@@ -1,4 +1,4 @@
-"""Equi-joins with an explicit, size-checked strategy.
+"""Equi-joins with an explicit strategy.
 
 ``strategy``:
 
@@ -6,14 +6,17 @@
   estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and
   with AQE it re-plans from the real size of each shuffle stage (late
   broadcast) and splits skewed partitions of a sort-merge join.
-* ``"broadcast"`` -- broadcast the right side after proving it small
-  (``is_bounded``, one cheap job); a side over the bound is never
-  broadcast (a warning is logged and the planner's join is used).
+* ``"broadcast"`` -- broadcast the right side after measuring its bytes
+  (one aggregation on the executors; one row comes back). A side over the
+  bound raises: nothing falls back to another join unseen.
 * ``"merge"`` / ``"shuffle_hash"`` -- shuffle both sides on the key
-  (sort-merge or shuffled hash join). With ``salt=N`` a hot key's rows
-  are spread over N tasks: the left side gets a deterministic salt from a
-  row hash (stable under task retries), the right side is replicated N
-  times. Results are identical to the plain join.
+  (sort-merge or shuffled hash join).
+
+With ``salt=N`` (any strategy but broadcast) a hot key's rows are spread over
+N tasks. Equal left rows are first counted into one row, so that even a key
+whose rows are all alike is split; the salt is a hash of the row (the same
+when a task is retried), the right side is replicated N times, and the
+counts are unfolded after the join. Results are those of the plain join.
 
 Joins multiply relationally: duplicate keys on either side give one output
 row per matching pair, whatever the strategy.
@@ -21,32 +24,47 @@ row per matching pair, whatever the strategy.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-log = logging.getLogger(__name__)
+from pyspark.sql import types as T
 
 STRATEGIES = (None, "auto", "broadcast", "merge", "shuffle_hash")
 
-# Default bound for a broadcast side: dimension tables (stations, ZIP codes,
-# geocoded points) stay far below it; a fact table never does.
-MAX_BROADCAST_ROWS = 1_000_000
+# Default bound for a broadcast side: dimension tables (stations, ZIP codes)
+# stay far below it; a fact table never does.
+MAX_BROADCAST_BYTES = 64 << 20
 
 _SALT = "__salt"
+_COPIES = "__copies"
 
 
-def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``: text and binary by length, nested values
+    by their JSON text, everything else eight bytes a value, plus sixteen a row.
 
-    Runs ``take(max_rows + 1)`` on an empty projection: the scan reads no
-    payload columns, and Spark's incremental take stops as soon as one more
-    row than the bound has been found, so a large table answers from its
-    first partitions instead of a full scan.
+    Summed where the rows are; one row comes to the driver.
     """
-    return len(df.select().take(max_rows + 1)) <= max_rows
+    row = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            row = row + F.lit(8) + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            row = row + F.lit(8) + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        else:
+            row = row + F.lit(8)
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def broadcast_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast; raises if its rows are more than ``max_bytes``."""
+    size = measured_bytes(df)
+    if size > max_bytes:
+        raise ValueError(f"the side to broadcast has {size} bytes, more than the bound of {max_bytes}; "
+                         "use strategy=None, 'merge' or 'shuffle_hash', or raise the bound")
+    return F.broadcast(df)
 
 
 def _keys(on: str | Sequence[str]) -> list[str]:
@@ -57,59 +75,65 @@ def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
                 buckets: int = 16, hint: str | None = "merge") -> DataFrame:
     """Equi-join that spreads every key over ``buckets`` tasks.
 
-    The salt of a left row is ``pmod(xxhash64(row), buckets)`` -- a function
-    of the row's values, so a recomputed task assigns the same salt. Each
-    right row is emitted once per salt value. Only inner and left joins
-    keep their meaning under salting.
+    Equal left rows become one row and a count (partial sums leave one row
+    per task to shuffle), so the rows that are salted all differ and a hash
+    of the row spreads them. Each right row is emitted once per salt value.
+    Only joins that keep left rows as they are keep their meaning.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salting does not preserve {how!r} joins")
     keys = _keys(on)
-    salted_left = left.withColumn(_SALT, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)))
-    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    counted = left.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
+    counted = counted.withColumn(_SALT, F.pmod(F.xxhash64(*columns), F.lit(buckets)))
+    spread = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
     if hint:
-        salted_right = salted_right.hint(hint)
-    return salted_left.join(salted_right, keys + [_SALT], how).drop(_SALT)
+        spread = spread.hint(hint)
+    joined = counted.join(spread, keys + [_SALT], how).drop(_SALT)
+    unfolded = joined.withColumn(_COPIES, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_COPIES))))
+    return unfolded.drop(_COPIES)
 
 
 def join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
-         strategy: str | None = None, max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+         strategy: str | None = None, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
          salt: int | None = None) -> DataFrame:
     """Join ``left`` (the large side) with ``right`` using ``strategy``."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
-    if strategy in ("merge", "shuffle_hash"):
-        if salt and salt > 1:
-            if isinstance(on, Column):
-                raise ValueError("salting needs join key names")
-            return salted_join(left, right, on, how, buckets=salt, hint=strategy)
-        return left.join(right.hint(strategy), on, how)
+    hint = strategy if strategy in ("merge", "shuffle_hash") else None
+    if salt is not None and salt > 1:
+        if strategy == "broadcast":
+            raise ValueError("a broadcast join shuffles no keys: it takes no salt")
+        if isinstance(on, Column):
+            raise ValueError("salting needs join key names")
+        return salted_join(left, right, on, how, buckets=salt, hint=hint)
     if strategy == "broadcast":
-        if is_bounded(right, max_broadcast_rows):
-            return left.join(F.broadcast(right), on, how)
-        log.warning("right side exceeds %d rows; not broadcast, planner chooses the join", max_broadcast_rows)
-    return left.join(right, on, how)
+        return left.join(broadcast_side(right, max_broadcast_bytes), on, how)
+    return left.join(right.hint(hint) if hint else right, on, how)
 
 
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], value_cols: Sequence[str],
            default: object = "Unknown", strategy: str | None = None) -> DataFrame:
-    """Left join that fills unmatched lookups with ``default``."""
-    joined = join(left, right.select(*_keys(on), *value_cols), on, "left", strategy=strategy)
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in value_cols})
+    """Left join to a map of one value per key; ``default`` where the key is not in it.
+
+    A key that repeats in ``right`` counts once, with its least values (nulls
+    last), so no left row is multiplied; a key that is there with a null
+    value stays null.
+    """
+    found = "__found"
+    table = first_per_key(right.select(*_keys(on), *value_cols), on, value_cols).withColumn(found, F.lit(True))
+    joined = join(left, table, on, "left", strategy=strategy)
+    filled = {c: F.when(F.col(found), F.col(c)).otherwise(F.lit(default)) for c in value_cols}
+    return joined.withColumns(filled).drop(found)
 
 
-def semi_join(left: DataFrame, keys: DataFrame, on: str | Sequence[str],
-              known_max_rows: int | None = None) -> DataFrame:
+def semi_join(left: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Keep left rows whose key occurs in ``keys`` (no duplication).
 
-    Pass ``known_max_rows`` when ``keys`` is bounded by construction (a
-    ``limit(k)`` subplan): it is then broadcast without a checking job.
-    Otherwise the planner decides as for any join.
+    The planner broadcasts small keys by their size, with AQE by the size
+    they turn out to have.
     """
-    k = keys.select(*_keys(on))
-    if known_max_rows is not None and known_max_rows <= MAX_BROADCAST_ROWS:
-        return left.join(F.broadcast(k), on, "left_semi")
-    return left.join(k, on, "left_semi")
+    return left.join(keys.select(*_keys(on)), on, "left_semi")
 
 
 def in_list(left: DataFrame, column: str, values: Sequence[object]) -> DataFrame:

@@ -8,9 +8,9 @@ from blotter.operators import (
     count_and_mean,
     count_by,
     in_list,
-    is_bounded,
     join,
     lookup,
+    measured_bytes,
     rank_within,
     require_unique,
     semi_join,
@@ -63,16 +63,15 @@ def test_strategy_hints_reach_the_plan(spark, facts, dims, strategy, node):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_broadcast_is_refused_over_the_bound(spark, facts, dims):
-    assert is_bounded(dims, 5) and not is_bounded(dims, 4)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = join(facts, dims, "prec", strategy="broadcast", max_broadcast_rows=2)
-        assert "BroadcastHashJoin" not in _plan(df)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_broadcast_over_the_bound_raises(spark, facts, dims):
+    size = measured_bytes(dims)
+    assert size == 5 * 32 + len("zerooneone_btwothree")
+    assert _rows(join(facts, dims, "prec", strategy="broadcast", max_broadcast_bytes=size)) == _rows(
+        join(facts, dims, "prec"))
+    with pytest.raises(ValueError, match="bound"):
+        join(facts, dims, "prec", strategy="broadcast", max_broadcast_bytes=size - 1)
+    nested = spark.sql("SELECT array(1, 2) a, named_struct('x', 'yy') s, cast(null AS string) t")
+    assert measured_bytes(nested) > measured_bytes(nested.select("t")) and measured_bytes(dims.limit(0)) == 0
 
 
 def test_lookup_default(spark, facts, dims):
@@ -81,6 +80,14 @@ def test_lookup_default(spark, facts, dims):
     assert {r.division for r in out.filter("prec = 1").collect()} == {"Unknown"}
 
 
+def test_lookup_is_a_map_of_one_value_per_key(spark, facts, dims):
+    table = dims.union(spark.createDataFrame([(4, None), (0, None)], dims.schema))
+    out = lookup(facts, table, "prec", ["division"])
+    assert out.count() == facts.count()
+    got = {r.prec: r.division for r in out.collect()}
+    assert got[1] == "one" and got[0] == "zero" and got[4] is None
+
+
 def test_semi_join_and_in_list(spark, facts):
     keys = spark.createDataFrame([(1,), (1,), (3,)], "prec int")
     a = _rows(semi_join(facts, keys, "prec").select("id", "prec"))
@@ -133,16 +140,27 @@ def test_union_by_position(spark):
         union_by_position(a, spark.range(1))
 
 
-def test_salting_spreads_a_hot_key(spark):
+@pytest.mark.parametrize("strategy", [None, "merge", "shuffle_hash"])
+def test_salting_keeps_results_on_every_shuffled_join(spark, facts, dims, strategy):
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        assert _rows(join(facts, dims, "prec", how, strategy=strategy, salt=3)) == _rows(join(facts, dims, "prec", how))
+    with pytest.raises(ValueError, match="salt"):
+        join(facts, dims, "prec", strategy="broadcast", salt=3)
+
+
+def test_salting_splits_equal_rows_and_spreads_a_hot_key(spark):
     from blotter.operators.joins import _SALT
 
-    hot = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 10 < 5, 7).otherwise(F.col("id") % 50)
-                                   .cast("int").alias("prec"))  # key 7 holds over half of the rows
     dims = spark.range(50).select(F.col("id").cast("int").alias("prec"), F.concat(F.lit("d"), F.col("id")).alias("division"))
-    plain = _rows(hot.join(dims, "prec").select("id", "prec", "division"))
+    # 20,000 rows that are all alike: one row with a count is what is shuffled
+    alike = spark.range(0, 20_000, 1, 8).select(F.lit(7).alias("prec"))
+    salted = join(alike, dims, "prec", strategy="merge", salt=8)
+    assert salted.groupBy("prec", "division").count().collect() == [(7, "d7", 20_000)]
+    plan = _plan(salted)
+    assert _SALT in plan and "partial_count" in plan
+    # one key with many different rows: every salt takes its share
+    hot = spark.range(4000).select("id", F.lit(7).alias("prec"))
     salted = join(hot, dims, "prec", strategy="merge", salt=8)
-    assert _rows(salted.select("id", "prec", "division")) == plain
-    buckets = (hot.filter("prec = 7").select(F.pmod(F.xxhash64("id", "prec"), F.lit(8)).alias(_SALT))
-               .groupBy(_SALT).count().collect())
-    assert len(buckets) == 8 and max(r["count"] for r in buckets) < 0.25 * sum(r["count"] for r in buckets)
-    assert _SALT in _plan(salted)
+    assert _rows(salted.select("id", "prec", "division")) == _rows(hot.join(dims, "prec").select("id", "prec", "division"))
+    share = hot.groupBy(F.pmod(F.xxhash64("id", "prec"), F.lit(8))).count().collect()
+    assert len(share) == 8 and max(r["count"] for r in share) < 0.2 * 4000
