@@ -1,7 +1,9 @@
 from blotter.sources.readers import (
     FIRST_LINE,
+    REJECT_COLUMN,
     clean,
     csv_to_parquet,
+    first_line,
     header_line,
     normalize_columns,
     parse_csv_lines,
@@ -10,6 +12,7 @@ from blotter.sources.readers import (
     read_table,
     read_text_lines,
     register_view,
+    reject_counts,
     run_sql,
     write_csv,
     write_parquet,
@@ -19,8 +22,10 @@ from blotter.sources.schemas import LAYOUTS, text_schema
 __all__ = [
     "FIRST_LINE",
     "LAYOUTS",
+    "REJECT_COLUMN",
     "clean",
     "csv_to_parquet",
+    "first_line",
     "header_line",
     "normalize_columns",
     "parse_csv_lines",
@@ -29,6 +34,7 @@ __all__ = [
     "read_table",
     "read_text_lines",
     "register_view",
+    "reject_counts",
     "run_sql",
     "text_schema",
     "write_csv",

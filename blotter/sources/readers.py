@@ -24,6 +24,7 @@ from blotter.functions import parsing
 from blotter.sources import schemas
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE"}
+REJECT_COLUMN = "_corrupt_record"
 
 
 def _layout(table: str) -> list[tuple[str, str]]:
@@ -34,22 +35,39 @@ def _layout(table: str) -> list[tuple[str, str]]:
 
 
 def read_csv(spark: SparkSession, paths: str | Iterable[str], table: str | None = None,
-             schema: T.StructType | None = None, **options: str) -> DataFrame:
+             schema: T.StructType | None = None, rejects: bool = False, **options: str) -> DataFrame:
     """Read CSV file(s) with a declared schema.
 
     ``table`` names one of the known layouts (columns come out as text with
     clean names); alternatively pass ``schema``. Several paths are read as
     one relation -- the union of files with the same column order.
+
+    A malformed record (too few or too many fields, or a field that doesn't
+    fit the schema) keeps what could be read. With ``rejects=True`` the column
+    ``_corrupt_record`` holds its text and is null for all other records, so
+    bad records can be counted (``reject_counts``) or set aside.
     """
     if schema is None:
         if table is None:
             raise ValueError("pass table= or schema=")
         schema = schemas.text_schema(_layout(table))
     opts = {**CSV_OPTIONS, **options}
+    if rejects:
+        schema = T.StructType([*schema.fields, T.StructField(REJECT_COLUMN, T.StringType())])
+        opts["columnNameOfCorruptRecord"] = REJECT_COLUMN
     path_list = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.schema(schema).options(**opts).csv(path_list)
 
 
+def reject_counts(df: DataFrame) -> DataFrame:
+    """``n_rows, n_rejects`` of a table read with ``rejects=True``."""
+    # The count looks at a hash of all columns, so that the reader parses them
+    # all: a record's faults show only in columns that are read.
+    every = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.select(F.col(REJECT_COLUMN).isNotNull().alias("bad"), every.alias("hash"))
+            .agg(F.count_if(F.col("hash") >= F.lit(-2 ** 63)).alias("n_rows"), F.count_if("bad").alias("n_rejects")))
+
+
 def read_parquet(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     path_list = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.parquet(*path_list)
@@ -61,6 +79,21 @@ def read_text_lines(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     return spark.read.text(path_list)
 
 
+def first_line(lines: DataFrame, value_col: str = "value") -> str | None:
+    """The first line of the first file by path (one line comes to the driver).
+
+    ``lines`` comes from ``read_text_lines``. Spark deals out files by size,
+    so the first *row* may be of any file; the first block of the first file
+    is read on its own.
+    """
+    files = lines.inputFiles()
+    if not files:
+        return None
+    start = lines.sparkSession.read.text(min(files)).filter(F.col("_metadata.file_block_start") == 0)
+    row = start.withColumnRenamed("value", value_col).select(value_col).first()
+    return None if row is None else row[0]
+
+
 FIRST_LINE = object()  # ``header=FIRST_LINE``: the header is the input's first line
 
 
@@ -69,17 +102,16 @@ def parse_csv_lines(lines: DataFrame, schema: T.StructType, header: str | object
     """Parse CSV text lines into typed columns.
 
     Lines equal to ``header`` (every copy, e.g. one per concatenated file)
-    and blank lines are dropped; each remaining line is parsed by
-    ``from_csv`` with quote-doubling escapes, so quoted commas stay inside
+    and lines of white space only are dropped; each remaining line is parsed
+    by ``from_csv`` with quote-doubling escapes, so quoted commas stay inside
     their field. Missing trailing fields come out null. With
-    ``header=FIRST_LINE`` the header text is read from the input's first
-    line (one line fetched to the driver).
+    ``header=FIRST_LINE`` the header is the first line of the first input file
+    by path.
     """
     if header is FIRST_LINE:
-        first = lines.select(value_col).first()
-        header = None if first is None else first[0]
+        header = first_line(lines, value_col)
     v = F.col(value_col)
-    keep = F.trim(v) != F.lit("")
+    keep = v.rlike(r"\S")
     if header is not None:
         keep = keep & (v != F.lit(header))
     parsed = F.from_csv(v, schema.simpleString(), {"escape": '"', "mode": "PERMISSIVE"})

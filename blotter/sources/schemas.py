@@ -93,7 +93,7 @@ INCIDENT_TYPES = {
     "lon": T.DoubleType(),
 }
 GEO_TYPES = {"lat": T.DoubleType(), "lon": T.DoubleType()}
-INCOME_TYPES = {"zip_code": T.IntegerType()}
+INCOME_TYPES: dict[str, T.DataType] = {}  # a ZIP is text: as a number it loses leading zeros
 STATION_TYPES = {"x": T.DoubleType(), "y": T.DoubleType(), "prec": T.IntegerType()}
 
 TYPES = {

@@ -6,13 +6,16 @@ from pyspark.sql import types as T
 
 from blotter.session import scratch_path
 from blotter.sources import (
+    REJECT_COLUMN,
     clean,
     csv_to_parquet,
+    first_line,
     parse_csv_lines,
     read_csv,
     read_parquet,
     read_text_lines,
     register_view,
+    reject_counts,
     run_sql,
     text_schema,
     write_parquet,
@@ -45,7 +48,7 @@ def test_text_lines_parse_drops_headers_and_blanks(spark, tmp_path):
     p = tmp_path / "lines"
     p.mkdir()
     (p / "part1.txt").write_text('a,b\n1,"x, ""y"""\n\n2,z\n')
-    (p / "part2.txt").write_text("a,b\n   \n3,w\n")
+    (p / "part2.txt").write_text("a,b\n   \n\t\n \t \n3,w\n")
     out = parse_csv_lines(read_text_lines(spark, str(p)), schema, header="a,b")
     assert sorted((r.a, r.b) for r in out.collect()) == [(1, 'x, "y"'), (2, "z"), (3, "w")]
 
@@ -97,3 +100,28 @@ def test_parquet_with_raw_headers_feeds_the_reports(spark, incident_files):
     assert "date_rptd" in df.columns and "area" in df.columns and "lat" in df.columns
     expected = plans.top_months_per_year(read_csv(spark, list(incident_files), table="incidents"))
     assert [tuple(r) for r in plans.top_months_per_year(df).collect()] == [tuple(r) for r in expected.collect()]
+
+
+def test_header_is_the_first_line_of_the_first_file_by_path(spark, tmp_path):
+    """Spark reads large files first; the header is still that of the first path."""
+    from blotter.sources import FIRST_LINE
+
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    p = tmp_path / "folder"
+    p.mkdir()
+    (p / "a-small.txt").write_text("a,b\n1,x\n")
+    (p / "b-large.txt").write_text("".join(f"{i},row\n" for i in range(2, 2000)))
+    lines = read_text_lines(spark, str(p))
+    assert first_line(lines) == "a,b"
+    out = parse_csv_lines(lines, schema, header=FIRST_LINE)
+    assert out.count() == 1999 and out.filter("a is null").count() == 0
+
+
+def test_malformed_records_are_counted(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    f = tmp_path / "bad.csv"
+    f.write_text('a,b\n1,x\n2\n3,y,z\nfour,w\n5,"q ""r"", s"\n')
+    df = read_csv(spark, str(f), schema=schema, rejects=True)
+    assert tuple(reject_counts(df).first()) == (5, 3)
+    assert sorted(r[REJECT_COLUMN] for r in df.collect() if r[REJECT_COLUMN]) == ["2", "3,y,z", "four,w"]
+    assert read_csv(spark, str(f), schema=schema).columns == ["a", "b"]
