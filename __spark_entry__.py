@@ -34,6 +34,7 @@ from blotter.functions import (  # noqa: E402
     recode,
     with_geodesic_km,
     zip5,
+    zip_text,
 )
 from blotter.operators import (  # noqa: E402
     composite_reduce_mean,
@@ -47,14 +48,19 @@ from blotter.operators import (  # noqa: E402
 from blotter.plans import standins  # noqa: E402
 from blotter.session import REQUIRED_CONF, scratch_path  # noqa: E402
 from blotter.sources import (  # noqa: E402
+    FIRST_LINE,
+    clean,
     csv_to_parquet,
     header_line,
     parse_csv_lines,
     read_csv,
+    read_table,
     read_text_lines,
     register_view,
+    reject_counts,
     run_sql,
     write_csv,
+    write_parquet,
 )
 
 try:  # the corpus operators are an optional part
@@ -67,6 +73,7 @@ except ModuleNotFoundError as missing:
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 Q3_YEAR = 1997
 DROPPED_STATIONS = (3, 7, 11)
+NULL_STATION = 5
 
 
 def _prepare(spark: SparkSession) -> None:
@@ -74,19 +81,14 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The test table as a DataFrame, loaded once per application (file
-    listing and footers are read once; the DataFrame itself is immutable)."""
     _prepare(spark)
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _union_orders(spark, sf_dir) -> DataFrame:
+    """The orders behind the two yearly files, unioned before anything is joined."""
+    return union_by_position(*standins.order_halves(_t(spark, sf_dir, "orders")))
 
 
 def _inc(spark, sf_dir) -> DataFrame:
@@ -94,12 +96,16 @@ def _inc(spark, sf_dir) -> DataFrame:
 
 
 def _inc_union(spark, sf_dir) -> DataFrame:
-    early, late = standins.incident_halves(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))
-    return union_by_position(early, late)
+    return standins.incidents(_union_orders(spark, sf_dir), _t(spark, sf_dir, "customer")).drop("o_orderdate")
+
+
+def _dates(spark, sf_dir) -> DataFrame:
+    """Incident columns that need no customer."""
+    return standins.order_dates(_t(spark, sf_dir, "orders")).drop("o_orderdate", "o_custkey")
 
 
 def _geo(spark, sf_dir) -> DataFrame:
-    return standins.geo(_inc(spark, sf_dir))
+    return standins.geo(_dates(spark, sf_dir))
 
 
 def _income(spark, sf_dir) -> DataFrame:
@@ -144,14 +150,66 @@ def q_csv_to_parquet(spark, sf_dir):
 
 
 def q_text_line_parse(spark, sf_dir):
+    """A folder of lines: the header first and again later, blank and white-space lines in between."""
     src = _customer_notes(spark, sf_dir)
-    header = header_line(src.columns)
+    header = F.lit(header_line(src.columns))
+    first = spark.range(0, 1, 1, 1).select(header.alias("value"))
     body = src.select(F.to_csv(F.struct(*src.columns), {"escape": '"'}).alias("value"))
-    blanks = src.filter(F.col("c_custkey") % 7 == 0).select(F.lit("").alias("value"))
-    heads = src.filter(F.col("c_custkey") % 500 == 0).select(F.lit(header).alias("value"))
+    blanks = src.filter(F.col("c_custkey") % 7 == 0).select(
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit(" \t ")).alias("value"))
+    heads = src.filter(F.col("c_custkey") % 500 == 0).select(header.alias("value"))
     path = scratch_path(spark, "text-lines")
-    body.unionAll(blanks).unionAll(heads).write.text(path)
-    return parse_csv_lines(read_text_lines(spark, path), src.schema, header=header)
+    first.unionAll(body).unionAll(blanks).unionAll(heads).write.text(path)
+    return parse_csv_lines(read_text_lines(spark, path), src.schema, header=FIRST_LINE)
+
+
+def q_csv_reject_counts(spark, sf_dir):
+    """Customers as CSV; every 11th record has lost its last fields."""
+    src = _customer_notes(spark, sf_dir)
+    line = F.to_csv(F.struct(*src.columns), {"escape": '"'})
+    short = F.concat(F.col("c_custkey").cast("string"), F.lit(",cut off"))
+    path = scratch_path(spark, "csv-rejects")
+    src.select(F.when(F.col("c_custkey") % 11 == 0, short).otherwise(line).alias("value")).write.text(path)
+    return reject_counts(read_csv(spark, path, schema=src.schema, rejects=True, header="false"))
+
+
+# ---------------------------------------------------------------- raw files -> layout reader -> clean -> report
+
+def _raw_csv(spark, sf_dir) -> str:
+    """The incidents as 28-column text files under the original headers; their folder."""
+    path = scratch_path(spark, "raw-incidents")
+    write_csv(standins.raw_incidents(_inc_union(spark, sf_dir)), path)
+    return path
+
+
+def q_q1_from_csv(spark, sf_dir):
+    return plans.top_months_per_year(read_table(spark, _raw_csv(spark, sf_dir), "incidents", "csv"), n=3)
+
+
+def q_q1_from_raw_parquet(spark, sf_dir):
+    path = scratch_path(spark, "raw-parquet")
+    write_parquet(standins.raw_incidents(_inc_union(spark, sf_dir)), path)
+    return plans.top_months_per_year(read_table(spark, path, "incidents", "parquet"), n=3)
+
+
+def q_q1_from_typed_parquet(spark, sf_dir):
+    typed = csv_to_parquet(spark, _raw_csv(spark, sf_dir), scratch_path(spark, "typed"), table="incidents", typed=True)
+    return plans.top_months_per_year(typed, n=3)
+
+
+def q_q2_from_text(spark, sf_dir):
+    inc = read_table(spark, _raw_csv(spark, sf_dir), "incidents", "text")
+    return plans.day_band_counts(clean(inc, "incidents"), premis="1-URGENT")
+
+
+def q_q3_from_typed_parquet(spark, sf_dir):
+    typed = csv_to_parquet(spark, _raw_csv(spark, sf_dir), scratch_path(spark, "typed"), table="incidents", typed=True)
+    return plans.income_zip_profile(typed, _geo(spark, sf_dir), _income(spark, sf_dir), year=Q3_YEAR, k=3)
+
+
+def q_q4_from_text(spark, sf_dir):
+    inc = read_table(spark, _raw_csv(spark, sf_dir), "incidents", "text")
+    return plans.station_profile(clean(inc, "incidents"), _stations(spark, sf_dir))
 
 
 def q_sql_over_view(spark, sf_dir):
@@ -184,7 +242,7 @@ def q_union_by_position(spark, sf_dir):
 # ---------------------------------------------------------------- Q1
 
 def q_parse_valid_dates(spark, sf_dir):
-    inc = _inc(spark, sf_dir)
+    inc = _dates(spark, sf_dir)
     ts = parse_timestamp("date_rptd")
     return (inc.filter(F.col("date_rptd").isNotNull() & ts.isNotNull())
             .select("dr_no", ts.cast("timestamp_ntz").alias("date_reported"),
@@ -200,11 +258,11 @@ def q_monthly_rank(spark, sf_dir):
 
 
 def q_top_months_per_year(spark, sf_dir):
-    return plans.top_months_per_year(_inc_union(spark, sf_dir), "date_rptd", n=3)
+    return plans.top_months_per_year(standins.order_dates(_union_orders(spark, sf_dir)), "date_rptd", n=3)
 
 
 def q_top_months_per_year_sql(spark, sf_dir):
-    return plans.top_months_per_year_sql(spark, _inc_union(spark, sf_dir), "date_rptd", n=3)
+    return plans.top_months_per_year_sql(spark, standins.order_dates(_union_orders(spark, sf_dir)), "date_rptd", n=3)
 
 
 # ---------------------------------------------------------------- Q2
@@ -224,17 +282,18 @@ def q_day_band_counts_sql(spark, sf_dir):
 # ---------------------------------------------------------------- filters and scalar functions
 
 def q_code_prefix_filter(spark, sf_dir):
-    return _inc(spark, sf_dir).filter(code_prefix("weapon_cd", "1")).select("dr_no", "weapon_cd")
+    return _dates(spark, sf_dir).filter(code_prefix("weapon_cd", "1")).select("dr_no", "weapon_cd")
 
 
 def q_null_island_filter(spark, sf_dir):
-    return _inc(spark, sf_dir).filter(not_null_island("lat", "lon")).select("dr_no", "lat", "lon")
+    return _dates(spark, sf_dir).filter(not_null_island("lat", "lon")).select("dr_no", "lat", "lon")
 
 
 def q_money_to_int(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     raw = (F.when(F.col("o_orderkey") % 8 == 7, F.lit(""))
-           .otherwise(F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0))))
+           .when(F.col("o_orderkey") % 8 == 6, F.concat(F.lit("$"), F.format_number(F.floor("o_totalprice"), 0)))
+           .otherwise(F.concat(F.lit("$"), F.format_number("o_totalprice", 2))))
     return o.select(F.col("o_orderkey").alias("dr_no"), money_to_int(raw).alias("income"))
 
 
@@ -248,14 +307,14 @@ def q_recode_labels(spark, sf_dir):
 
 
 def q_filter_year(spark, sf_dir):
-    inc = _inc(spark, sf_dir)
+    inc = _dates(spark, sf_dir)
     return inc.filter(F.year(parse_timestamp("date_occ")) == Q3_YEAR).select("dr_no")
 
 
 # ---------------------------------------------------------------- joins
 
 def q_join_two_keys(spark, sf_dir):
-    inc = _inc(spark, sf_dir).select("dr_no", "lat", "lon")
+    inc = _dates(spark, sf_dir).select("dr_no", "lat", "lon")
     return join(inc, _geo(spark, sf_dir), ["lat", "lon"]).select("dr_no", "lat", "lon", "zip_raw")
 
 
@@ -284,13 +343,17 @@ def q_join_one_key_salted(spark, sf_dir):
 
 
 def q_join_mixed_type_key(spark, sf_dir):
-    g = plans.clean_geo(_geo(spark, sf_dir))
-    inc_tab = _income(spark, sf_dir).select(F.col("zip_code").cast("string").alias("zip"), "income_raw")
+    """Text ZIPs with leading zeros against numbers that have lost them."""
+    zero = F.regexp_replace("zip_raw", "^9", "0")
+    g = plans.clean_geo(_geo(spark, sf_dir).withColumn("zip_raw", zero))
+    inc_tab = _income(spark, sf_dir).select(zip_text(F.col("zip_code") - 90000).alias("zip"), "income_raw")
     return join(g, inc_tab, "zip").select("lat", "lon", "zip", "income_raw")
 
 
 def q_lookup_with_default(spark, sf_dir):
-    st = _stations(spark, sf_dir).filter(~F.col("prec").isin(*DROPPED_STATIONS))
+    """A map with missing, repeated and null-valued stations."""
+    st = _stations_dup(spark, sf_dir).filter(~F.col("prec").isin(*DROPPED_STATIONS))
+    st = st.withColumn("division", F.when(F.col("prec") != NULL_STATION, F.col("division")))
     return lookup(_inc_area(spark, sf_dir), st, "prec", ["division"], default="Unknown").select(
         "dr_no", "prec", "division")
 
@@ -326,12 +389,12 @@ def q_in_list_filter(spark, sf_dir):
 def q_semi_join_filter(spark, sf_dir):
     per_zip = plans.zip_descent_counts(_joined_1997(spark, sf_dir))
     keys = plans.ranking_zips(per_zip, 3, "top", True)
-    return semi_join(_joined_1997(spark, sf_dir), keys, "zip", known_max_rows=3).select("dr_no", "zip", "income")
+    return semi_join(_joined_1997(spark, sf_dir), keys, "zip").select("dr_no", "zip", "income")
 
 
-def _profile(spark, sf_dir, end, distinct):
+def _profile(spark, sf_dir, end, distinct, strategy=None):
     return plans.income_zip_profile(_inc(spark, sf_dir), _geo(spark, sf_dir), _income(spark, sf_dir),
-                                    year=Q3_YEAR, k=3, end=end, distinct=distinct)
+                                    year=Q3_YEAR, k=3, end=end, distinct=distinct, strategy=strategy)
 
 
 def q_profile_top_income_zips(spark, sf_dir):
@@ -346,6 +409,18 @@ def q_profile_top_income_rows(spark, sf_dir):
     return _profile(spark, sf_dir, "top", False)
 
 
+def q_profile_bottom_income_rows(spark, sf_dir):
+    return _profile(spark, sf_dir, "bottom", False)
+
+
+def q_profile_top_income_broadcast(spark, sf_dir):
+    return _profile(spark, sf_dir, "top", True, "broadcast")
+
+
+def q_profile_top_income_merge(spark, sf_dir):
+    return _profile(spark, sf_dir, "top", True, "merge")
+
+
 def q_profile_both_ends(spark, sf_dir):
     return plans.income_zip_profiles(_inc(spark, sf_dir), _geo(spark, sf_dir), _income(spark, sf_dir),
                                      year=Q3_YEAR, k=3)
@@ -382,6 +457,12 @@ def q_geodesic_km(spark, sf_dir):
     return d.select("dr_no", F.round("distance_km", 3).alias("distance_km"))
 
 
+def q_geodesic_km_global(spark, sf_dir):
+    pairs = standins.point_pairs(_t(spark, sf_dir, "orders"))
+    d = with_geodesic_km(pairs, "lat1", "lon1", "lat2", "lon2", "distance_km")
+    return d.select("dr_no", F.round("distance_km", 3).alias("distance_km"))
+
+
 def q_udf_distance(spark, sf_dir):
     p = _inc_station_pairs(spark, sf_dir)
     return p.select("dr_no", F.round(haversine_udf("lat", "lon", "st_lat", "st_lon"), 3).alias("distance_km"))
@@ -417,6 +498,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip_scan": q_csv_roundtrip_scan,
     "csv_to_parquet": q_csv_to_parquet,
     "text_line_parse": q_text_line_parse,
+    "csv_reject_counts": q_csv_reject_counts,
+    "q1_from_csv": q_q1_from_csv,
+    "q1_from_raw_parquet": q_q1_from_raw_parquet,
+    "q1_from_typed_parquet": q_q1_from_typed_parquet,
+    "q2_from_text": q_q2_from_text,
+    "q3_from_typed_parquet": q_q3_from_typed_parquet,
+    "q4_from_text": q_q4_from_text,
     "sql_over_view": q_sql_over_view,
     "union_by_position": q_union_by_position,
     "parse_valid_dates": q_parse_valid_dates,
@@ -447,10 +535,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_count_avg": q_group_count_avg,
     "composite_reduce_mean": q_composite_reduce_mean,
     "geodesic_km": q_geodesic_km,
+    "geodesic_km_global": q_geodesic_km_global,
     "udf_distance": q_udf_distance,
     "profile_top_income_zips": q_profile_top_income_zips,
     "profile_bottom_income_zips": q_profile_bottom_income_zips,
     "profile_top_income_rows": q_profile_top_income_rows,
+    "profile_bottom_income_rows": q_profile_bottom_income_rows,
+    "profile_top_income_broadcast": q_profile_top_income_broadcast,
+    "profile_top_income_merge": q_profile_top_income_merge,
     "profile_both_ends": q_profile_both_ends,
     "station_profile": q_station_profile,
     "station_profile_broadcast": q_station_profile_broadcast,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from blotter import plans
 from blotter.operators import union_by_position
@@ -115,13 +116,37 @@ def test_q3_on_typed_parquet_pushes_the_year_range(spark, incident_files, geo, i
             plans.income_zip_profile(text, geo, income, year=2015, k=1, end=end))
 
 
-def test_q3_zip_listed_twice_in_income_is_not_double_counted(spark, incidents, geo):
+def test_q3_zip_listed_twice_in_income_takes_one_place(spark, incidents, geo):
     income = spark.createDataFrame([(90012, "$90,000"), (90012, "$91,000"), (90001, "$20,000")],
                                    "zip_code int, income_raw string")
-    out = plans.income_zip_profile(incidents, geo, income, year=2015, k=2, end="top")
+    assert plans.ranking_zip_list(incidents, geo, income, year=2015, k=2).first().zips == ["90001", "90012"]
+    assert plans.ranking_zip_list(incidents, geo, income, year=2015, k=1, end="bottom").first().zips == ["90001"]
     # the join multiplies rows of 90012 by its two income rows (as any inner
     # join does); the key restriction itself must not multiply them again
-    assert _rows(out) == [("Black", 2), ("White", 2)]
+    only = plans.income_zip_profile(incidents, geo, income, year=2015, k=1, end="top")
+    assert _rows(only) == [("Black", 2), ("White", 2)]
+
+
+def test_q3_zip_keeps_leading_zeros(spark, incidents, geo):
+    zero = geo.withColumn("zip_raw", F.regexp_replace("zip_raw", "^900", "000"))
+    as_number = spark.createDataFrame([(12, "$90,000.99"), (1, "$20,000")], "zip_code int, income_raw string")
+    assert plans.ranking_zip_list(incidents, zero, as_number, year=2015, k=2).first().zips == ["00001", "00012"]
+
+
+def test_q4_counts_points_below_the_join(spark, incidents):
+    stations = spark.createDataFrame([(-118.25, 34.05, "Central", 1), (-118.30, 34.10, "Rampart", 2)],
+                                     "x double, y double, division string, prec int")
+    plan = plans.station_distances(clean(incidents, "incidents"), stations)._jdf.queryExecution().optimizedPlan().toString()
+    join_at = plan.index("Join")
+    assert "Aggregate" in plan[join_at:] and "Aggregate" not in plan[:join_at]
+
+
+def test_q4_mean_covers_every_counted_incident(spark):
+    inc = spark.createDataFrame([("101", 0.5, 179.7, 1), ("101", 0.5, 179.7, 1), ("101", 0.0, 1.0, 1)],
+                                "weapon_cd string, lat double, lon double, area int")
+    stations = spark.createDataFrame([(0.0, 0.0, "Zero", 1)], "x double, y double, division string, prec int")
+    row = plans.station_profile(inc, stations).first()
+    assert tuple(row) == ("Zero", 3, round((2 * 19944.127421 + 111.319491) / 3, 3))
 
 
 def test_q3_scans_incidents_once(spark, incidents, geo, income):

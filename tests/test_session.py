@@ -1,15 +1,36 @@
+import os
+import types
+
+import pytest
+
 from blotter.session import checkpoint_dir, cluster_conf, scratch_path
 
 
-def test_cluster_conf_scales_with_input():
-    small = cluster_conf(10 << 30, 64)
-    big = cluster_conf(100 << 40, 8000)
-    assert int(small["spark.sql.shuffle.partitions"]) == 192  # at least three waves
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
-    assert big["spark.sql.session.timeZone"] == "UTC" and big["spark.sql.adaptive.enabled"] == "true"
+def test_cluster_conf_follows_the_cores():
+    conf = cluster_conf(8000)
+    assert conf["spark.sql.shuffle.partitions"] == "24000"
+    assert cluster_conf(64)["spark.sql.shuffle.partitions"] == "192"
+    assert conf["spark.sql.session.timeZone"] == "UTC" and conf["spark.sql.adaptive.enabled"] == "true"
 
 
 def test_scratch_paths_live_under_the_checkpoint_dir(spark):
     base = checkpoint_dir(spark)
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a.startswith(base.rstrip("/")) and a != b
+
+
+def _fake(master, configured=None):
+    told = {}
+    sc = types.SimpleNamespace(master=master, getCheckpointDir=lambda: told.get("dir"),
+                               getConf=lambda: {"spark.checkpoint.dir": configured} if configured else {},
+                               setCheckpointDir=lambda d: told.update(dir=d))
+    return types.SimpleNamespace(sparkContext=sc)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(_fake("spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_fake("local-cluster[2,1,1024]"))
+    assert checkpoint_dir(_fake("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert os.path.isdir(checkpoint_dir(_fake("local[2]")))
