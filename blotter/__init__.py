@@ -6,7 +6,6 @@ Layers:
 * ``blotter.functions`` -- Column -> Column cleaning, bands, recoding, distance.
 * ``blotter.operators`` -- joins with size-checked strategies, ranking, aggregates, union.
 * ``blotter.plans``     -- the four report pipelines, each returning a lazy DataFrame.
-* ``blotter.streaming`` -- the same pipelines fed by a file stream.
 """
 
 from blotter.session import build_session, checkpoint_dir, scratch_path

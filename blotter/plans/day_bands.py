@@ -32,26 +32,19 @@ def day_band_counts(df: DataFrame, time_col: str = "time_occ", premis_col: str =
     return counts.filter(F.col("crime_total") > 0).orderBy(F.desc("crime_total"), "time_of_day")
 
 
+# The time is parsed once; its band is the position of the bounds that hold it,
+# and times outside all bounds take the last label.
 _DAY_BANDS_SQL = """
-WITH categorized_times AS (
-    SELECT CASE
-             WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {m0} AND {m1} THEN :l0
-             WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {a0} AND {a1} THEN :l1
-             WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) BETWEEN {e0} AND {e1} THEN :l2
-             WHEN try_cast(trim(CAST(`{time_col}` AS STRING)) AS INT) IS NOT NULL THEN :l3
-           END AS time_of_day
-    FROM {{src}}
-    WHERE `{premis_col}` = :premis
-),
-crime_counts AS (
-    SELECT time_of_day, count(time_of_day) AS crime_total
-    FROM categorized_times
-    GROUP BY time_of_day
-    HAVING count(time_of_day) > 0
+SELECT element_at(:labels, band) AS time_of_day, count(*) AS crime_total
+FROM (
+    SELECT coalesce(array_position(transform(array({bounds}), b -> hhmm BETWEEN b.lo AND b.hi), true), 0) AS hit,
+           if(hit = 0, size(:labels), CAST(hit AS INT)) AS band
+    FROM (SELECT try_cast(try_cast(trim(CAST(`{time_col}` AS STRING)) AS DOUBLE) AS INT) AS hhmm
+          FROM {{src}} WHERE `{premis_col}` = :premis)
+    WHERE hhmm IS NOT NULL
 )
-SELECT time_of_day, crime_total
-FROM crime_counts
-ORDER BY crime_total DESC, time_of_day ASC
+GROUP BY time_of_day
+ORDER BY crime_total DESC, time_of_day
 """
 
 
@@ -62,8 +55,7 @@ def day_band_counts_sql(spark: SparkSession, df: DataFrame, time_col: str = "tim
     for name in (time_col, premis_col):
         if "`" in name:
             raise ValueError("column name may not contain a backtick")
-    (m0, m1), (a0, a1), (e0, e1) = BAND_BOUNDS
-    query = _DAY_BANDS_SQL.format(time_col=time_col, premis_col=premis_col,
-                                  m0=m0, m1=m1, a0=a0, a1=a1, e0=e0, e1=e1)
-    args = {"premis": premis, "l0": labels[0], "l1": labels[1], "l2": labels[2], "l3": labels[3]}
+    bounds = ", ".join(f"named_struct('lo', {lo}, 'hi', {hi})" for lo, hi in BAND_BOUNDS)
+    query = _DAY_BANDS_SQL.format(time_col=time_col, premis_col=premis_col, bounds=bounds)
+    args = {"premis": premis, "labels": F.array(*[F.lit(x) for x in labels])}
     return spark.sql(query, args=args, src=df)

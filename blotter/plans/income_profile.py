@@ -29,24 +29,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.functions.parsing import INCIDENT_TS_FORMAT, in_year, money_to_int, zip5
+from blotter.functions.parsing import INCIDENT_TS_FORMAT, in_year, money_to_int, zip5, zip_text
 from blotter.functions.recode import DESCENT_LABELS, recode
 from blotter.operators.joins import join
 from blotter.plans.top_months import as_timestamp
 
 
 def clean_geo(geo: DataFrame) -> DataFrame:
-    """``lat, lon, zip`` with the first listed ZIP; rows without a ZIP dropped."""
+    """``lat, lon, zip`` with the first listed ZIP as five-digit text; rows without a ZIP dropped."""
     z = F.col("zip") if "zip" in geo.columns else zip5("zip_raw")
-    return geo.select("lat", "lon", z.alias("zip")).filter(F.col("zip").isNotNull())
+    return geo.select("lat", "lon", zip_text(z).alias("zip")).filter(F.col("zip").isNotNull())
 
 
 def clean_income(income: DataFrame) -> DataFrame:
-    """``zip`` as text (the geocoder's ZIP is text, the income file's a
-    number) and ``income`` as int; unknown incomes dropped."""
+    """``zip`` as five-digit text (the geocoder's ZIP is text, the income
+    file's a number, which has lost leading zeros) and ``income`` as int;
+    unknown incomes dropped."""
     z = F.col("zip") if "zip" in income.columns else F.col("zip_code")
     inc = F.col("income") if "income" in income.columns else money_to_int("income_raw")
-    return (income.select(z.cast("string").alias("zip"), inc.cast("int").alias("income"))
+    return (income.select(zip_text(z).alias("zip"), inc.cast("int").alias("income"))
             .filter(F.col("income").isNotNull()))
 
 
@@ -102,11 +103,14 @@ def ranking_zips(per_zip: DataFrame, k: int = 3, end: str = "top", distinct: boo
     # bare distinct) keeps this branch on the same aggregated subtree as the
     # final sums, so the two branches share one exchange.
     totals = per_zip.groupBy("zip", "income").agg(F.sum("n").alias("rows")).filter(F.col("rows") > 0)
-    first_k = totals.orderBy(by_income, F.asc("zip")).limit(k)
     if distinct:
-        return first_k.select("zip")
-    # Row reading: walk the (at most k) best ZIPs in order and keep those
-    # that hold one of the first k incident rows.
+        # a ZIP that the income table lists twice takes one of the k places,
+        # with its income nearest to this end
+        best = F.max("income") if end == "top" else F.min("income")
+        return totals.groupBy("zip").agg(best.alias("income")).orderBy(by_income, F.asc("zip")).limit(k).select("zip")
+    first_k = totals.orderBy(by_income, F.asc("zip")).limit(k)
+    # Row reading: walk the (at most k) best (zip, income) groups in order and
+    # keep those that hold one of the first k joined rows.
     w = Window.orderBy(by_income, F.asc("zip")).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("rows").over(w), F.lit(0))
     return first_k.withColumn("_before", before).filter(F.col("_before") < k).select("zip")

@@ -6,11 +6,13 @@ Inputs (clean column names):
 * incidents: ``weapon_cd, lat, lon, area``
 * stations: ``x`` (longitude), ``y`` (latitude), ``division``, ``prec``
 
-Plan: scan -> code-prefix and null-island filters -> equi-join on
-area = prec (the station table is tiny: broadcast, so skewed areas never
-meet in one task) -> geodesic distance as native column arithmetic ->
-partial (count, sum) per station -> shuffle of one row per station per
-task -> mean rounded to 3 decimals -> sort.
+Plan: scan -> code-prefix and null-island filters -> incidents counted per
+(area, point), with partial counts, so a hot area or block is one row per
+point before anything is joined -> equi-join on area = prec -> one geodesic
+distance per distinct point, as native column arithmetic -> partial (count,
+count * distance) sums per station -> weighted mean rounded to 3 decimals ->
+sort. Every valid point has a distance, so the mean covers all counted
+incidents.
 
 Duplicate station numbers (``duplicates=``): ``"raise"`` (default) fails the
 query, since a join would count those incidents twice; ``"first"`` keeps
@@ -56,11 +58,13 @@ def station_points(stations: DataFrame, duplicates: str = "raise") -> DataFrame:
 def station_distances(incidents: DataFrame, stations: DataFrame, code_prefix_text: str = "1",
                       strategy: str | None = None, duplicates: str = "raise",
                       salt: int | None = None) -> DataFrame:
-    """One row per matched incident: ``prec, division, distance_km``."""
-    joined = join(firearm_incidents(incidents, code_prefix_text),
-                  station_points(stations, duplicates), "prec", strategy=strategy, salt=salt)
+    """One row per matched (area, point): ``prec, division, n, distance_km``
+    with its number of incidents."""
+    points = (firearm_incidents(incidents, code_prefix_text)
+              .groupBy("prec", "lat", "lon").agg(F.count(F.lit(1)).alias("n")))
+    joined = join(points, station_points(stations, duplicates), "prec", strategy=strategy, salt=salt)
     return with_geodesic_km(joined, "lat", "lon", "st_lat", "st_lon", "distance_km").select(
-        "prec", "division", "distance_km")
+        "prec", "division", "n", "distance_km")
 
 
 def station_profile(incidents: DataFrame, stations: DataFrame, code_prefix_text: str = "1",
@@ -70,7 +74,7 @@ def station_profile(incidents: DataFrame, stations: DataFrame, code_prefix_text:
     most incidents first."""
     d = station_distances(incidents, stations, code_prefix_text, strategy, duplicates, salt)
     agg = d.groupBy("prec", "division").agg(
-        F.count(F.lit(1)).alias("incidents_total"),
-        F.round(F.avg("distance_km"), 3).alias("average_distance"))
+        F.sum("n").alias("incidents_total"),
+        F.round(F.sum(F.col("n") * F.col("distance_km")) / F.sum("n"), 3).alias("average_distance"))
     return agg.select("division", "incidents_total", "average_distance").orderBy(
         F.desc("incidents_total"), "division")

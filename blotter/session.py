@@ -58,32 +58,36 @@ def build_session(
     return spark
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a large run, from the input size and the cluster's cores.
-
-    Scan splits of ``target_partition_bytes``; the initial shuffle width is
-    sized so that each reducer's share of a full shuffle of the input stays
-    near the target (at least three waves of tasks), and AQE coalesces the
-    partitions that turn out small -- the reports shuffle far less than
-    their input after partial aggregation.
+def cluster_conf(total_cores: int, scan_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, from the cluster's cores.
+
+    The reports shuffle a row per group and task, not their input, so the
+    shuffle width follows the cores (three waves of tasks), whatever the size
+    of the input: a width that grew with it would cost the driver a status
+    for every pair of map task and partition. AQE coalesces partitions that
+    turn out small and splits skewed ones; raise
+    ``spark.sql.shuffle.partitions`` for jobs that do shuffle their input.
     """
-    shuffle = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         **REQUIRED_CONF,
         **SCALE_CONF,
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 128 << 20)),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(3 * total_cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     }
 
 
+_LOCAL_SCRATCH: list[tempfile.TemporaryDirectory] = []  # removed when the interpreter ends
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at storage every executor can reach
-    (HDFS, object store). Only when it is unset -- local runs and tests --
-    is a private temporary folder created and registered.
+    On a cluster this setting must name storage that every executor reaches
+    (HDFS, object store); without it this raises, because files in a machine's
+    own folder would be missing elsewhere. Only a local master gets a private
+    temporary folder, which is removed when the program ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,12 +95,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        configured = tempfile.mkdtemp(prefix="blotter-ckpt-")
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.TemporaryDirectory(prefix="blotter-scratch-", ignore_cleanup_errors=True)
+        _LOCAL_SCRATCH.append(folder)
+        configured = folder.name
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared checkpoint folder."""
+    """A fresh, never-reused path under the shared checkpoint folder.
+
+    Tables are written there and read lazily, so the library can't tell when
+    the last reader is done: on a cluster give the folder a lifetime.
+    """
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/blotter/{name}-{uuid.uuid4().hex}"
