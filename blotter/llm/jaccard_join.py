@@ -6,7 +6,10 @@ that hold them), then by hash. The order is cut into fragments; overlaps of a
 pair are counted in every fragment on its own and summed per pair.
 
 1. One pass over the texts deals packed runs of (n-gram, set) to parts by hash.
-   Equal sets are one set from here on, however many rows hold them.
+   Equal sets are one set from here on, however many rows hold them (a task that
+   meets a set again sends nothing). N-grams that a noticeable share of all sets
+   hold, found by a pass before, are the last in the global order and go straight
+   to the sets' parts, so no part gathers all holders of a very common n-gram.
 2. Each part keeps the n-grams that two or more sets hold and deals them to the
    sets' parts. A set needs a partner among its first ``n - ceil(t n) + 1``
    n-grams in the global order; unshared n-grams come first, so most sets of
@@ -35,12 +38,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import arrow_groups, arrow_map, parts_for, shared_table, text_bytes
+from .shared import arrow_groups, arrow_map, most, parts_for, shared_table, text_bytes
 from .text import LOWER, NON_SPACE, chunks, mix64, nullable_ids, roll, span_hash, words
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 FRAGMENTS = 8
+COMMON_SHARE = 1 / 1024     # of the sets a task has gathered
+COMMON_LEAST = 8
+MAX_COMMON = 1 << 20        # n-grams sent to every task as common ones: 8 MB at most
+_COMMON_LEVEL = 15
 SMALL_GROUP = 32            # n-grams of more sets are handled by families
 BLOCK_SETS = 1024           # sets of one family handled at once, twice
 PART_BYTES = 24 << 20       # text bytes behind one part of the n-gram space
@@ -94,8 +101,9 @@ def text_sets(batch: pa.RecordBatch, text_col: str, k: int):
 class _Runs:
     """Sets gathered by one task, written as packed runs by part."""
 
-    def __init__(self, parts: int):
+    def __init__(self, parts: int, common: np.ndarray):
         self.parts = parts
+        self.common = common
         self.flushes = 0
         self.clear()
 
@@ -128,14 +136,23 @@ class _Runs:
         if self.sets:
             grams = np.concatenate(self.sets)
             low = np.uint64(0xFFFF)
-            part = ((grams & low) * np.uint64(self.parts) >> np.uint64(16)).astype(np.uint16)
+            part = _dealt(grams, self.parts)
             who = np.repeat(np.arange(len(self.sets), dtype=np.uint64), self.ns)
+            if len(self.common):
+                common = _among(grams, self.common)
+                at = who[common].astype(np.int64)
+                tok = _gram_id(grams[common] >> np.uint64(16), part[common])
+                # numbers below -parts are set parts: these runs skip the n-grams' parts
+                yield from _to_sets(at, tok, np.full(len(tok), _COMMON_LEVEL, np.uint8),
+                                    np.array(self.nodes, np.uint64), np.array(self.ns, np.int32), self.parts,
+                                    lambda dest: -1 - self.parts - dest)
+                grams, part, who = grams[~common], part[~common], who[~common]
             packed = (grams & ~low) | who
             order = np.argsort(part, kind="stable")
             part, packed = part[order], packed[order]
             cuts = np.flatnonzero(np.diff(part)) + 1
-            for p, run in zip(part[np.concatenate([[0], cuts])].tolist(), np.split(packed, cuts)):
-                run.sort()
+            firsts = np.concatenate([[0], cuts])[:len(part)]
+            for p, run in zip(part[firsts].tolist(), np.split(packed, cuts)):
                 mine, run_who = np.unique(run & low, return_inverse=True)
                 run = (run & ~low) | run_who.astype(np.uint64)
                 run.sort()
@@ -146,9 +163,72 @@ class _Runs:
         self.clear()
 
 
-def _deal(id_col: str, text_col: str, k: int, parts: int):
+def _dealt(values: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each 64-bit value; 16-bit numbers, if they do, are sorted fastest."""
+    return (mix64(values) % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+
+
+def _gram_id(high: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """An n-gram's id from the upper 48 bits of its hash and its part, which is dealt by all 64."""
+    return mix64((high << np.uint64(16)) ^ mix64(part.astype(np.uint64) + np.uint64(1)))
+
+
+def _among(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted table."""
+    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
+    return table[at] == values
+
+
+def _to_sets(who: np.ndarray, tok: np.ndarray, level: np.ndarray, node: np.ndarray, n: np.ndarray, parts: int,
+             number):
+    """One packed row for each part of the sets ``who`` (places in ``node``) that hold ``tok``."""
+    dest = _dealt(node, parts)[who]
+    order = np.lexsort((who, dest))
+    tok, who, level, dest = tok[order], who[order], level[order], dest[order]
+    cuts = np.flatnonzero(np.diff(dest, prepend=-1, append=-1)) if len(dest) else []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        mine, counts = np.unique(who[a:b], return_counts=True)
+        yield _row(number(int(dest[a])), nodes=node[mine], ns=n[mine], counts=counts.astype(np.int32),
+                   toks=tok[a:b], levels=level[a:b])
+
+
+def _common_grams(text_col: str, k: int):
+    """(gram, n): n-grams that a noticeable share of the sets a task gathers hold."""
+
+    def counted(sets):
+        gram, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+        often = n >= max(COMMON_LEAST, COMMON_SHARE * len(sets))
+        return pa.RecordBatch.from_arrays([pa.array(gram[often].view(np.int64)), pa.array(n[often])], ["gram", "n"])
+
     def run(batches):
-        runs = _Runs(parts)
+        sets, tokens = {}, 0
+        for batch in batches:
+            for grams in text_sets(batch, text_col, k):
+                key = (len(grams), int(grams.sum(dtype=np.uint64)))
+                if len(grams) and key not in sets:
+                    sets[key] = grams
+                    tokens += len(grams)
+                if tokens >= FLUSH_TOKENS or len(sets) >= FLUSH_SETS:
+                    yield counted(sets)
+                    sets, tokens = {}, 0
+        if sets:
+            yield counted(sets)
+
+    return run
+
+
+def _common(docs: DataFrame, k: int):
+    """The most common n-grams, sorted, for every task; which ones they are changes no result."""
+    counts = arrow_map(docs.select("text"), _common_grams("text", k), "gram long, n long")
+    counts = shared_table(counts.groupBy("gram").agg(F.sum("n").alias("n")), "jaccard-common")
+    top = most(counts, "n", MAX_COMMON).select("gram").toArrow().column("gram")
+    grams = np.sort(np.asarray(top).astype(np.int64).view(np.uint64))
+    return docs.sparkSession.sparkContext.broadcast(grams)
+
+
+def _deal(id_col: str, text_col: str, k: int, parts: int, common):
+    def run(batches):
+        runs = _Runs(parts, common.value)
         for batch in batches:
             ids, known = nullable_ids(batch, id_col)
             for doc, ok, grams in zip(ids.tolist(), known.tolist(), text_sets(batch, text_col, k)):
@@ -165,6 +245,11 @@ def _shared_grams(parts: int):
 
     def run(key, batches):
         part = key[0].as_py()
+        if part < -parts:
+            for batch in batches:
+                to = pa.array(np.full(batch.num_rows, -1 - parts - part, np.int32))
+                yield pa.RecordBatch.from_arrays([to, *batch.columns[1:]], _NAMES)
+            return
         if part < 0:
             yield from batches
             return
@@ -200,16 +285,9 @@ def _shared_grams(parts: int):
             tok, who, df = tok[keep], who[keep], df[keep]
         if not len(tok):
             return
-        tok = tok | (np.uint64(part) << np.uint64(48))
-        level = np.minimum(np.log2(df).astype(np.uint8), 15)
-        dest = (mix64(node[who]) % np.uint64(parts)).astype(np.uint16)
-        order = np.lexsort((who, dest))
-        tok, who, level, dest = tok[order], who[order], level[order], dest[order]
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(dest)) + 1, [len(dest)]])
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            mine, counts = np.unique(who[a:b], return_counts=True)
-            yield _row(int(dest[a]), nodes=node[mine], ns=n[mine], counts=counts.astype(np.int32),
-                       toks=tok[a:b], levels=level[a:b])
+        tok = _gram_id(tok, np.array([part]))
+        level = np.minimum(np.log2(df).astype(np.uint8), _COMMON_LEVEL - 1)
+        yield from _to_sets(who, tok, level, node, n, parts, lambda dest: dest)
 
     return run
 
@@ -245,14 +323,17 @@ def _candidates(percent: int):
         level = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in rows])
         rows = None
         ids, first, same = np.unique(node, return_index=True, return_inverse=True)
-        total = np.bincount(same, weights=count).astype(np.int64)
         n = n[first].astype(np.int64)
-        head = prefix_len(n) - (n - total)  # prefix n-grams that are shared
         who = np.repeat(same, count)
-        keep = head[who] > 0
-        who, tok, level = who[keep], tok[keep], level[keep]
         order = np.lexsort((tok, level, who))
         who, tok, level = who[order], tok[order], level[order]
+        new = np.ones(len(who), bool)  # several tasks may have sent a set's common n-grams
+        new[1:] = (who[1:] != who[:-1]) | (tok[1:] != tok[:-1])
+        who, tok, level = who[new], tok[new], level[new]
+        total = np.bincount(who, minlength=len(ids))
+        head = prefix_len(n) - (n - total)  # prefix n-grams that are shared
+        keep = head[who] > 0
+        who, tok, level = who[keep], tok[keep], level[keep]
         cuts = np.flatnonzero(np.diff(who, prepend=-1, append=-1)) if len(who) else np.zeros(0, np.int64)
         for a in range(0, max(0, len(cuts) - 1), 2000):
             at = cuts[a:min(a + 2001, len(cuts))]
@@ -293,26 +374,34 @@ def _pair(x: DataFrame, percent: int) -> DataFrame:
 
 
 def _family_links(nodes: DataFrame, family: DataFrame, comp: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that connect the sets of each family (node, comp) wherever its sets reach the threshold."""
-    comp = comp.withColumnsRenamed({"comp": "now"})
-    family = family.withColumnRenamed("comp", "family").join(comp, "node", "left")
-    open_ones = (family.groupBy("family").agg(F.min(F.coalesce("now", "node")).alias("x"),
-                                              F.max(F.coalesce("now", "node")).alias("y")).filter("x <> y"))
+    """Links (a, b) that connect the sets of each family (node, comp) wherever its sets reach the threshold.
+
+    Sets of a component that fills blocks get blocks of their own, and two such
+    blocks of one component are not compared.
+    """
+    member = (family.withColumnRenamed("comp", "family").join(comp.withColumnRenamed("comp", "now"), "node", "left")
+              .withColumn("now", F.coalesce("now", "node")))
+    sizes = shared_table(member.groupBy("family", "now").agg(F.count(F.lit(1)).alias("c")), "jaccard-families")
+    open_ones = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("family")
+    big = sizes.filter(F.col("c") >= BLOCK_SETS).select("family", "now", F.col("now").alias("own"))
     steps = F.log(F.col("n")) / float(np.log(100 / percent))
-    sized = (nodes.join(family.select("node", "family"), "node").join(open_ones.select("family"), "family")
-             .select("node", "n", "toks", "cuts", "family", F.floor(steps + 1e-9).cast("int").alias("size_class")))
-    counts = shared_table(sized.groupBy("family", "size_class").agg(
+    sized = (nodes.join(member, "node").join(open_ones, "family").join(big, ["family", "now"], "left")
+             .select("node", "n", "toks", "cuts", "family", F.floor(steps + 1e-9).cast("int").alias("size_class"),
+                     F.col("own").isNotNull().alias("whole"), F.coalesce("own", F.lit(0)).alias("own")))
+    key = ["size_class", "whole", "own"]
+    counts = shared_table(sized.groupBy("family", *key).agg(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks")), "jaccard-blocks")
-    sized = sized.join(counts, ["family", "size_class"]).withColumn(
+    sized = sized.join(counts, ["family", *key]).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    ids = counts.select("family", "size_class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    block = F.struct("size_class", "block")
-    tiles = (ids.select("family", block.alias("i")).join(ids.select("family", block.alias("j")), "family")
-             .filter((F.col("i") <= F.col("j")) & (F.col("j.size_class") - F.col("i.size_class") <= 1)))
+    ids = counts.select("family", *key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    key = [*key, "block"]
+    tiles = (ids.select("family", F.struct(*key).alias("i")).join(ids.select("family", F.struct(*key).alias("j")), "family")
+             .filter((F.col("i") <= F.col("j")) & (F.col("j.size_class") - F.col("i.size_class") <= 1)
+                     & ~(F.col("i.whole") & F.col("j.whole") & (F.col("i.own") == F.col("j.own")))))
     sides = tiles.select("family", "i", "j", F.col("i.*")).unionByName(
         tiles.filter("i <> j").select("family", "i", "j", F.col("j.*")))
-    rows = (sides.join(sized, ["family", "size_class", "block"])
-            .select("family", "i", "j", (F.struct("size_class", "block") == F.col("i")).alias("left"),
+    rows = (sides.join(sized, ["family", *key])
+            .select("family", "i", "j", (F.struct(*key) == F.col("i")).alias("left"),
                     "node", "n", "toks", "cuts"))
     return arrow_groups(rows, ["family", "i", "j"], _tile_links(percent), "a long, b long")
 
@@ -393,7 +482,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Link texts whose n-gram sets have a Jaccard similarity of ``percent`` / 100 or more."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     parts = parts_for(text_bytes(docs), PART_BYTES, 8)
-    dealt = arrow_map(docs, _deal("doc_id", "text", k, parts), _PACKED)
+    dealt = arrow_map(docs, _deal("doc_id", "text", k, parts, _common(docs, k)), _PACKED)
     common = arrow_groups(dealt, "part", _shared_grams(parts), _PACKED)
     sets = shared_table(arrow_groups(common, "part", _candidates(percent), _SETS), "jaccard-sets")
     classes = sets.filter(F.col("toks").isNull()).select("doc_id", "node", "n")
@@ -427,7 +516,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     comp = components(links)
 
     labelled = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    # written, so that a component with very many rows can be split in the join
+    least = shared_table(labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id")),
+                         "jaccard-least")
     rows = (labelled.join(least, "comp", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
