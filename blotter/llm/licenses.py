@@ -6,7 +6,8 @@ diagonal ``text position - template position``; votes are gathered as a bit mask
 of template positions. On one diagonal, a full mask is an exact occurrence.
 Diagonals at most ``SLACK`` words apart are merged (words put in or left out move
 the diagonal), and a merged span counts if its mask covers enough of the
-template and the span isn't much longer than it.
+template and the span isn't much longer than it. Templates of fewer than
+``SHORT`` pairs must be covered whole: one word makes another license of them.
 
 Rows: a null text is empty; texts without two words have no pairs and no labels.
 Rows are known by a hash of id and text, so repeated rows get equal results, and
@@ -28,6 +29,7 @@ from .text import ALNUM, LOWER, chunks, hash_word_list, roll, span_hash, words
 K = 2
 SLACK = 3
 COVER = 0.7
+SHORT = 8
 
 #: Phrases whose words must stand consecutively, and their labels.
 BASE_PHRASES = {
@@ -55,15 +57,20 @@ NOTICES = {
 }
 
 
-def _templates(spark) -> DataFrame:
+MAX_TEMPLATES = 10_000     # bounds the table that is broadcast (62 pairs each at most)
+
+
+def _templates(spark, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
     """(h, tid, at, grams, base, label): the word pairs of all templates."""
     rows = []
-    every = [(t, label, True) for t, label in BASE_PHRASES.items()] + [(t, label, False) for t, label in NOTICES.items()]
+    every = [(t, label, True) for t, label in phrases.items()] + [(t, label, False) for t, label in notices.items()]
+    if len(every) > MAX_TEMPLATES:
+        raise ValueError("more templates than may be broadcast")
     hashes = hash_word_list([t.encode() for t, _, _ in every], ALNUM)
     for tid, ((_, label, base), h) in enumerate(zip(every, hashes)):
         grams = roll(h, K).view(np.int64).tolist()
-        if len(grams) > 62:
-            raise ValueError("a template has more word pairs than its mask has bits")
+        if not 1 <= len(grams) <= 62:
+            raise ValueError("a template needs at least two words, and no more pairs than its mask has bits")
         rows += [(g, tid, at, len(grams), base, label) for at, g in enumerate(grams)]
     return spark.createDataFrame(rows, "h long, tid int, at int, grams int, base boolean, label string")
 
@@ -93,7 +100,8 @@ def _word_counts(batches):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), n], ["doc_id", "key", "n_words"])
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  phrases: dict[str, str] = BASE_PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans) of every row.
 
     ``spans``: (label, first, end, cover) of each verified notice, words from 0, ends exclusive.
@@ -105,7 +113,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = arrow_map(docs, _word_counts, f"doc_id {kind}, key long, n_words long")
 
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at"))
-    votes = (grams.join(F.broadcast(_templates(docs.sparkSession)), "h")
+    votes = (grams.join(F.broadcast(_templates(docs.sparkSession, phrases, notices)), "h")
              .groupBy("key", "tid", "base", "label", "grams", (F.col("pos") - F.col("at")).alias("diagonal"))
              .agg(F.bit_or(bit).alias("mask"), F.min("pos").alias("first"), (F.max("pos") + K).alias("end")))
     full = F.bit_count("mask") == F.col("grams")
@@ -118,8 +126,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     cover = F.bit_count("mask") / F.col("grams")
     length = F.col("end") - F.col("first")
     fits = length <= F.col("grams") + K - 1 + 2 * SLACK
-    found = merged.withColumn("cover", cover).filter(F.when(F.col("base"), full).otherwise(
-        (F.col("cover") >= COVER) & fits))
+    enough = F.when(F.col("grams") < SHORT, full).otherwise(F.col("cover") >= COVER)
+    found = merged.withColumn("cover", cover).filter(F.when(F.col("base"), full).otherwise(enough & fits))
     base = F.col("base")
     per_text = found.groupBy("key").agg(
         F.count_if(base).alias("n_base"),

@@ -44,12 +44,13 @@ def test_notices_exact_and_changed(spark):
         if len(w) >= 15:  # two words put in: the votes fall on neighbouring diagonals
             rows.append((2 * i + 1, " ".join([*prose(rng, 9), *w[:6], "really", *w[6:12], "so", *w[12:]])))
             want[2 * i + 1] = label
+    rows.append((998, "Licensed under CC BY-NC 4.0."))
     rows.append((999, "permission of the software and to the license in source " * 5))
     out = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for d, label in want.items():
         assert label in out[d]["labels"].split(",") and out[d]["score"] >= 0.7
         assert any(s["label"] == label for s in out[d]["spans"])
-    assert out[999]["labels"] == ""
+    assert out[998]["labels"] == "cc-by-nc-4.0" and out[999]["labels"] == ""
 
 
 def test_empty_table(no_docs):
