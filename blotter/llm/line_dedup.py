@@ -185,13 +185,21 @@ def _update(key, batches):
 
 
 class LineIndex:
-    """The lines of a changing corpus. ``path`` must be in a folder that all executors share."""
+    """The lines of a changing corpus. ``path`` must be in a folder that all executors share.
+
+    Every change writes new files and a manifest under the next version, so an
+    index can be opened again at any ``version``, also one before the last
+    (with the same ``min_docs`` and ``shards``).
+    """
 
     def __init__(self, spark: SparkSession, path: str, min_docs: int = MIN_DOCS, shards: int = 16,
-                 id_col: str = "doc_id", text_col: str = "text"):
+                 id_col: str = "doc_id", text_col: str = "text", version: int = 0):
         self.spark, self.path, self.min_docs, self.shards = spark, path.rstrip("/"), min_docs, shards
         self.id_col, self.text_col = id_col, text_col
-        self.version = 0
+        self.version, self.logs = version, []
+        if version:
+            manifest = spark.read.schema("log string").parquet(f"{self.path}/manifest-{version}")
+            self.logs = sorted(row["log"] for row in manifest.collect())
 
     def _keys(self, docs: DataFrame, filters=None) -> DataFrame:
         kind = docs.schema[self.id_col].dataType
@@ -199,13 +207,12 @@ class LineIndex:
         return arrow_map(docs.select(self.id_col, self.text_col),
                          _key_rows(self.id_col, self.text_col, filters, self.shards), schema)
 
-    def counts(self, version: int | None = None) -> DataFrame:
+    def counts(self) -> DataFrame:
         """(shard, hi, lo, docs): in how many documents each key is, exactly."""
-        version = self.version if version is None else version
-        if not version:
+        if not self.logs:
             return self.spark.createDataFrame([], _CHANGES)
-        log = self.spark.read.schema(_CHANGES).parquet(*[f"{self.path}/changes-{v}" for v in range(1, version + 1)])
-        if version > 1:
+        log = self.spark.read.schema(_CHANGES).parquet(*[f"{self.path}/{name}" for name in self.logs])
+        if len(self.logs) > 1:
             log = log.groupBy("shard", "hi", "lo").agg(F.sum("docs").alias("docs"))
         return log.filter("docs > 0")
 
@@ -220,6 +227,18 @@ class LineIndex:
         """Take back documents (with the texts they were inserted with)."""
         self._change(docs, -1)
 
+    def compact(self) -> None:
+        """Replace the log by one table of the present counts (older versions stay readable)."""
+        new = self.version + 1
+        self.counts().write.parquet(f"{self.path}/changes-{new}")
+        self.filters().write.parquet(f"{self.path}/filters-{new}")
+        self._commit(new, [f"changes-{new}"])
+
+    def _commit(self, version: int, logs: list[str]) -> None:
+        rows = self.spark.createDataFrame([(name,) for name in logs], "log string")
+        rows.coalesce(1).write.parquet(f"{self.path}/manifest-{version}")
+        self.version, self.logs = version, logs
+
     def _change(self, docs: DataFrame, sign: int) -> None:
         shard = F.pmod(F.col("lo"), F.lit(self.shards)).cast("int").alias("shard")
         per_doc = self._keys(docs).distinct()
@@ -242,7 +261,7 @@ class LineIndex:
         rows = crossed.unionByName(old_filters.select(
             "shard", none.cast("long").alias("hi"), none.cast("int").alias("sign"), "filter"))
         arrow_groups(rows, "shard", _update, _FILTER).write.parquet(f"{self.path}/filters-{new}")
-        self.version = new
+        self._commit(new, [*self.logs, f"changes-{new}"])
 
     def filters(self) -> DataFrame:
         """(shard, filter) of the present version."""

@@ -42,6 +42,11 @@ def test_insert_and_delete_are_reversible(spark):
     before = {tuple(r) for r in index.counts().collect()}
     index.insert(second)
     assert _rows(index.apply(first.union(second))) == _want(rows, 10)
+    old = L.LineIndex(spark, index.path, min_docs=10, shards=3, version=1)
+    assert _rows(old.apply(first)) == _want(rows[:50], 10)
+    index.compact()
+    index = L.LineIndex(spark, index.path, min_docs=10, shards=3, version=index.version)
+    assert _rows(index.apply(first.union(second))) == _want(rows, 10)
     index.delete(second)
     assert {tuple(r) for r in index.counts().collect()} == before
     assert _rows(index.apply(first)) == _want(rows[:50], 10)
