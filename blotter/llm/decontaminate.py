@@ -29,7 +29,7 @@ from .shared import arrow_map, parts_for, received, send, text_bytes
 from .text import ALNUM, LOWER, chunks, hash_word_list, span_hash, words
 
 WINDOW = 10
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20       # item text behind the phrases that tasks get at once
 SHARD_WORDS = 1_000_000     # words of texts indexed at once (one longer text is one shard)
 RESULTS = ("n_words", "n_hit", "items", "spans")
 
