@@ -2,7 +2,7 @@
 
 Both models are bigram models with Dirichlet smoothing over one vocabulary: the
 words that occur ``MIN_COUNT`` times or more in the background, the most frequent
-``VOCABULARY`` of them; any other word is one unknown word. Bigrams are counted in
+of them up to ``VOCABULARY``; any other word is one unknown word. Bigrams are counted in
 ``SLOTS`` hashed places, alike for both, so that a model has a fixed size however
 large the corpus; the background is counted over all its texts. The counts of the
 larger side are scaled to the tokens of the smaller, so that the models match:
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import arrow_map, received, send
+from .shared import arrow_map, most, received, send, shared_table
 from .text import ALNUM, LOWER, chunks, mix64, span_hash, words
 
 VOCABULARY = 1 << 16     # words of the models: bounds what is sent to the tasks
@@ -130,8 +130,8 @@ def _key_sums(df: DataFrame, fn) -> DataFrame:
 
 def vocabulary(background: DataFrame, text_col: str = "text") -> Vocabulary:
     """The background's most frequent words, counted over all its texts."""
-    counts = _key_sums(background.select(text_col), _word_counts(text_col))
-    top = counts.filter(F.col("n") >= MIN_COUNT).orderBy(F.desc("n"), "key").limit(VOCABULARY - 2)
+    counts = _key_sums(background.select(text_col), _word_counts(text_col)).filter(F.col("n") >= MIN_COUNT)
+    top = most(shared_table(counts, "word-counts"), "n", VOCABULARY - 2)
     return Vocabulary(np.sort(np.array([r["key"] for r in top.select("key").collect()], np.int64).view(np.uint64)))
 
 
