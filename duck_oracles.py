@@ -24,7 +24,7 @@ A_WGS84 = 6378137.0
 B_WGS84 = (1 - F_WGS84) * A_WGS84
 R_MEAN_KM = 6371.0088
 
-INC = """
+INC = f"""
 inc AS (
     SELECT o_orderkey AS dr_no,
            c_custkey,
@@ -36,7 +36,7 @@ inc AS (
            CASE WHEN o_orderkey % 211 = 0 THEN 0.0e0 ELSE 33.7e0 + (o_orderkey % 700) / 1000 END AS lat,
            CASE WHEN o_orderkey % 211 = 0 THEN 0.0e0 ELSE -118.7e0 + (o_orderkey % 500) / 1000 END AS lon,
            CASE WHEN c_custkey % 23 = 0 THEN NULL
-                ELSE substr('ABCDFGHIJKLOPSUVWXZ-', CAST(c_custkey % 20 + 1 AS INTEGER), 1) END AS vict_descent
+                ELSE substr('{"".join(LABELS)}-', CAST(c_custkey % 20 + 1 AS INTEGER), 1) END AS vict_descent
     FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
