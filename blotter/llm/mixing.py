@@ -104,7 +104,8 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
 def _plan(base: DataFrame, weights: Sequence[float], share: float, most: int) -> DataFrame:
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = _thresholds(base, shared_table(source_targets(sizes, weights, share, most), "mix-targets"), most)
-    return plan.drop("rest").withColumnsRenamed({c: f"__mix_{c}" for c in plan.columns})
+    plan = plan.drop("rest").withColumnsRenamed({c: f"__mix_{c}" for c in plan.columns})
+    return shared_table(plan, "mix-plan")  # its size is then known, and the documents needn't be shuffled to meet it
 
 
 def _taken(size: Column, h: Column) -> Column:
