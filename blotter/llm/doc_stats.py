@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from .text import LOWER, NON_SPACE, chunks, mix64, roll, span_hash, words
+from .text import LOWER, NON_SPACE, chunks, roll, span_hash, words
 
 _CLASSES = ("lower", "upper", "digit", "space", "newline", "blank", "continuation", "lead", "stop", "comma",
             "bang", "bar", "symbol", "punct", "control")
@@ -36,21 +36,29 @@ def _by_class(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out.reshape(n, width)
 
 
+def _most(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Per text the largest of its values, which stand together; 0 for a text without any."""
+    out = np.zeros(n)
+    if len(values):
+        first = np.flatnonzero(np.diff(doc, prepend=-1))
+        out[doc[first]] = np.maximum.reduceat(values, first)
+    return out
+
+
 def _distinct(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Per text: how many distinct hashes, and the count of the most frequent one."""
-    _, first, count = np.unique(h ^ mix64(doc.astype(np.uint64) + np.uint64(1)), return_index=True, return_counts=True)
-    top = np.zeros(n)
-    np.maximum.at(top, doc[first], count)
-    return np.bincount(doc[first], minlength=n), top
+    bits = np.uint64(max(16, n.bit_length()))
+    key = np.sort((doc.astype(np.uint64) << (np.uint64(64) - bits)) | (h >> bits))  # by text, then by hash
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    owner = (key[first] >> (np.uint64(64) - bits)).astype(np.int64)
+    return np.bincount(owner, minlength=n), _most(np.diff(first, append=len(key)), owner, n)
 
 
 def _longest_run(same: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     """Per text the longest run of True (``same[i]``: item i equals item i - 1)."""
     idx = np.arange(len(same))
     since = idx - np.maximum.accumulate(np.where(same, -1, idx)) if len(same) else idx
-    out = np.zeros(n)
-    np.maximum.at(out, doc, since)
-    return out
+    return _most(since, doc, n)
 
 
 def _stats(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
