@@ -6,13 +6,13 @@ All functions work on UTF-8 bytes: the ASCII rules the operators use
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 2 << 20      # bytes of text handled at once
+CHUNK = 1 << 20      # bytes of text handled at once
 BLOCK = 1 << 17      # bytes hashed at once: the powers stay in cache
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -89,7 +89,13 @@ def words(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple:
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span's bytes (spans in order of start and end)."""
-    out = np.empty(len(starts), np.uint64)
+    return prefix_hashes(data, starts, ends, ())[0]
+
+
+def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: Sequence[int]) -> list[np.ndarray]:
+    """``span_hash`` of each span, then of its first ``k`` bytes for each ``k`` of ``sizes`` (or all, if it has fewer)."""
+    stops = [ends, *(np.minimum(ends, starts + k) for k in sizes)]
+    out = [np.empty(len(starts), np.uint64) for _ in stops]
     a = 0
     while a < len(starts):
         b = max(a + 1, int(np.searchsorted(ends, starts[a] + BLOCK, "right")))
@@ -99,9 +105,11 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         h = np.zeros(len(seg) + 1, np.uint64)
         np.cumsum(_BYTE[seg] * up[:len(seg)], out=h[1:])
         s = starts[a:b] - at
-        out[a:b] = (h[ends[a:b] - at] - h[s]) * down[s]
+        first, shift = h[s], down[s]
+        for found, stop in zip(out, stops):
+            found[a:b] = (h[stop[a:b] - at] - first) * shift
         a = b
-    return mix64(out ^ ((ends - starts).astype(np.uint64) * _GOLDEN))
+    return [mix64(found ^ ((stop - starts).astype(np.uint64) * _GOLDEN)) for found, stop in zip(out, stops)]
 
 
 def roll(h: np.ndarray, k: int) -> np.ndarray:

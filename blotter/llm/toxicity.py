@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import labelled_texts
-from .shared import arrow_map, received, send, shared_table
-from .text import ALNUM, LOWER, chunks, mix64, span_hash, words
+from .shared import arrow_map, most, received, send, shared_table
+from .text import ALNUM, LOWER, chunks, mix64, prefix_hashes, words
 
 MAX_TRAINING_ROWS = 20_000
 MAX_TERMS = 4096
@@ -49,11 +49,12 @@ def _terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[data]
     s, e, first = words(data, offs, ALNUM)
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(first))
-    docs, terms = [doc], [span_hash(data, s, e)]
-    for k in PREFIXES:
+    whole, *heads = prefix_hashes(data, s, e, PREFIXES)
+    docs, terms = [doc], [whole]
+    for k, head in zip(PREFIXES, heads):
         long = e - s > k
         docs.append(doc[long])
-        terms.append(mix64(span_hash(data, s[long], s[long] + k) + np.uint64(k)))
+        terms.append(mix64(head[long] + np.uint64(k)))
     return np.concatenate(docs), np.concatenate(terms)
 
 
@@ -190,8 +191,8 @@ def _vocabulary(sample: DataFrame, rows: int, ones: int, max_terms: int) -> Term
     chi2 = total * gap / (n * (total - n)) * gap / (float(ones) * (rows - ones))
     share = ones / rows
     sure = a >= n * (share + MIN_LIFT * (1 - share))
-    top = (per.filter((n < total) & (gap > 0) & sure).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-           .orderBy(F.desc("chi2"), "term").limit(max_terms))
+    fit = per.filter((n < total) & (gap > 0) & sure).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
+    top = most(shared_table(fit, "toxicity-terms"), "chi2", max_terms)
     return Terms(np.sort(np.array([r["term"] for r in top.select("term").collect()], np.int64).view(np.uint64)))
 
 

@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from blotter.llm.text import ALNUM, LOWER, NON_SPACE, chunks, roll, span_hash, words
+from blotter.llm.text import ALNUM, LOWER, NON_SPACE, chunks, prefix_hashes, roll, span_hash, words
 from tests.llm import plain
 
 texts = st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(list("aB z9\n\t.é日\x00\x7f\x0b-")), max_size=40)),
@@ -43,3 +43,13 @@ def test_rolled_hashes_depend_on_order_and_length():
     h = np.arange(1, 9, dtype=np.uint64)
     assert len(set(roll(h, 3).tolist()) | set(roll(h[::-1].copy(), 3).tolist()) | set(roll(h, 2).tolist())) == 6 + 6 + 7
     assert len(roll(h[:2], 3)) == 0
+
+
+def test_beginnings_hash_as_words_of_their_own():
+    raw = b"abcdef abc ab abcd " * 30_000
+    data = np.frombuffer(raw, np.uint8)
+    s, e, _ = words(data, np.array([0, len(raw)]), NON_SPACE)
+    whole, three, nine = prefix_hashes(data, s, e, (3, 9))
+    assert (whole == span_hash(data, s, e)).all() and (nine == whole).all()
+    abc, ab = whole[1], whole[2]
+    assert (three.reshape(-1, 4) == np.array([abc, abc, ab, abc])).all()
