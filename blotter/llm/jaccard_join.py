@@ -49,9 +49,11 @@ COMMON_LEAST = 8
 MAX_COMMON = 1 << 20        # n-grams sent to every task as common ones: 8 MB at most
 _COMMON_LEVEL = 15
 SMALL_GROUP = 32            # n-grams of more sets are handled by families
-BLOCK_SETS = 1024           # sets of one family handled at once, twice
+BLOCK_SETS = 1024           # sets of one family handled at once, twice,
+BLOCK_GRAMS = 1 << 20       # and about how many n-grams they may hold
 PART_BYTES = 24 << 20       # text bytes behind one part of the n-gram space
-FLUSH_TOKENS = 4_000_000    # n-grams a task gathers before it writes packed runs
+LEAST_PARTS = 64
+FLUSH_TOKENS = 1_000_000    # n-grams a task gathers before it writes packed runs
 FLUSH_SETS = 60_000
 
 _PACKED = "part int, docs binary, known binary, nodes binary, ns binary, counts binary, toks binary, levels binary"
@@ -65,16 +67,20 @@ def _row(part: int, **cols: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
+def _cells(batch: pa.RecordBatch):
+    """Each row of packed columns as a function (name, type) -> array, without copying."""
+    for i in range(batch.num_rows):
+        yield lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)
+
+
 def _pack(sorted_tokens: np.ndarray) -> np.ndarray:
-    """Differences of sorted 64-bit values; six bytes each where they fit."""
+    """Differences of sorted 64-bit values, in as many bytes each as the largest needs (told by the first byte)."""
     gaps = np.diff(sorted_tokens, prepend=np.uint64(0))
-    raw = gaps.view(np.uint8).reshape(-1, 8)
-    wide = np.array([8 if (raw[:, 6:].any()) else 6], np.uint8)
-    return np.concatenate([wide, raw[:, :wide[0]].reshape(-1)])
+    width = max(1, -(-int(gaps.max(initial=0)).bit_length() // 8))
+    return np.concatenate([np.array([width], np.uint8), gaps.view(np.uint8).reshape(-1, 8)[:, :width].reshape(-1)])
 
 
-def _unpack(blob: bytes) -> np.ndarray:
-    a = np.frombuffer(blob, np.uint8)
+def _unpack(a: np.ndarray) -> np.ndarray:
     width = int(a[0])
     raw = np.zeros(((len(a) - 1) // width, 8), np.uint8)
     raw[:, :width] = a[1:].reshape(-1, width)
@@ -256,20 +262,21 @@ def _shared_grams(parts: int):
         toks, whos, nodes, ns, at = [], [], [], [], 0
         low = np.uint64(0xFFFF)
         for batch in batches:
-            for r in batch.to_pylist():
-                run = _unpack(r["toks"])
-                nodes.append(np.frombuffer(r["nodes"], np.uint64))
-                ns.append(np.frombuffer(r["ns"], np.int32))
+            for cell in _cells(batch):
+                run = _unpack(cell("toks", np.uint8))
+                nodes.append(cell("nodes", np.uint64))
+                ns.append(cell("ns", np.int32))
                 toks.append(run >> np.uint64(16))
-                whos.append((run & low).astype(np.int64) + at)
+                whos.append((run & low).astype(np.int32) + np.int32(at))
                 at += len(nodes[-1])
         tok, who = np.concatenate(toks), np.concatenate(whos)
-        del toks, whos
+        del toks, whos, run
         node, n = np.concatenate(nodes), np.concatenate(ns)
         node, at_first, same = np.unique(node, return_index=True, return_inverse=True)
-        n, who = n[at_first], same[who]
+        n, who = n[at_first], same.astype(np.int32)[who]
         order = np.argsort(tok)
         tok, who = tok[order], who[order]
+        del order
         repeat = np.zeros(len(tok), bool)
         repeat[1:] = tok[1:] == tok[:-1]
         repeat[:-1] |= repeat[1:]
@@ -306,25 +313,20 @@ def _candidates(percent: int):
     def run(key, batches):
         if key[0].as_py() < 0:
             for batch in batches:
-                for r in batch.to_pylist():
-                    known = np.frombuffer(r["known"], bool)
-                    docs = np.frombuffer(r["docs"], np.int64)
-                    nodes = np.frombuffer(r["nodes"], np.uint64).view(np.int64)
+                for cell in _cells(batch):
+                    docs, nodes = cell("docs", np.int64), cell("nodes", np.int64)
                     none = pa.nulls(len(docs))
-                    yield out(pa.array(docs, mask=~known), pa.array(nodes), np.frombuffer(r["ns"], np.int32),
+                    yield out(pa.array(docs, mask=~cell("known", bool)), pa.array(nodes), cell("ns", np.int32),
                               none.cast(pa.int32()), none.cast(pa.list_(pa.int64())),
                               none.cast(pa.list_(pa.int32())))
             return
-        rows = [r for batch in batches for r in batch.to_pylist()]
-        node = np.concatenate([np.frombuffer(r["nodes"], np.uint64) for r in rows])
-        n = np.concatenate([np.frombuffer(r["ns"], np.int32) for r in rows])
-        count = np.concatenate([np.frombuffer(r["counts"], np.int32) for r in rows])
-        tok = np.concatenate([np.frombuffer(r["toks"], np.uint64) for r in rows])
-        level = np.concatenate([np.frombuffer(r["levels"], np.uint8) for r in rows])
-        rows = None
+        kinds = (("nodes", np.uint64), ("ns", np.int32), ("counts", np.int32), ("toks", np.uint64), ("levels", np.uint8))
+        rows = [[cell(*kind) for kind in kinds] for batch in batches for cell in _cells(batch)]
+        node, n, count, tok, level = (np.concatenate(column) for column in zip(*rows))
+        del rows
         ids, first, same = np.unique(node, return_index=True, return_inverse=True)
         n = n[first].astype(np.int64)
-        who = np.repeat(same, count)
+        who = np.repeat(same.astype(np.int32), count)
         order = np.lexsort((tok, level, who))
         who, tok, level = who[order], tok[order], level[order]
         new = np.ones(len(who), bool)  # several tasks may have sent a set's common n-grams
@@ -390,7 +392,8 @@ def _family_links(nodes: DataFrame, family: DataFrame, comp: DataFrame, percent:
                      F.col("own").isNotNull().alias("whole"), F.coalesce("own", F.lit(0)).alias("own")))
     key = ["size_class", "whole", "own"]
     counts = shared_table(sized.groupBy("family", *key).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks")), "jaccard-blocks")
+        F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum(F.size("toks")) / BLOCK_GRAMS)).cast("int")
+        .alias("blocks")), "jaccard-blocks")
     sized = sized.join(counts, ["family", *key]).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     ids = counts.select("family", *key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
@@ -428,8 +431,7 @@ def _tile_links(percent: int):
         for f in range(FRAGMENTS):
             overlap += _overlaps([toks[i][cuts[i][f]:cuts[i][f + 1]] for i in one],
                                  [toks[i][cuts[i][f]:cuts[i][f + 1]] for i in two])
-        size = (n[one][:, None] + n[two][None, :]).astype(np.float32)
-        linked = overlap * (100 + percent) >= size * percent
+        linked = overlap.astype(np.int64) * (100 + percent) >= (n[one][:, None] + n[two][None, :]) * percent
         label = rows.copy()
         while True:
             now = label.copy()
@@ -481,12 +483,12 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  k: int = SHINGLE_WORDS, percent: int = PERCENT) -> JaccardLinks:
     """Link texts whose n-gram sets have a Jaccard similarity of ``percent`` / 100 or more."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = parts_for(text_bytes(docs), PART_BYTES, 8)
+    parts = parts_for(text_bytes(docs), PART_BYTES, LEAST_PARTS)
     dealt = arrow_map(docs, _deal("doc_id", "text", k, parts, _common(docs, k)), _PACKED)
     common = arrow_groups(dealt, "part", _shared_grams(parts), _PACKED)
     sets = shared_table(arrow_groups(common, "part", _candidates(percent), _SETS), "jaccard-sets")
-    classes = sets.filter(F.col("toks").isNull()).select("doc_id", "node", "n")
-    nodes = sets.filter(F.col("toks").isNotNull()).select("node", "n", "head", "toks", "cuts")
+    classes = sets.filter(F.col("head").isNull()).select("doc_id", "node", "n")
+    nodes = sets.filter(F.col("head").isNotNull()).select("node", "n", "head", "toks", "cuts")
 
     fragment = F.explode(F.transform(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)), lambda f: F.struct(
         f.alias("f"), F.slice("toks", F.element_at("cuts", f + 1) + 1,
