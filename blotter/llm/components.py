@@ -15,9 +15,9 @@ def components(links: DataFrame) -> DataFrame:
     that label, which halves long chains; every round is a written table.
     Empty links give an empty result.
     """
-    both = shared_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    both = shared_table(links.select("a", "b").union(links.select("b", "a")).distinct(), "links", small=True)
     label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-    label = shared_table(label.select("node", F.least("node", "m").alias("comp")), "labels")
+    label = shared_table(label.select("node", F.least("node", "m").alias("comp")), "labels", small=True)
     while True:
         near = (both.join(label.withColumnsRenamed({"node": "b", "comp": "cb"}), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("cb").alias("m")))
@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
                                                F.least("comp", "m").alias("comp"))
         hop = label.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
         step = step.join(hop, "comp", "left").select("node", "old", F.coalesce(F.least("comp", "up"), "comp").alias("comp"))
-        step = shared_table(step, "labels")
+        step = shared_table(step, "labels", small=True)
         label = step.select("node", "comp")
         if step.filter("old <> comp").isEmpty():
             return label

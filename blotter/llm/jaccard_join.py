@@ -226,7 +226,7 @@ def _common_grams(text_col: str, k: int):
 def _common(docs: DataFrame, k: int):
     """The most common n-grams, sorted, for every task; which ones they are changes no result."""
     counts = arrow_map(docs.select("text"), _common_grams("text", k), "gram long, n long")
-    counts = shared_table(counts.groupBy("gram").agg(F.sum("n").alias("n")), "jaccard-common")
+    counts = shared_table(counts.groupBy("gram").agg(F.sum("n").alias("n")), "jaccard-common", small=True)
     top = most(counts, "n", MAX_COMMON).select("gram").toArrow().column("gram")
     grams = np.sort(np.asarray(top).astype(np.int64).view(np.uint64))
     return docs.sparkSession.sparkContext.broadcast(grams)
@@ -383,7 +383,7 @@ def _family_links(nodes: DataFrame, family: DataFrame, comp: DataFrame, percent:
     """
     member = (family.withColumnRenamed("comp", "family").join(comp.withColumnRenamed("comp", "now"), "node", "left")
               .withColumn("now", F.coalesce("now", "node")))
-    sizes = shared_table(member.groupBy("family", "now").agg(F.count(F.lit(1)).alias("c")), "jaccard-families")
+    sizes = shared_table(member.groupBy("family", "now").agg(F.count(F.lit(1)).alias("c")), "jaccard-families", small=True)
     open_ones = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("family")
     big = sizes.filter(F.col("c") >= BLOCK_SETS).select("family", "now", F.col("now").alias("own"))
     steps = F.log(F.col("n")) / float(np.log(100 / percent))
@@ -393,7 +393,7 @@ def _family_links(nodes: DataFrame, family: DataFrame, comp: DataFrame, percent:
     key = ["size_class", "whole", "own"]
     counts = shared_table(sized.groupBy("family", *key).agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum(F.size("toks")) / BLOCK_GRAMS)).cast("int")
-        .alias("blocks")), "jaccard-blocks")
+        .alias("blocks")), "jaccard-blocks", small=True)
     sized = sized.join(counts, ["family", *key]).withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     ids = counts.select("family", *key, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
@@ -520,7 +520,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labelled = classes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # written, so that a component with very many rows can be split in the join
     least = shared_table(labelled.filter("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id")),
-                         "jaccard-least")
+                         "jaccard-least", small=True)
     rows = (labelled.join(least, "comp", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))

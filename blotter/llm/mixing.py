@@ -77,7 +77,7 @@ def _thresholds(base: DataFrame, targets: DataFrame, most: int) -> DataFrame:
         sums = sums.withColumn("before", up_to - F.col("s")).withColumnRenamed("source", "src")
         edge = sums.join(state.select("source", "rest"), F.col("src").eqNullSafe(F.col("source")))
         edge = edge.filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("s") > F.col("rest")))
-        edge = shared_table(edge.select("src", "b", "before", "s"), "mix-boundary")
+        edge = shared_table(edge.select("src", "b", "before", "s"), "mix-boundary", small=True)
         shift = _WIDTH - _BITS * (level + 1)
         found = state.join(edge, F.col("source").eqNullSafe(F.col("src")), "left")
         left = F.col("rest") - F.col("before")
@@ -103,9 +103,9 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> D
 
 def _plan(base: DataFrame, weights: Sequence[float], share: float, most: int) -> DataFrame:
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = _thresholds(base, shared_table(source_targets(sizes, weights, share, most), "mix-targets"), most)
+    plan = _thresholds(base, shared_table(source_targets(sizes, weights, share, most), "mix-targets", small=True), most)
     plan = plan.drop("rest").withColumnsRenamed({c: f"__mix_{c}" for c in plan.columns})
-    return shared_table(plan, "mix-plan")  # its size is then known, and the documents needn't be shuffled to meet it
+    return shared_table(plan, "mix-plan", small=True)  # its size is then known, and the documents needn't be shuffled to meet it
 
 
 def _taken(size: Column, h: Column) -> Column:

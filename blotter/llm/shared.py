@@ -52,13 +52,17 @@ def received(sent):
     return pickle.loads(sent.value)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+def shared_table(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Write ``df`` to the folder every executor shares and read it back.
 
-    Cuts the lineage: a lost executor later costs only the tasks it ran.
+    Cuts the lineage: a lost executor later costs only the tasks it ran. A
+    ``small`` table (a few narrow columns, cheap to make) gets at most two files
+    for each core, however many shuffle partitions there are.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if small:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

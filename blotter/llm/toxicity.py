@@ -192,7 +192,7 @@ def _vocabulary(sample: DataFrame, rows: int, ones: int, max_terms: int) -> Term
     share = ones / rows
     sure = a >= n * (share + MIN_LIFT * (1 - share))
     fit = per.filter((n < total) & (gap > 0) & sure).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-    top = most(shared_table(fit, "toxicity-terms"), "chi2", max_terms)
+    top = most(shared_table(fit, "toxicity-terms", small=True), "chi2", max_terms)
     return Terms(np.sort(np.array([r["term"] for r in top.select("term").collect()], np.int64).view(np.uint64)))
 
 
