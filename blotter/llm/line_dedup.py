@@ -130,6 +130,13 @@ def line_digests(text: bytes) -> tuple[list[bytes], list[bytes | None]]:
     return lines, out
 
 
+def _sliced(batches, rows: int = 1000):
+    """Smaller batches: a task holds the lines of so many texts at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def _texts(batch: pa.RecordBatch, column: str):
     return (b"" if t is None else t for t in batch.column(column).cast(pa.binary()).to_pylist())
 
@@ -141,7 +148,7 @@ def _key_rows(id_col: str, text_col: str, filters=None, shards: int = 1):
         chains = None
         if filters is not None:
             chains = {s: CuckooChain.from_bytes(b) for s, b in filters.value.items()}
-        for batch in batches:
+        for batch in _sliced(batches):
             ids = batch.column(id_col)
             rows, keys = [], []
             for i, text in enumerate(_texts(batch, text_col)):
@@ -290,7 +297,7 @@ class LineIndex:
 
 def _rewrite(text_col: str, columns: list[str]):
     def run(batches):
-        for batch in batches:
+        for batch in _sliced(batches):
             kept, total, gone = [], [], []
             at = batch.schema.get_field_index(_KEYS)
             for text, keys in zip(_texts(batch, text_col), batch.column(at).to_pylist()):
