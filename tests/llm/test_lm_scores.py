@@ -76,3 +76,30 @@ def test_edge_rows_and_empty_tables(spark, edge, no_docs):
     assert all(r["score"] is None or abs(r["score"]) < 1e-9 for r in out.collect())
     assert S.score_texts(no_docs, edge, edge).count() == 0
     assert S.score_texts(edge, no_docs, no_docs).count() == len(edge_rows())
+
+
+def test_neither_words_nor_bigrams_are_capped(spark, monkeypatch):
+    monkeypatch.setattr(S, "RUN_TOKENS", 20_000, raising=False)
+    rng = random.Random(14)
+    names = [f"v{i}" for i in range(70_000)] * 2  # more than 2^16 words, all as rare as the vocabulary allows
+    rng.shuffle(names)
+    rows = [(i, " ".join(names[1000 * i:1000 * (i + 1)])) for i in range(140)] + [(200, "v1 v2 once"), (201, None)]
+    target = [(0, " ".join(names[500:1700] + ["unseen", "v5"]))]
+    docs, goal = spark.createDataFrame(rows, TEXT).repartition(5), spark.createDataFrame(target, TEXT)
+    vocab = set(names)
+    models = [_model([t for _, t in x if t], vocab) for x in (target, rows)]
+    least = min(sum(m[0].values()) for m in models)
+    scale = [least / sum(m[0].values()) for m in models]
+    out = {r["doc_id"]: r for r in S.score_texts(docs, goal, docs).collect()}
+    assert len(out) == len(rows) and out[201]["n_tokens"] == 0 and out[201]["score"] is None
+    for i in (0, 1, 2, 77, 139, 200):
+        want = [_loss(dict(rows)[i], m, s, vocab) for m, s in zip(models, scale)]
+        assert out[i]["target_loss"] == pytest.approx(want[0], rel=1e-9)
+        assert out[i]["background_loss"] == pytest.approx(want[1], rel=1e-9)
+        assert out[i]["score"] == pytest.approx(want[0] - want[1], abs=1e-9)
+    # texts that are in neither side, by another DataFrame
+    other = S.score_texts(spark.createDataFrame([(1, "v1 nothing"), (2, rows[3][1])], TEXT), goal, docs)
+    got = {r["doc_id"]: r["score"] for r in other.collect()}
+    assert got[2] == out[3]["score"]
+    assert got[1] == pytest.approx(_loss("v1 nothing", models[0], scale[0], vocab)
+                                   - _loss("v1 nothing", models[1], scale[1], vocab), abs=1e-9)
