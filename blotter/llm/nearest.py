@@ -3,7 +3,7 @@
 Vectors are scaled to length one and quantised to int8 with a scale of their
 own. A task multiplies a block of queries with a block of candidates; the exact
 norms of the quantisation errors bound how far each product is from the cosine.
-Pairs whose upper bound reaches the k-th best lower bound (or the k-th best
+Pairs whose upper bound reaches the k-th best lower bound of distinct ids (or the k-th best
 score met before) are recomputed in double precision on the original vectors and
 kept in one heap per query; the heaps of the tasks are merged at the end. The
 result is exact.
@@ -113,7 +113,7 @@ def _tile(q, c, k: int, heaps: dict) -> None:
     near = product * q_scale[:, None] * c_scale[None, :]
     slack = q_error[:, None] + (1 + q_error[:, None]) * c_error[None, :] + 1e-12
     near[q_ids[:, None] == c_ids[None, :]] = -np.inf
-    low = near - slack
+    low = _by_id(near - slack, c_ids)  # k rows of fewer ids may be fewer than k neighbours
     if low.shape[1] > k:
         floor = np.partition(low, low.shape[1] - k, 1)[:, low.shape[1] - k]
     else:
@@ -136,6 +136,13 @@ def _tile(q, c, k: int, heaps: dict) -> None:
                 heapq.heapreplace(heap, (s, -j))
 
 
+def _by_id(low: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The largest bound of each distinct id."""
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.diff(ids[order], prepend=ids[order[:1]] - 1))
+    return low if len(first) == len(ids) else np.maximum.reduceat(low[:, order], first, axis=1)
+
+
 def _leading(x: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Of rows sorted by query, score and id: the first ``k`` distinct (score, id) of each query."""
     new = np.ones(len(x), bool)

@@ -56,3 +56,16 @@ def test_error_bounds_hold():
     approx = (code.astype(float) @ code.T.astype(float)) * scale[:, None] * scale[None, :]
     slack = error[:, None] + (1 + error[:, None]) * error[None, :]
     assert (np.abs(unit @ unit.T - approx) <= slack + 1e-12).all()
+
+
+def test_neighbours_repeated_in_one_tile(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=24)
+    rows = [(0, base)] + [(i, base + 0.05 * i * rng.normal(size=24)) for i in range(1, 8)]
+    rows = [(i, v.astype(np.float32)) for i, v in rows]
+    rows += [(i, w) for i, v in rows[1:] for w in (v, v, v, v, v, v * 2, v * 4)]  # equal rows, and equal scores
+    rows += [(100 + i, rng.normal(size=24).astype(np.float32)) for i in range(200)]
+    rows = [(i, [float(x) for x in v]) for i, v in rows]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA).coalesce(1)
+    got = sorted(map(tuple, N.nearest(df, df.filter("vec_id in (0, 3)")).collect()))
+    assert got == _brute(rows, [0, 3], 5) and len(got) == 10
