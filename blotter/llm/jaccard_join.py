@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
 from .shared import arrow_groups, arrow_map, most, parts_for, shared_table, text_bytes
@@ -104,6 +105,12 @@ def text_sets(batch: pa.RecordBatch, text_col: str, k: int):
                 yield grams[:0]
 
 
+def set_digest(grams: np.ndarray) -> int:
+    """The unsigned number of a set of distinct n-grams; 0 without any."""
+    n = len(grams)
+    return int(mix64(grams.sum(dtype=np.uint64, keepdims=True) ^ np.uint64(n))[0]) if n else 0
+
+
 class _Runs:
     """Sets gathered by one task, written as packed runs by part."""
 
@@ -119,7 +126,7 @@ class _Runs:
 
     def add(self, doc: int, known: bool, grams: np.ndarray):
         n = len(grams)
-        node = int(mix64(grams.sum(dtype=np.uint64, keepdims=True) ^ np.uint64(n))[0]) if n else 0
+        node = set_digest(grams)
         self.docs.append(doc)
         self.known.append(known)
         self.doc_nodes.append(node)
@@ -472,11 +479,24 @@ def _overlaps(one: list[np.ndarray], two: list[np.ndarray], width: int = 2048) -
 @dataclass
 class JaccardLinks:
     """``rows``: every input row (doc_id, n_shingles, component_id); ``links``: verified pairs of classes (node
-    ids) that connect the components; ``classes``: (doc_id, node, n) of every row."""
+    ids) that connect the components; ``classes``: (doc_id, node, n) of every row; ``comp``: (node, comp) of linked
+    classes, comp the least node of the component."""
 
     rows: DataFrame
     links: DataFrame
     classes: DataFrame
+    comp: DataFrame
+
+
+def with_class(docs: DataFrame, name: str, text_col: str = "text", k: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with the class (node id) of each row's text as column ``name``; 0 for a text without n-grams."""
+
+    def run(batches):
+        for batch in batches:
+            nodes = np.array([set_digest(grams) for grams in text_sets(batch, text_col, k)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes)], [*batch.schema.names, name])
+
+    return arrow_map(docs, run, T.StructType(list(docs.schema.fields)).add(name, "long"))
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -524,4 +544,4 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = (labelled.join(least, "comp", "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
-    return JaccardLinks(rows, links, classes)
+    return JaccardLinks(rows, links, classes, comp)

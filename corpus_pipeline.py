@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.decontaminate import find_contamination
-from blotter.llm.jaccard_join import jaccard_join
+from blotter.llm.jaccard_join import jaccard_join, with_class
 from blotter.llm.line_dedup import line_dedup
 from blotter.llm.mixing import with_mix
 from blotter.llm.quality import CUT, score_quality, train
@@ -33,16 +33,24 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the smallest id stays (one row of it).
+    """Of every group of linked documents one row stays, one with the group's smallest id.
 
-    Rows without an id can't be told apart by one and stay.
+    Rows are told apart by id and text: rows of one id in different groups don't
+    meet. Rows without an id, or without words to link by, stay.
     """
-    rows = shared_table(jaccard_join(docs).rows, "jaccard-rows")
-    first = rows.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(first, docs["doc_id"] == first["__keep"], "left_semi")
-    if not first.groupBy("__keep").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    found = jaccard_join(docs)
+    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = found.classes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("doc_id", "node").agg(
+        F.count(F.lit(1)).alias("rows"))
+    least = rows.groupBy("node").agg(F.min(F.struct("doc_id", "node", "rows")).alias("least"))
+    first = shared_table(least.join(found.comp, "node", "left").groupBy(F.coalesce("comp", "node")).agg(
+        F.min("least").alias("least")).select("least.*"), "jaccard-first", small=True)
+    first = first.withColumnsRenamed({"doc_id": "__keep", "node": "__class"})
+    kept = with_class(docs.filter(~alone), "__node")
+    kept = kept.join(first, (kept["doc_id"] == first["__keep"]) & (kept["__node"] == first["__class"]), "left_semi")
+    if not first.filter("rows > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id", "__node"])
+    return kept.select(docs.columns).unionByName(docs.filter(alone))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,6 +85,16 @@ def test_near_duplicates_keep_one_row_of_repeated_rows(spark, small):
     assert [r["doc_id"] for r in out.collect()] == [5]
 
 
+def test_near_duplicates_of_one_id_with_different_texts(spark, small):
+    rng = random.Random(4)
+    one, two, three = (" ".join(prose(rng, 50, 9000)) for _ in range(3))
+    rows = [(5, one, "en", "a", 1), (5, two, "en", "a", 1), (5, three, "en", "a", 1), (3, three, "en", "a", 1),
+            (7, two, "en", "a", 1), (7, two, "en", "a", 2)]
+    out = P.near_duplicates(spark, spark.createDataFrame(rows, COLUMNS), small[0])
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == sorted([(5, one), (5, two), (3, three)])
+    assert out.columns == COLUMNS.replace(" long", "").replace(" string", "").split(", ")
+
+
 def test_run_is_the_stages_in_turn(spark, small):
     path, rows, _ = small
     docs = spark.read.parquet(f"{path}/documents.parquet")
