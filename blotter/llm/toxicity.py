@@ -1,17 +1,20 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are lower-cased words and word beginnings (``PREFIXES`` bytes). Those that
-go with label 1 in the training sample (most texts that hold them have it, by more
-than chance: a chi-square test) make the vocabulary; document frequencies are counted over the whole corpus. The labelled
-examples' vectors are in an inverted index cut into blocks of examples, with the
-largest weight of each term in each block. A text visits blocks by falling upper
-bound until no further block can reach its k-th best cosine, so the neighbours
-are exact. Neighbours vote by cosine for their label; isotonic calibration on
-the training sample (each example without itself) turns votes into a score.
+Terms are lower-cased words and word beginnings (``PREFIXES`` bytes): all that the
+training sample holds. A term's weight is its TF-IDF, with document frequencies of
+the whole corpus, times how surely it goes with label 1 in the sample (``LEAST``
+for a term that doesn't, up to 1), so a text is compared by its telling terms if it
+has some and by all others if not. Every labelled example with a word is in the
+index. Terms of few examples are posting lists and are added up for a text; of the
+others, each block of examples has the largest weight of each term. Examples are
+visited by falling upper bound until none can reach the k-th best cosine, so the
+neighbours are exact. Neighbours vote by cosine for their label; isotonic
+calibration on the training sample (each example without itself) turns votes into
+a score.
 
 Training reads at most ``max_rows`` labelled documents, never a held-out one.
-A text without vocabulary terms has no neighbours and scores as training texts
-without them do.
+A text that shares no term with any example has no neighbours and scores as
+training texts without terms do.
 
 Rows: null, empty and wordless texts have no terms. Labels follow the rules of
 ``quality``. Without labels, or with labels of one kind only, every score is
@@ -30,14 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import labelled_texts
-from .shared import arrow_map, most, received, send, shared_table
+from .shared import arrow_map, received, send, shared_table
 from .text import ALNUM, LOWER, chunks, mix64, prefix_hashes, words
 
 MAX_TRAINING_ROWS = 20_000
-MAX_TERMS = 4096
 PREFIXES = (3, 4, 5, 6, 7)
-MIN_CHI2 = 40.0
-MIN_LIFT = 0.5           # of the way from the label's share to 1
+HALF_CHI2 = 40.0         # the chi-square at which a term counts half
+LEAST = 0.02             # the weight of a term that goes with no label, against a sure one
+COMMON = 1 / 16          # of the examples: terms of more have block bounds in place of posting lists
 NEIGHBOURS = 15
 BLOCK = 64
 CUT = 0.7
@@ -60,72 +63,87 @@ def _terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Terms:
-    """The vocabulary: sorted term hashes behind a bit filter that turns most words away."""
+    """The sample's terms as sorted hashes."""
 
     hashes: np.ndarray
 
-    def __post_init__(self):
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(self.hashes & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-
     def counts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, term, count) of the vocabulary terms, sorted by text and term."""
+        """(text, term, count) of the known terms, sorted by text and term."""
         doc, h = _terms(data, offs)
-        maybe = self.filter[(h & np.uint64((1 << 20) - 1)).astype(np.int64)]
-        doc, h = doc[maybe], h[maybe]
         if not len(self.hashes) or not len(h):
             none = np.zeros(0, np.int64)
             return none, none, none
+        h, same = np.unique(h, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        sure = self.hashes[at] == h
+        at, sure = at[same], (self.hashes[at] == h)[same]
         key, n = np.unique(doc[sure] * len(self.hashes) + at[sure], return_counts=True)
         return key // len(self.hashes), key % len(self.hashes), n
 
 
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the spans, one span after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
-    """Examples' unit vectors as posting lists by term and block, with each block's largest weight."""
+    """Examples' unit vectors: posting lists of the rarer terms; the common ones by example, with each block's largest weight."""
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int):
         self.examples, self.blocks = examples, max(1, -(-examples // BLOCK))
-        block = example // BLOCK
-        order = np.lexsort((example, block, term))
-        self.local = (example % BLOCK)[order]
-        self.weight = weight[order]
-        self.cut = np.searchsorted((term * self.blocks + block)[order], np.arange(terms * self.blocks + 1))
-        self.top = np.zeros((terms, self.blocks))
-        np.maximum.at(self.top, (term, block), weight)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, leave_out: int = -1):
+        often = np.bincount(term, minlength=terms) > max(BLOCK, COMMON * examples)
+        self.common = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        own = often[term]
+        self.of = self.common[term[own]]
+        self.of_weight = weight[own]
+        self.of_cut = np.searchsorted(example[own], np.arange(examples + 1))
+        self.rest = np.sqrt(np.bincount(example[own], self.of_weight ** 2, examples))
+        self.top = np.zeros((int(often.sum()), self.blocks))
+        np.maximum.at(self.top, (self.of, example[own] // BLOCK), self.of_weight)
+        example, term, weight = example[~own], term[~own], weight[~own]
+        order = np.argsort(term, kind="stable")
+        self.example, self.weight = example[order].astype(np.int32), weight[order]
+        self.cut = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, leave_out=-1):
         """The ``k`` examples of largest cosine above 0, ties to the lower number: (examples, cosines)."""
-        bound = weight @ self.top[term]
-        best, score, floor = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best) == k and bound[b] + 1e-9 < floor):
-                break
-            here = np.zeros(BLOCK)
-            for t, w in zip(term.tolist(), weight.tolist()):
-                x, y = self.cut[t * self.blocks + b], self.cut[t * self.blocks + b + 1]
-                here[self.local[x:y]] += w * self.weight[x:y]
-            at = np.flatnonzero(here > 0)
-            ids = at + b * BLOCK
-            at = at[ids != leave_out]
-            best = np.concatenate([best, at + b * BLOCK])
-            score = np.concatenate([score, here[at]])
-            order = np.lexsort((best, -score))[:k]
-            best, score = best[order], score[order]
-            floor = score[-1] if len(score) == k else 0.0
-        return best, score
+        sizes = self.cut[term + 1] - self.cut[term]
+        at = _spans(self.cut[term], sizes)
+        score = np.bincount(self.example[at], self.weight[at] * np.repeat(weight, sizes), self.examples)
+        mine = self.common[term]
+        mine, w = mine[mine >= 0], weight[mine >= 0]
+        bound = np.repeat(w @ self.top[mine], BLOCK)[:self.examples]
+        bound = score + np.minimum(bound, np.sqrt(w @ w) * self.rest * (1 + 1e-6))
+        out = np.atleast_1d(leave_out)
+        score[out[out >= 0]] = bound[out[out >= 0]] = 0
+        floor = np.partition(score, self.examples - k)[self.examples - k] if self.examples > k else 0.0
+        open_ones = np.flatnonzero((bound > 0) & (bound + 1e-6 >= floor))
+        open_ones = open_ones[np.argsort(-bound[open_ones], kind="stable")]
+        dense = np.zeros(len(self.top))
+        dense[mine] = w
+        best, cosine = np.zeros(0, np.int64), np.zeros(0)
+        a, step = 0, BLOCK
+        while a < len(open_ones) and not (len(best) == k and bound[open_ones[a]] + 1e-6 < cosine[-1]):
+            ids = open_ones[a:a + step]
+            sizes = self.of_cut[ids + 1] - self.of_cut[ids]
+            at = _spans(self.of_cut[ids], sizes)
+            more = np.bincount(np.repeat(np.arange(len(ids)), sizes), self.of_weight[at] * dense[self.of[at]], len(ids))
+            best, cosine = np.concatenate([best, ids]), np.concatenate([cosine, score[ids] + more])
+            order = np.lexsort((best, -cosine))[:k]
+            order = order[cosine[order] > 0]
+            best, cosine = best[order], cosine[order]
+            a, step = a + step, 2 * step
+        return best, cosine
 
 
 @dataclass
-class ToxicityModel:
+class Examples:
+    """What every task gets: the terms, their weights and the index; bounded by the training sample."""
+
     terms: Terms
     idf: np.ndarray
     index: BlockMaxIndex
     doc_ids: np.ndarray
     labels: np.ndarray
-    steps: tuple[np.ndarray, np.ndarray]     # vote, score
-    without: float                           # the score of texts without terms
 
     def vectors(self, data: np.ndarray, offs: np.ndarray):
         return _unit(*self.terms.counts(data, offs), self.idf, len(offs) - 1)
@@ -133,15 +151,19 @@ class ToxicityModel:
     def vote(self, near: np.ndarray, cosine: np.ndarray) -> float:
         return float((cosine * self.labels[near]).sum() / cosine.sum()) if len(near) else 0.0
 
-    def score(self, vote: float) -> float:
-        return float(np.interp(vote, *self.steps))
+
+@dataclass
+class ToxicityModel:
+    sent: object                             # the broadcast Examples
+    steps: tuple[np.ndarray, np.ndarray]     # vote, score
+    without: float                           # the score of texts without terms
 
 
 def _unit(doc: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray, docs: int):
     """TF-IDF weights scaled to length one per text."""
     weight = (1 + np.log(n)) * idf[term] if len(n) else np.zeros(0)
     norm = np.sqrt(np.bincount(doc, weight * weight, docs))
-    return doc, term, weight / norm[doc] if len(n) else weight
+    return doc, term, (weight / norm[doc] if len(n) else weight).astype(np.float32)
 
 
 def _isotonic(vote: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,24 +202,23 @@ def _association(batches):
                 [pa.array(term[a:b].view(np.int64)), pa.array(n[a:b]), pa.array(ones[a:b])], ["term", "n", "ones"])
 
 
-def _vocabulary(sample: DataFrame, rows: int, ones: int, max_terms: int) -> Terms:
-    """The terms that most surely go with label 1; at most ``max_terms`` come to the driver."""
+def _vocabulary(sample: DataFrame, rows: int, ones: int) -> tuple[Terms, np.ndarray]:
+    """All terms of the sample, and how surely each goes with label 1 (``LEAST`` to 1)."""
     if not 0 < ones < rows:
-        return Terms(np.zeros(0, np.uint64))
+        return Terms(np.zeros(0, np.uint64)), np.zeros(0)
     per = arrow_map(sample.select("text", "y"), _association, "term long, n long, ones long").groupBy("term").agg(
-        F.sum("n").cast("double").alias("n"), F.sum("ones").cast("double").alias("a"))
-    n, a, total = F.col("n"), F.col("a"), float(rows)
-    gap = a * total - n * ones
-    chi2 = total * gap / (n * (total - n)) * gap / (float(ones) * (rows - ones))
+        F.sum("n").alias("n"), F.sum("ones").alias("ones")).toArrow()
+    term, n, a = (np.asarray(per.column(c)) for c in ("term", "n", "ones"))
+    order = np.argsort(term.view(np.uint64))
+    term, n, a = term[order].view(np.uint64), n[order].astype(float), a[order].astype(float)
     share = ones / rows
-    sure = a >= n * (share + MIN_LIFT * (1 - share))
-    fit = per.filter((n < total) & (gap > 0) & sure).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-    top = most(shared_table(fit, "toxicity-terms", small=True), "chi2", max_terms)
-    return Terms(np.sort(np.array([r["term"] for r in top.select("term").collect()], np.int64).view(np.uint64)))
+    lift = np.maximum(0, a / n - share) / (1 - share)
+    chi2 = lift ** 2 * n * rows * (1 - share) / (share * np.maximum(1, rows - n))
+    return Terms(term), LEAST + (1 - LEAST) * (lift * chi2 / (chi2 + HALF_CHI2)) ** 2
 
 
 def _term_rows(sent, text_col: str):
-    """Per row of the sample: its vocabulary terms and counts."""
+    """Per row of the sample: its terms and counts, as bytes."""
 
     def run(batches):
         terms = received(sent)
@@ -207,10 +228,10 @@ def _term_rows(sent, text_col: str):
                 doc, term, n = terms.counts(data, offs)
                 cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
                 for x, y in zip(cuts[:-1], cuts[1:]):
-                    cols[0].append(term[x:y].tolist())
-                    cols[1].append(n[x:y].tolist())
+                    cols[0].append(term[x:y].astype(np.int32).tobytes())
+                    cols[1].append(n[x:y].astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"),
-                                              *(pa.array(c, pa.list_(pa.int64())) for c in cols)],
+                                              *(pa.array(c, pa.binary()) for c in cols)],
                                              ["doc_id", "y", "terms", "counts"])
 
     return run
@@ -233,58 +254,83 @@ def _document_counts(sent, text_col: str):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS,
-          max_terms: int = MAX_TERMS) -> ToxicityModel:
-    """Vocabulary, corpus statistics, index and calibration; all bounded by the two parameters."""
+def _votes(sent):
+    """The vote for each text of the sample with terms, without the examples of its id."""
+
+    def run(batches):
+        known = received(sent)
+        for batch in batches:
+            ids, y, votes, labels = np.asarray(batch.column("doc_id")), np.asarray(batch.column("y")), [], []
+            for lo, hi, data, offs in chunks(batch, "text"):
+                doc, term, weight = known.vectors(data, offs)
+                cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
+                for i, a, b in zip(range(lo, hi), cuts[:-1], cuts[1:]):
+                    if a < b:
+                        own = np.flatnonzero(known.doc_ids == ids[i])
+                        votes.append(known.vote(*known.index.nearest(term[a:b], weight[a:b], NEIGHBOURS, own)))
+                        labels.append(int(y[i]))
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(labels, pa.int32())], ["vote", "y"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
+    """Terms, corpus statistics, index and calibration; all bounded by the sample of ``max_rows`` texts."""
     sample = shared_table(labelled_texts(docs, labels, label, max_rows), "toxicity-sample")
     known = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
     rows, ones = known[0], known[1] or 0
-    terms = _vocabulary(sample, rows, ones, max_terms)
+    terms, sure = _vocabulary(sample, rows, ones)
     sent = send(docs.sparkSession, terms)
-    counted = arrow_map(docs.select("text"), _document_counts(sent, "text"), "term long, n long").groupBy(
-        "term").agg(F.sum("n").alias("n")).collect() if len(terms.hashes) else []
     df = np.zeros(len(terms.hashes) + 1)
-    for r in counted:
-        df[r["term"]] = r["n"]
-    idf = np.log1p(df[-1] / (1 + df[:-1]))
-    examples = arrow_map(sample, _term_rows(sent, "text"),
-                         "doc_id long, y int, terms array<long>, counts array<long>").collect()
-    empty = [r["y"] for r in examples if not r["terms"]]
-    examples = sorted((r for r in examples if r["terms"]), key=lambda r: (r["terms"], r["doc_id"], r["counts"]))
-    doc = np.repeat(np.arange(len(examples)), [len(r["terms"]) for r in examples]).astype(np.int64)
-    term = np.array([t for r in examples for t in r["terms"]], np.int64)
-    count = np.array([c for r in examples for c in r["counts"]], np.int64)
-    doc, term, weight = _unit(doc, term, count, idf, len(examples))
-    y = np.array([r["y"] for r in examples], np.int64)
-    index = BlockMaxIndex(doc, term, weight, len(examples), len(terms.hashes))
+    if len(terms.hashes):
+        counted = arrow_map(docs.select("text"), _document_counts(sent, "text"), "term long, n long").groupBy(
+            "term").agg(F.sum("n").alias("n")).toArrow()
+        df[np.asarray(counted.column("term"))] = np.asarray(counted.column("n"))
+        del counted
+    idf = np.log1p(df[-1] / (1 + df[:-1])) * sure
+    rows_of = arrow_map(sample, _term_rows(sent, "text"), "doc_id long, y int, terms binary, counts binary").toArrow()
+    ids, y = (np.asarray(rows_of.column(c)).astype(np.int64) for c in ("doc_id", "y"))
+    each, count = ([np.frombuffer(c.as_buffer(), np.int32) for c in rows_of.column(name)] for name in ("terms", "counts"))
+    full = [i for i in np.lexsort((y, ids)).tolist() if len(each[i])]
+    empty = [int(y[i]) for i in range(len(each)) if not len(each[i])]
+    full.sort(key=lambda i: (each[i].tobytes(), int(ids[i]), count[i].tobytes()))  # the same order in every run
+    none = [np.zeros(0, np.int32)]
+    doc = np.repeat(np.arange(len(full), dtype=np.int32), [len(each[i]) for i in full])
+    term = np.concatenate(none + [each[i] for i in full])
+    doc, term, weight = _unit(doc, term, np.concatenate(none + [count[i] for i in full]), idf, len(full))
+    ids, y = ids[full], y[full]
+    del rows_of, each, count
+    index = BlockMaxIndex(doc, term, weight, len(full), len(terms.hashes))
+    del doc, term, weight
     share = ones / rows if rows else 0.0
     without = (sum(empty) + 0.5) / (len(empty) + 1) if 0 < ones < rows else share
-    model = ToxicityModel(terms, idf, index, np.array([r["doc_id"] for r in examples], np.int64), y,
+    model = ToxicityModel(send(docs.sparkSession, Examples(terms, idf, index, ids, y)),
                           (np.array([0.0]), np.array([share])), without)
-    if examples:
-        cuts = np.searchsorted(doc, np.arange(len(examples) + 1))
-        votes = [model.vote(*index.nearest(term[a:b], weight[a:b], NEIGHBOURS, i))
-                 for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
-        model.steps = _isotonic(np.array(votes), y)
+    if full:
+        spread = sample.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)  # searching costs far more than reading
+        votes = arrow_map(spread, _votes(model.sent), "vote double, y int").toArrow()
+        model.steps = _isotonic(*(np.asarray(votes.column(c)) for c in ("vote", "y")))
     return model
 
 
-def _score(sent, text_col: str):
+def _score(model: ToxicityModel, text_col: str):
+    sent, steps, without = model.sent, model.steps, model.without
+
     def run(batches):
-        model = received(sent)
+        known = received(sent)
         for batch in batches:
             scores, evidence = [], []
             for lo, hi, data, offs in chunks(batch, text_col):
-                doc, term, weight = model.vectors(data, offs)
+                doc, term, weight = known.vectors(data, offs)
                 cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
                 for a, b in zip(cuts[:-1], cuts[1:]):
                     if a == b:
-                        scores.append(model.without)
+                        scores.append(without)
                         evidence.append([])
                         continue
-                    near, cosine = model.index.nearest(term[a:b], weight[a:b], NEIGHBOURS)
-                    scores.append(model.score(model.vote(near, cosine)))
-                    evidence.append([{"doc_id": int(model.doc_ids[i]), "cosine": float(c), "label": int(model.labels[i])}
+                    near, cosine = known.index.nearest(term[a:b], weight[a:b], NEIGHBOURS)
+                    scores.append(float(np.interp(known.vote(near, cosine), *steps)))
+                    evidence.append([{"doc_id": int(known.doc_ids[i]), "cosine": float(c), "label": int(known.labels[i])}
                                      for i, c in zip(near, cosine)])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)],
@@ -297,4 +343,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     """``docs`` with ``score`` and the ``neighbours`` that it rests on."""
     docs = docs.drop("score", "neighbours")
     schema = T.StructType(docs.schema.fields + T.StructType.fromDDL(EVIDENCE).fields)
-    return arrow_map(docs, _score(send(docs.sparkSession, model), text_col), schema)
+    return arrow_map(docs, _score(model, text_col), schema)

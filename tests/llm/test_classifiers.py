@@ -57,6 +57,19 @@ def test_toxicity_on_held_out_documents(corpus):
         assert all(known[n["doc_id"]] == n["label"] and not plain.held_out(n["doc_id"]) for n in r["neighbours"])
 
 
+def test_toxicity_compares_texts_without_telling_terms(corpus, spark):
+    docs, labels, rows = corpus
+    out = toxicity.score_toxicity(docs, toxicity.train(docs, labels)).select("doc_id", "neighbours").collect()
+    assert all(len(r["neighbours"]) == toxicity.NEIGHBOURS for r in out)
+    # a sample of fewer than 40 texts has terms as well, and every example is found by its own text
+    few = [(i, t, 0) for i, (t, *_) in enumerate([(f"plain words number w{i} here",) for i in range(20)])]
+    few = [(3 * i, t, int(i % 4 == 0)) for i, t, _ in few if not plain.held_out(3 * i)]
+    texts = spark.createDataFrame([(i, t) for i, t, _ in few], "doc_id long, text string")
+    out = toxicity.score_toxicity(texts, toxicity.train(texts, spark.createDataFrame(
+        [(i, 1, y) for i, _, y in few], LABELS))).collect()
+    assert all(r["neighbours"][0]["doc_id"] == r["doc_id"] and r["neighbours"][0]["cosine"] > 0.999 for r in out)
+
+
 def test_held_out_rule(spark):
     df = spark.createDataFrame([(i,) for i in [*range(40), None]], "doc_id long")
     got = {r[0]: r[1] for r in df.select("doc_id", quality.held_out()).collect()}
