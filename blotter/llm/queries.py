@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import toxicity
+from . import merkle, toxicity
 from .decontaminate import find_contamination
 from .jaccard_join import jaccard_join
 from .licenses import scan_licenses
@@ -80,6 +80,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    return merkle.verify(merkle.with_case_tampering(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scores": op1_lm_scores,
     "op2_nearest": op2_nearest,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_licenses": op10_licenses,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -216,7 +222,77 @@ FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON docs.doc_id = r.a
 """
 
+#: CRC-32 of a text's bytes, by the table of its polynomial.
+_CRC_TABLE = """
+crc AS (
+    SELECT list(c ORDER BY i) AS tab FROM (
+        SELECT i, list_reduce(list_prepend(i, range(8)),
+                              lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) t(i))
+)"""
+
+_MERKLE = rf"""
+WITH RECURSIVE {_CRC_TABLE}, texts AS (
+    SELECT *, CASE WHEN doc_id IS NOT NULL AND xor(list_reduce(
+                  list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+                  lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1])), 4294967295) % 5 = 0
+              THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+    FROM documents, crc
+), heads AS (
+    SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+              || coalesce(strlen(lang) || ':' || lang, '-')
+              || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+    FROM texts
+), leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           sha256(head || coalesce(strlen(other) || ':' || other, '-')) AS checked
+    FROM heads
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+           dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM leaves
+), levels AS (
+    SELECT s, 0 AS depth, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY s
+    UNION ALL
+    SELECT s, depth + 1, list_transform(range((len(nodes) + 15) // 16),
+                                        lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], '')))
+    FROM levels WHERE len(nodes) > 1
+), subroots AS (
+    SELECT s, depth AS height, nodes[1] AS subroot FROM levels WHERE len(nodes) = 1
+), tops AS (
+    SELECT 0 AS depth, (SELECT list(subroot ORDER BY s) FROM subroots) AS nodes
+    UNION ALL
+    SELECT depth + 1, list_transform(range((len(nodes) + 15) // 16),
+                                     lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], '')))
+    FROM tops WHERE len(nodes) > 1
+), steps AS (
+    SELECT p.s, p.pos, l.depth, l.nodes, p.pos // (16 ** l.depth)::BIGINT AS i
+    FROM placed p JOIN levels l ON l.s = p.s WHERE len(l.nodes) > 1
+    UNION ALL
+    SELECT p.s, p.pos, u.height + t.depth, t.nodes, p.s // (16 ** t.depth)::BIGINT
+    FROM placed p JOIN subroots u ON u.s = p.s, tops t WHERE len(t.nodes) > 1
+), flanks AS (
+    SELECT s, pos, depth, coalesce(array_to_string(nodes[i - i % 16 + 1:i], ''), '') AS before,
+           coalesce(array_to_string(nodes[i + 2:i - i % 16 + 16], ''), '') AS after
+    FROM steps
+), folds AS (
+    SELECT s, pos, 0 AS depth, checked AS acc FROM placed
+    UNION ALL
+    SELECT f.s, f.pos, f.depth + 1, sha256(k.before || f.acc || k.after)
+    FROM folds f JOIN flanks k ON k.s = f.s AND k.pos = f.pos AND k.depth = f.depth
+), ends AS (
+    SELECT s, pos, arg_max(acc, depth) AS folded_root FROM folds GROUP BY s, pos
+), proofs AS (
+    SELECT s, pos, sha256(string_agg(before || after, '' ORDER BY depth)) AS proof FROM flanks GROUP BY s, pos
+)
+SELECT p.doc_id, p.leaf, u.subroot, r.root, coalesce(proof, sha256('')) AS proof_sha256, e.folded_root,
+       e.folded_root = r.root AS verified
+FROM placed p JOIN subroots u ON u.s = p.s JOIN ends e ON e.s = p.s AND e.pos = p.pos
+LEFT JOIN proofs q ON q.s = p.s AND q.pos = p.pos,
+     (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1) r
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_merkle_manifest": _MERKLE,
     "op3_decontaminate": _CONTAMINATED,
     "op5_jaccard_join": _JACCARD,
     "op2_nearest": _NEAREST,
