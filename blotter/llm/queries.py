@@ -11,6 +11,7 @@ import corpus_pipeline
 
 from . import merkle, toxicity
 from .decontaminate import find_contamination
+from .fp_search import rank_documents
 from .jaccard_join import jaccard_join
 from .licenses import scan_licenses
 from .line_dedup import line_dedup
@@ -80,6 +81,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
     return merkle.verify(merkle.with_case_tampering(docs))
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_licenses": op10_licenses,
+    "op12_fp_search": op12_fp_search,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
@@ -222,6 +228,30 @@ FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON docs.doc_id = r.a
 """
 
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_LOWER)
+
+_RANKED = rf"""
+WITH found AS (
+    SELECT rowid AS doc, doc_id, {_TERMS} AS terms FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_all FROM found WHERE len(terms) > 0
+), tfs AS (
+    SELECT doc, any_value(doc_id) AS doc_id, any_value(n) AS n, t, count(*) AS tf
+    FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS t FROM found) GROUP BY doc, t
+), weights AS (
+    SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT t, count(*) AS df FROM tfs GROUP BY t), totals
+), items AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS t FROM benchmark
+), scored AS (
+    SELECT item_id, doc, any_value(doc_id) AS doc_id,
+           sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all))))::BIGINT AS score
+    FROM items JOIN weights USING (t) JOIN tfs USING (t), totals GROUP BY item_id, doc
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 #: CRC-32 of a text's bytes, by the table of its polynomial.
 _CRC_TABLE = """
 crc AS (
@@ -292,6 +322,7 @@ LEFT JOIN proofs q ON q.s = p.s AND q.pos = p.pos,
 """
 
 ORACLES: dict[str, str] = {
+    "op12_fp_search": _RANKED,
     "op13_merkle_manifest": _MERKLE,
     "op3_decontaminate": _CONTAMINATED,
     "op5_jaccard_join": _JACCARD,
