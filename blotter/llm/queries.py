@@ -18,6 +18,7 @@ from .line_dedup import line_dedup
 from .lm_scores import score_texts
 from .mixing import mix_sources
 from .nearest import nearest
+from .polytope import near_duplicates
 from .quality import CUT, held_out, score_quality, train
 from .shared import read_table
 from .token_counts import count_tokens, read_ranked_pieces
@@ -81,6 +82,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op12_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_token_counts": op9_token_counts,
     "op10_licenses": op10_licenses,
+    "op11_near_vectors": op11_near_vectors,
     "op12_fp_search": op12_fp_search,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
@@ -228,6 +234,28 @@ FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id
 JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) r ON docs.doc_id = r.a
 """
 
+_NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS i, vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), good AS (
+    SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
+      AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT x.i AS a, y.i AS b FROM good x JOIN good y ON x.label = y.label AND x.i <> y.i AND len(x.e) = len(y.e)
+    WHERE list_cosine_similarity(x.e, y.e) >= 0.98
+), reach AS (
+    SELECT i AS a, i AS b FROM v
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), classes AS (
+    SELECT a, min(vec_id) AS component_id FROM reach JOIN v ON v.i = b GROUP BY a
+), counts AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN classes ON classes.a = v.i LEFT JOIN counts ON counts.a = v.i
+"""
+
 _TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_LOWER)
 
 _RANKED = rf"""
@@ -322,6 +350,7 @@ LEFT JOIN proofs q ON q.s = p.s AND q.pos = p.pos,
 """
 
 ORACLES: dict[str, str] = {
+    "op11_near_vectors": _NEAR_VECTORS,
     "op12_fp_search": _RANKED,
     "op13_merkle_manifest": _MERKLE,
     "op3_decontaminate": _CONTAMINATED,
