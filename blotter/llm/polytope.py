@@ -8,7 +8,8 @@
    way to a next best one. Two nodes meet in a bucket that is the home of one of them
    and the home or a probe of the other.
 3. Only buckets of several nodes go on. A bucket of more than ``BLOCK`` nodes is
-   cut into blocks, every pair of blocks is a tile of its own. A tile's cosines are one
+   cut into blocks, every pair of blocks is a tile of its own; a task takes a part of the
+   tiles by hash, about ``PART`` rows of them. A tile's cosines are one
    matrix product in double precision; those next to the threshold are computed again
    component by component. A pair that meets several times counts in the first
    bucket where it does, which every tile can tell from the two nodes' buckets.
@@ -39,13 +40,14 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .nearest import _valid, cosine
-from .shared import arrow_groups, arrow_map, shared_table
+from .shared import arrow_groups, arrow_map, parts_for, shared_table
 
 THRESHOLD = 0.98
 PROBES = 2
-FILL = 16
+FILL = 64
 MISS = 1e-6
 BLOCK = 2048
+PART = 50_000          # tile rows behind one part
 SAFE = 1e-9            # cosines this near to the threshold are computed again
 
 _ROW = "id long, label string, dim int, vec binary"
@@ -192,61 +194,86 @@ def _spanning(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         label = least
 
 
-def _tile(threshold: float):
+def _tiles(threshold: float):
+    """All tiles of a part; (node, up, linked) of the nodes with links, ``up`` being a node that it is connected with."""
+
     def run(key, batches):
-        _, dim, code, i, j = (k.as_py() for k in key)
         table = pa.Table.from_batches(list(batches)).combine_chunks()
-        block = table["block"].to_numpy()
-        raw = _values(table["vec"].combine_chunks(), dim)
-        unit = _unit(raw)
-        home, probes = (np.asarray(table[c].combine_chunks().flatten()).reshape(len(raw), -1) for c in ("home", "probes"))
-        probes = probes.reshape(len(raw), home.shape[1], -1)
-        many = table["many"].to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        linked, xs, ys = np.zeros(len(raw), np.int64), [], []
-        for a in range(0, len(left), 512):
-            some = left[a:a + 512]
-            near = unit[some] @ unit[right].T
-            x, y = np.nonzero(near >= threshold - SAFE)
-            sure = near[x, y] >= threshold + SAFE
-            x, y = some[x], right[y]
-            sure[~sure] = cosine(raw[x[~sure]], raw[y[~sure]]) >= threshold
-            sure &= (x < y) if i == j else True
-            x, y = x[sure], y[sure]
-            first = _first_meeting(home, probes, x, y) == code if len(x) else np.zeros(0, bool)
-            x, y = x[first], y[first]
-            np.add.at(linked, x, many[y])
-            np.add.at(linked, y, many[x])
-            # what is connected already needs no link again
-            rep = _spanning(len(raw), np.concatenate([x, *xs]), np.concatenate([y, *ys])) if len(x) else None
-            if rep is not None:
-                held = np.flatnonzero(rep != np.arange(len(raw)))
-                xs, ys = [held], [rep[held]]
-        names = table["node"].combine_chunks()
-        hit = np.flatnonzero(linked)
-        up = np.arange(len(raw))
-        if xs:
-            up[xs[0]] = ys[0]
-        yield pa.RecordBatch.from_arrays([names.take(pa.array(hit)), names.take(pa.array(up[hit])), pa.array(linked[hit])],
-                                         ["node", "up", "linked"])
+        for dim in pc.unique(table["dim"]).to_pylist():
+            part = table.filter(pc.equal(table["dim"], dim)).combine_chunks()
+            label = part["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+            code, i, j, block, many = (part[c].to_numpy() for c in ("code", "i", "j", "block", "many"))
+            raw = _values(part["vec"].combine_chunks(), dim)
+            unit = _unit(raw)
+            home, probes = (np.asarray(part[c].combine_chunks().flatten()).reshape(len(raw), -1) for c in ("home", "probes"))
+            probes = probes.reshape(*home.shape, -1)
+            order = np.lexsort((block, j, i, code, label))
+            new = np.zeros(len(order) + 1, bool)
+            new[0] = new[-1] = True
+            for column in (label, code, i, j):
+                new[1:-1] |= np.diff(column[order]) != 0
+            cuts = np.flatnonzero(new)
+            up, linked = np.arange(len(raw)), np.zeros(len(raw), np.int64)
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if b - a > 1:
+                    rows = order[a:b]
+                    _tile(rows, block[rows], threshold, raw, unit, home, probes, code[rows[0]], many, up, linked)
+            hit = np.flatnonzero(linked)
+            names = part["node"].combine_chunks()
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(hit)), names.take(pa.array(up[hit])), pa.array(linked[hit])],
+                                             ["node", "up", "linked"])
 
     return run
 
 
+def _tile(rows, block, threshold, raw, unit, home, probes, code, many, up, linked) -> None:
+    """Links of one tile: into ``linked`` (linked rows) and ``up`` (a connected row)."""
+    one = block[0] == block[-1]                      # rows come in order of their block
+    middle = 0 if one else int(np.searchsorted(block, block[0], "right"))
+    left, right = (rows, rows) if one else (rows[:middle], rows[middle:])
+    held = np.zeros((2, 0), np.int64)
+    for a in range(0, len(left), 512):
+        near = unit[left[a:a + 512]] @ unit[right].T
+        x, y = np.nonzero(near >= threshold - SAFE)
+        if one:
+            after = x + a < y
+            x, y = x[after], y[after]
+        if not len(x):
+            continue
+        value = near[x, y]
+        x, y = left[x + a], right[y]
+        close = np.flatnonzero(value < threshold + SAFE)
+        if len(close):
+            good = np.ones(len(x), bool)
+            good[close] = cosine(raw[x[close]], raw[y[close]]) >= threshold
+            x, y = x[good], y[good]
+        first = _first_meeting(home, probes, x, y) == code
+        x, y = x[first], y[first]
+        np.add.at(linked, x, many[y])
+        np.add.at(linked, y, many[x])
+        # what connects them is enough from here on
+        every, place = np.unique(np.concatenate([held, [x, y]], axis=1), return_inverse=True)
+        least = every[_spanning(len(every), *place.reshape(2, -1))]
+        held = np.stack([every, least])[:, every != least]
+    up[held[0]] = held[1]
+
+
 def _meetings(nodes: DataFrame) -> DataFrame:
-    """(label, dim, code, i, j, block, node): the nodes of every tile."""
+    """(part, label, dim, code, i, j, block, node): the nodes of every tile, and the part that the tile belongs to."""
     places = nodes.select("label", "dim", "node", F.explode(F.concat(
         F.transform("home", lambda c: F.struct(c.alias("code"), F.lit(1).alias("at_home"))),
         F.transform("probes", lambda c: F.struct(c.alias("code"), F.lit(0).alias("at_home"))))).alias("__p"))
     places = shared_table(places.select("label", "dim", "node", "__p.*"), "places")
     busy = places.groupBy("label", "dim", "code").agg(F.count(F.lit(1)).alias("n"), F.max("at_home").alias("homes"))
-    busy = busy.filter("n > 1 and homes = 1").select("label", "dim", "code", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    busy = busy.filter("n > 1 and homes = 1").select("label", "dim", "code", "n", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    busy = shared_table(busy, "busy")
+    parts = parts_for(busy.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0, PART)
     placed = places.join(busy, ["label", "dim", "code"]).withColumn(
         "block", F.pmod(F.xxhash64("node", "code"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     placed = placed.select("label", "dim", "code", "node", "block", other.alias("other"))
-    return placed.select("label", "dim", "code", "node", "block", F.least("block", "other").alias("i"),
-                         F.greatest("block", "other").alias("j"))
+    placed = placed.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    return placed.withColumn("part", F.pmod(F.xxhash64("label", "dim", "code", "i", "j"), F.lit(parts)))
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -267,8 +294,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, id_col: st
     plans = {r["dim"]: plan(r["most"], r["dim"], threshold) for r in sizes}  # a row for each length of vectors
     coded = shared_table(arrow_map(nodes.select(*_NODES[:-2]), _with_buckets(plans), _NODE), "coded")
     tiles = _meetings(coded).join(coded.drop("label", "dim"), "node")
-    found = shared_table(arrow_groups(tiles, ["label", "dim", "code", "i", "j"], _tile(threshold),
-                                      "node string, up string, linked long"), "found")
+    found = arrow_groups(tiles, "part", _tiles(threshold), "node string, up string, linked long")
+    found = shared_table(found, "found")
     links = found.filter("node <> up").select(F.col("node").alias("a"), F.col("up").alias("b"))
     comp = components(links)
     least = nodes.select("node", "least").join(comp, "node").groupBy("comp").agg(F.min("least").alias("first"))
