@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on for reproducible results. Timestamps are
 # parsed from wall-clock text, so the session time zone must be fixed.
@@ -104,11 +106,58 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_LEASES: list[tuple[str, str]] = []  # (application, folder) of the open ``scratch`` blocks, innermost last
+
+
+def _folder(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path on it."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(sc._jsc.hadoopConfiguration()), folder
+
+
+def _app_folder(spark: SparkSession) -> str:
+    """This application's folder under the checkpoint folder; it goes when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/blotter-{spark.sparkContext.applicationId}"
+    files, folder = _folder(spark, path)
+    if files.mkdirs(folder):
+        files.deleteOnExit(folder)
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder.
 
-    Tables are written there and read lazily, so the library can't tell when
-    the last reader is done: on a cluster give the folder a lifetime.
+    Tables are written there and read lazily, so they live until the block of
+    ``scratch`` they were made in ends, ``drop_scratch`` is called or the driver ends.
     """
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/blotter/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    mine = [folder for owner, folder in _LEASES if owner == app]
+    return f"{mine[-1] if mine else _app_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: computed once, with a known size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Scratch tables made inside the block are deleted at its end: use their results, or write them, inside."""
+    folder = f"{_app_folder(spark)}/lease-{uuid.uuid4().hex}"
+    lease = (spark.sparkContext.applicationId, folder)
+    _LEASES.append(lease)
+    try:
+        yield folder
+    finally:
+        _LEASES.remove(lease)
+        files, path = _folder(spark, folder)
+        files.delete(path, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application, before ``spark.stop()`` or when their results are written."""
+    files, path = _folder(spark, _app_folder(spark))
+    files.delete(path, True)
