@@ -36,9 +36,15 @@ def to_int(c: ColumnLike) -> Column:
     return F.trim(as_col(c).cast("string")).try_cast("double").try_cast("int")
 
 
+def finite(c: ColumnLike) -> Column:
+    """A double as it is; null for NaN and the infinities."""
+    col = as_col(c)
+    return F.when(F.abs(col) < F.lit(float("inf")), col)  # NaN is larger than any number
+
+
 def to_double(c: ColumnLike) -> Column:
-    """Text or number -> double; null for text that is not a number."""
-    return F.trim(as_col(c).cast("string")).try_cast("double")
+    """Text or number -> finite double; null for text that is not a number, "NaN" and "Infinity" included."""
+    return finite(F.trim(as_col(c).cast("string")).try_cast("double"))
 
 
 def money_to_int(c: ColumnLike) -> Column:
@@ -70,11 +76,13 @@ def code_prefix(c: ColumnLike, prefix: str = "1") -> Column:
 def not_null_island(lat: ColumnLike = "lat", lon: ColumnLike = "lon") -> Column:
     """Keep points with known coordinates that are not (0, 0).
 
-    A point survives when both coordinates are present and at least one of
-    them is non-zero, compared as numbers (``0.0`` is zero too).
+    A point survives when both coordinates are present, not NaN or infinite, and
+    at least one of them is non-zero, compared as numbers (``0.0`` is zero too).
+    Never null.
     """
     la, lo = as_col(lat), as_col(lon)
-    return la.isNotNull() & lo.isNotNull() & ((la != F.lit(0.0)) | (lo != F.lit(0.0)))
+    known = la.isNotNull() & lo.isNotNull() & (F.abs(la) < float("inf")) & (F.abs(lo) < float("inf"))
+    return known & ((la != F.lit(0.0)) | (lo != F.lit(0.0)))
 
 
 def year_of(c: ColumnLike) -> Column:

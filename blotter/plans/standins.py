@@ -155,6 +155,7 @@ def point_pairs(orders: DataFrame) -> DataFrame:
     """Pairs of points all over the globe: ``dr_no, lat1, lon1, lat2, lon2``.
 
     By ``k % 4``: nearly or exactly antipodal, equal, with a pole, and unrelated points.
+    One coordinate is no number if 37 divides ``k`` (NaN), infinite if 41 does, and null if 43 does.
     """
     k = _k()
     kind = k % 4
@@ -163,4 +164,6 @@ def point_pairs(orders: DataFrame) -> DataFrame:
             .when(kind == 2, F.when(k % 3 == 0, 90.0).otherwise(-90.0)).otherwise((k * 13 % 161 - 80).cast("double")))
     lon2 = (F.when(kind == 0, lon1 + 180 - (k % 13) / 10).when(kind == 1, lon1)
             .otherwise((k * 17 % 360 - 180).cast("double")))
+    lat1 = F.when(k % 37 == 0, F.lit(float("nan"))).otherwise(lat1)
+    lon2 = F.when(k % 41 == 0, F.lit(float("-inf"))).when(k % 43 != 0, lon2)
     return orders.select(k.alias("dr_no"), lat1.alias("lat1"), lon1.alias("lon1"), lat2.alias("lat2"), lon2.alias("lon2"))

@@ -19,6 +19,7 @@ from blotter.functions import (
     parse_date,
     parse_timestamp,
     recode,
+    to_double,
     to_int,
     with_geodesic_km,
     zip5,
@@ -139,3 +140,105 @@ def test_haversine_udf_equals_native(spark):
         assert abs(r.n - r.u) < 1e-9
     assert abs(rows[1].n - 111.195) < 0.01
     assert df.select(F.round(haversine_km("a", "b", "a", "b"), 6)).first()[0] == 0.0
+
+
+def test_numbers_that_are_none(spark):
+    rows = [("NaN", " 1.5 ", float("nan")), ("Infinity", "-inf", float("inf")), ("+Infinity", "1e999", float("-inf")), (None, "", 2.0)]
+    df = spark.createDataFrame(rows, "a string, b string, c double")
+    assert [tuple(r) for r in df.select(to_double("a"), to_double("b"), to_double("c")).collect()] == [
+        (None, 1.5, None), (None, None, None), (None, None, None), (None, None, 2.0)]
+    points = [(float("nan"), 1.0), (1.0, float("inf")), (1.0, None), (0.0, -0.0), (1.0, 0.0)]
+    assert _one(spark, points, "lat double, lon double", not_null_island("lat", "lon")) == [False, False, False, False, True]
+
+
+def test_geodesic_of_numbers_that_are_none(spark):
+    nan, inf = float("nan"), float("inf")
+    out = _dist(spark, [(nan, 0.0, 1.0, 1.0), (0.0, inf, 1.0, 1.0), (0.0, 0.0, -inf, 1.0), (0.0, 0.0, 1.0, None), (0.0, 0.0, 0.0, 1.0)])
+    assert out[:4] == [None] * 4 and abs(out[4] - 111.319490793) < 1e-8
+    rows = [("34.5", "-118"), ("NaN", "1")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = [r[0] for r in with_geodesic_km(df, to_double("a"), to_double("b"), F.lit(34.5), F.lit(-118.0), "d").select("d").collect()]
+    assert got == [0.0, None]
+
+
+def _by_halving(lat1, lon1, lat2, lon2):
+    """Distance (km) by halving the bracketed unknown 200 times, in plain Python."""
+    a, f = 6378137.0, 1 / 298.257223563
+    b = (1 - f) * a
+    u1, u2 = (math.atan((1 - f) * math.tan(math.radians(x))) for x in (lat1, lat2))
+    gap = math.pi - abs((math.radians(lon2) - math.radians(lon1) + math.pi) % (2 * math.pi) - math.pi)
+
+    def terms(x):
+        ss = math.hypot(math.cos(u2) * math.sin(x), math.sin(u1 + u2) - 2 * math.sin(u1) * math.cos(u2) * math.sin(x / 2) ** 2)
+        cs = math.sin(u1) * math.sin(u2) - math.cos(u1) * math.cos(u2) * math.cos(x)
+        sa = math.cos(u1) * math.cos(u2) * math.sin(x) / ss if ss else 0.0
+        c2a = 1 - sa * sa
+        return ss, cs, math.atan2(ss, cs), sa, c2a, cs - 2 * math.sin(u1) * math.sin(u2) / c2a if c2a else 0.0
+
+    def short(x):
+        ss, cs, sig, sa, c2a, m = terms(x)
+        c = f / 16 * c2a * (4 + f * (4 - 3 * c2a))
+        return x + (1 - c) * f * sa * (sig + c * ss * (m + c * cs * (2 * m * m - 1))) < gap
+
+    lo, hi = 0.0, gap
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if short(mid) else (lo, mid)
+    ss, cs, sig, sa, c2a, m = terms(lo)
+    q = c2a * (a * a - b * b) / (b * b)
+    big_a = 1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q)))
+    big_b = q / 1024 * (256 + q * (-128 + q * (74 - 47 * q)))
+    d = big_b * ss * (m + big_b / 4 * (cs * (2 * m * m - 1) - big_b / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3)))
+    return b * big_a * (sig - d) / 1000
+
+
+def test_geodesic_of_hard_pairs_against_halving(spark):
+    rnd = random.Random(3)
+    pts = []
+    for _ in range(300):
+        lat, lon = rnd.uniform(-89, 89), rnd.uniform(-180, 180)
+        for spread in (1.0, 0.1, 1e-3, 1e-6):
+            pts.append((lat, lon, -lat + rnd.uniform(-spread, spread), lon + 180 + rnd.uniform(-spread, spread)))
+        pts.append((lat, lon, lat + rnd.uniform(-1e-4, 1e-4), lon + rnd.uniform(-1e-4, 1e-4)))
+        pts.append((rnd.uniform(-1e-3, 1e-3), lon, 0.0, lon + 180 + rnd.uniform(-1, 1)))
+        pts.append((lat, lon, rnd.uniform(-89, 89), rnd.uniform(-180, 180)))
+        pts.append((rnd.choice([-1, 1]) * 90.0, lon, lat, 0.0))
+    out = _dist(spark, pts)
+    worst = max(abs(x - _by_halving(*p)) for p, x in zip(pts, out))
+    assert worst < 2e-8, worst
+
+
+def test_geodesic_stays_in_generated_code(spark):
+    df = spark.range(8).select(*[(F.col("id") * k + 0.5).alias(n) for k, n in zip((3, 7, 5, 2), "abcd")])
+    plan = with_geodesic_km(df, "a", "b", "c", "d")._jdf.queryExecution().executedPlan().toString()
+    projects = [line for line in plan.splitlines() if "Project" in line]
+    assert projects and all("*(" in line for line in projects)
+    for word in ("lambda", "aggregate(", "transform("):
+        assert word not in plan
+
+
+def test_arrow_udf_keeps_nulls_and_sets_solvers_up_once_a_task(spark):
+    from blotter.functions import make_distance_udf
+    from blotter.functions.geodesic import haversine_np
+
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 1.0), (None, 0.0, 0.0, 1.0), (nan, 0.0, 0.0, 1.0), (0.0, inf, 0.0, 1.0)],
+                               "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(haversine_udf("a", "b", "c", "d")).collect()]
+    assert abs(got[0] - 111.195) < 0.01 and got[1:] == [None] * 3
+    made = spark.sparkContext.accumulator(0)
+
+    def setup():
+        made.add(1)
+        return lambda *p: haversine_np(*p) * 2
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        many = spark.range(0, 1000, 1, 2).select(*[(F.col("id") / 100).alias(c) for c in "abc"], F.lit(0).alias("d"))
+        udf = make_distance_udf(setup=setup)
+        twice = many.select((udf("a", "b", "c", "d") - 2 * haversine_km("a", "b", "c", "d")).alias("x")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(twice) == 1000 and all(abs(r["x"]) < 1e-9 for r in twice) and made.value == 2
+    with pytest.raises(ValueError):
+        make_distance_udf()
