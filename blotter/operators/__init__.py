@@ -1,8 +1,9 @@
-from blotter.operators.aggregates import composite_reduce_mean, count_and_mean, count_by
+from blotter.operators.aggregates import composite_reduce_mean, count_and_mean, count_by, exact_mean, in_units
 from blotter.operators.joins import (
     MAX_BROADCAST_BYTES,
     broadcast_side,
     first_per_key,
+    hot_keys,
     in_list,
     join,
     lookup,
@@ -20,8 +21,11 @@ __all__ = [
     "composite_reduce_mean",
     "count_and_mean",
     "count_by",
+    "exact_mean",
     "first_per_key",
+    "hot_keys",
     "in_list",
+    "in_units",
     "join",
     "lookup",
     "measured_bytes",

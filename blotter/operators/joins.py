@@ -6,17 +6,19 @@
   estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and
   with AQE it re-plans from the real size of each shuffle stage (late
   broadcast) and splits skewed partitions of a sort-merge join.
-* ``"broadcast"`` -- broadcast the right side after measuring its bytes
-  (one aggregation on the executors; one row comes back). A side over the
-  bound raises: nothing falls back to another join unseen.
+* ``"broadcast"`` -- broadcast the right side after writing it to the scratch
+  folder and measuring its bytes there (one aggregation on the executors; one row
+  comes back). A side over the bound raises: nothing falls back to another join unseen.
 * ``"merge"`` / ``"shuffle_hash"`` -- shuffle both sides on the key
   (sort-merge or shuffled hash join).
 
-With ``salt=N`` (any strategy but broadcast) a hot key's rows are spread over
-N tasks. Equal left rows are first counted into one row, so that even a key
-whose rows are all alike is split; the salt is a hash of the row (the same
-when a task is retried), the right side is replicated N times, and the
-counts are unfolded after the join. Results are those of the plain join.
+With ``salt=N`` (any strategy but broadcast) hot keys are split over up to N
+tasks each, and only they are: a mergeable heavy-hitter sketch over the left keys
+(one pass over the key columns; one row comes back) finds the keys with more rows than an
+average task. A left row of such a key takes a salt from its own columns and its map task,
+so equal rows are split too and a repeated task gives the same salts; its
+right rows are copied once a salt. All other keys are joined as they are, in the same
+shuffle. Results are those of the plain join.
 
 Joins multiply relationally: duplicate keys on either side give one output
 row per matching pair, whatever the strategy.
@@ -25,19 +27,23 @@ row per matching pair, whatever the strategy.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from blotter.session import scratch_table
+
 STRATEGIES = (None, "auto", "broadcast", "merge", "shuffle_hash")
 
 # Default bound for a broadcast side: dimension tables (stations, ZIP codes)
 # stay far below it; a fact table never does.
 MAX_BROADCAST_BYTES = 64 << 20
 
-_SALT = "__salt"
-_COPIES = "__copies"
+_SALT, _SALTS, _HASH = "__salt", "__salts", "__hash"
+TRACKED = 10_000  # keys that a sketch of frequent keys tracks at least
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -59,7 +65,12 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def broadcast_side(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """``df`` marked for broadcast; raises if its rows are more than ``max_bytes``."""
+    """``df`` marked for broadcast; raises if its rows are more than ``max_bytes``.
+
+    The side is computed once: it is written to the shared scratch folder, measured
+    there and broadcast from there.
+    """
+    df = scratch_table(df, "broadcast-side")
     size = measured_bytes(df)
     if size > max_bytes:
         raise ValueError(f"the side to broadcast has {size} bytes, more than the bound of {max_bytes}; "
@@ -71,27 +82,78 @@ def _keys(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+def _common_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> list[T.DataType]:
+    """The type in which both sides' values of each key are compared."""
+    out = []
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        if a != b and not (isinstance(a, T.NumericType) and isinstance(b, T.NumericType)):
+            raise ValueError(f"salting needs one type for key {k!r}, got {a.simpleString()} and {b.simpleString()}: cast one side")
+        out.append(left.select(k).limit(0).union(right.select(k).limit(0)).schema[k].dataType)
+    return out
+
+
+def _key_hash(keys: list[str], types: list[T.DataType]) -> Column:
+    """Equal keys of either side have one hash (minus zero is zero)."""
+    def value(k: str, kind: T.DataType) -> Column:
+        c = F.col(f"`{k}`").cast(kind)
+        return F.when(c == 0, F.lit(0).cast(kind)).otherwise(c) if isinstance(kind, (T.FloatType, T.DoubleType)) else c
+
+    return F.xxhash64(*(value(k, t) for k, t in zip(keys, types)))
+
+
+def hot_keys(df: DataFrame, on: str | Sequence[str], least_share: float, key: Column | None = None) -> list[tuple[int, int, int]]:
+    """(hash of the key, about how many rows, all rows) of keys with more than ``least_share`` of the rows.
+
+    A frequent-items sketch: partial sketches are merged like partial sums, and at
+    most ``1 / least_share`` entries come to the driver. It is exact while it tracks
+    all keys (``TRACKED`` or 16 for each possible hot key); beyond, a key's count is
+    low by a small part of all rows, far below the share looked for.
+    """
+    keys = _keys(on)
+    if not 0 < least_share <= 1:
+        raise ValueError("least_share must be above 0 and at most 1")
+    most = int(1 / least_share) + 1
+    tracked = min(1_000_000, max(TRACKED, 16 * most))
+    name = "__key"
+    hashed = df.select((F.xxhash64(*[F.col(f"`{k}`") for k in keys]) if key is None else key).alias(name))
+    found = hashed.agg(F.count(F.lit(1)).alias("total"),
+                       F.expr(f"approx_top_k({name}, {min(most, tracked)}, {tracked})").alias("top")).first()
+    total = found["total"]
+    return [(r["item"], r["count"], total) for r in found["top"] or [] if r["count"] > least_share * total]
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner",
-                buckets: int = 16, hint: str | None = "merge") -> DataFrame:
-    """Equi-join that spreads every key over ``buckets`` tasks.
+                buckets: int = 16, hint: str | None = "merge", tasks: int | None = None) -> DataFrame:
+    """Equi-join that spreads hot keys over up to ``buckets`` tasks each.
 
-    Equal left rows become one row and a count (partial sums leave one row
-    per task to shuffle), so the rows that are salted all differ and a hash
-    of the row spreads them. Each right row is emitted once per salt value.
-    Only joins that keep left rows as they are keep their meaning.
+    A key is hot if it has more rows in ``left`` than an average one of ``tasks``
+    (the session's shuffle partitions by default) and gets as many salts as average
+    tasks its rows would fill. Without hot keys this is the plain join. Only
+    joins that keep left rows as they are keep their meaning.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salting does not preserve {how!r} joins")
     keys = _keys(on)
-    columns = [F.col(f"`{c}`") for c in left.columns]
-    counted = left.groupBy(*columns).agg(F.count(F.lit(1)).alias(_COPIES))
-    counted = counted.withColumn(_SALT, F.pmod(F.xxhash64(*columns), F.lit(buckets)))
-    spread = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
-    if hint:
-        spread = spread.hint(hint)
-    joined = counted.join(spread, keys + [_SALT], how).drop(_SALT)
-    unfolded = joined.withColumn(_COPIES, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(_COPIES))))
-    return unfolded.drop(_COPIES)
+    spark = left.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = _key_hash(keys, _common_keys(left, right, keys))
+    hot = hot_keys(left, keys, min(1.0, 1 / tasks), key) if tasks > 1 else []
+    hinted = right.hint(hint) if hint else right
+    if not hot:
+        return left.join(hinted, keys, how)
+    # at most ``tasks`` rows, so the table is broadcast
+    salts = spark.createDataFrame([(h, min(buckets, -(-n * tasks // total))) for h, n, total in hot],
+                                  f"{_HASH} long, {_SALTS} long")
+    # the row's own columns tell different rows apart, the map task equal ones; maps can't be hashed
+    told = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    own = F.pmod(F.xxhash64(*told, F.spark_partition_id()), F.col(_SALTS))
+    spread = left.withColumn(_HASH, key).join(F.broadcast(salts), _HASH, "left")
+    spread = spread.withColumn(_SALT, F.coalesce(own, F.lit(0).cast("long"))).drop(_HASH, _SALTS)
+    copies = right.withColumn(_HASH, key).join(F.broadcast(salts), _HASH, "left")
+    numbers = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(_SALTS), F.lit(1).cast("long")) - 1)
+    copies = copies.withColumn(_SALT, F.explode(numbers)).drop(_HASH, _SALTS)
+    return spread.join(copies.hint(hint) if hint else copies, [*keys, _SALT], how).drop(_SALT)
 
 
 def join(left: DataFrame, right: DataFrame, on: str | Sequence[str] | Column, how: str = "inner",
@@ -147,12 +209,14 @@ def require_unique(df: DataFrame, key: str | Sequence[str], what: str = "key") -
     """Fail the query at run time if ``key`` repeats in ``df``.
 
     The check is part of the plan (a count over a key window), so the
-    pipeline stays lazy; meant for small lookup tables.
+    pipeline stays lazy; meant for small lookup tables. Keys with a null
+    may repeat: they join with nothing.
     """
     keys = _keys(key)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     first = keys[0]
-    guarded = F.when(n > 1, F.raise_error(F.concat(F.lit(f"duplicate {what}: "), F.col(first).cast("string"))))
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    guarded = F.when((n > 1) & known, F.raise_error(F.concat(F.lit(f"duplicate {what}: "), F.col(first).cast("string"))))
     return df.withColumn(first, F.coalesce(guarded.cast(df.schema[first].dataType), F.col(first)))
 
 

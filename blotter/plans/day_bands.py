@@ -32,18 +32,15 @@ def day_band_counts(df: DataFrame, time_col: str = "time_occ", premis_col: str =
     return counts.filter(F.col("crime_total") > 0).orderBy(F.desc("crime_total"), "time_of_day")
 
 
-# The time is parsed once; its band is the position of the bounds that hold it,
-# and times outside all bounds take the last label.
 _DAY_BANDS_SQL = """
-SELECT element_at(:labels, band) AS time_of_day, count(*) AS crime_total
+SELECT time_of_day, count(*) AS crime_total
 FROM (
-    SELECT coalesce(array_position(transform(array({bounds}), b -> hhmm BETWEEN b.lo AND b.hi), true), 0) AS hit,
-           if(hit = 0, size(:labels), CAST(hit AS INT)) AS band
+    SELECT CASE {bands} ELSE {last} END AS time_of_day
     FROM (SELECT try_cast(try_cast(trim(CAST(`{time_col}` AS STRING)) AS DOUBLE) AS INT) AS hhmm
           FROM {{src}} WHERE `{premis_col}` = :premis)
-    WHERE hhmm IS NOT NULL
 )
 GROUP BY time_of_day
+HAVING time_of_day IS NOT NULL
 ORDER BY crime_total DESC, time_of_day
 """
 
@@ -55,7 +52,8 @@ def day_band_counts_sql(spark: SparkSession, df: DataFrame, time_col: str = "tim
     for name in (time_col, premis_col):
         if "`" in name:
             raise ValueError("column name may not contain a backtick")
-    bounds = ", ".join(f"named_struct('lo', {lo}, 'hi', {hi})" for lo, hi in BAND_BOUNDS)
-    query = _DAY_BANDS_SQL.format(time_col=time_col, premis_col=premis_col, bounds=bounds)
-    args = {"premis": premis, "labels": F.array(*[F.lit(x) for x in labels])}
+    bands = " ".join(["WHEN hhmm IS NULL THEN NULL",
+                      *(f"WHEN hhmm BETWEEN {lo} AND {hi} THEN :label{i}" for i, (lo, hi) in enumerate(BAND_BOUNDS))])
+    query = _DAY_BANDS_SQL.format(time_col=time_col, premis_col=premis_col, bands=bands, last=f":label{len(BAND_BOUNDS)}")
+    args = {"premis": premis, **{f"label{i}": label for i, label in enumerate(labels)}}
     return spark.sql(query, args=args, src=df)

@@ -10,9 +10,10 @@ Plan: scan -> code-prefix and null-island filters -> incidents counted per
 (area, point), with partial counts, so a hot area or block is one row per
 point before anything is joined -> equi-join on area = prec -> one geodesic
 distance per distinct point, as native column arithmetic -> partial (count,
-count * distance) sums per station -> weighted mean rounded to 3 decimals ->
-sort. Every valid point has a distance, so the mean covers all counted
-incidents.
+count * distance) sums per station, distances in whole micrometres, so that the mean
+has the same bits however rows are spread -> mean rounded to 3 decimals -> sort.
+Stations without a (finite) point take no part; every other pair has a
+distance, so the mean covers exactly the incidents that are counted.
 
 Duplicate station numbers (``duplicates=``): ``"raise"`` (default) fails the
 query, since a join would count those incidents twice; ``"first"`` keeps
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geodesic import with_geodesic_km
-from blotter.functions.parsing import code_prefix, not_null_island
+from blotter.functions.parsing import code_prefix, finite, not_null_island
+from blotter.operators.aggregates import exact_mean
 from blotter.operators.joins import first_per_key, join, require_unique
 
 
@@ -48,6 +50,7 @@ def station_points(stations: DataFrame, duplicates: str = "raise") -> DataFrame:
     if duplicates not in DUPLICATES:
         raise ValueError(f"duplicates must be one of {DUPLICATES}")
     st = stations.select("prec", "division", F.col("y").alias("st_lat"), F.col("x").alias("st_lon"))
+    st = st.filter(finite("st_lat").isNotNull() & finite("st_lon").isNotNull())
     if duplicates == "raise":
         return require_unique(st, "prec", "station number")
     if duplicates == "first":
@@ -75,6 +78,6 @@ def station_profile(incidents: DataFrame, stations: DataFrame, code_prefix_text:
     d = station_distances(incidents, stations, code_prefix_text, strategy, duplicates, salt)
     agg = d.groupBy("prec", "division").agg(
         F.sum("n").alias("incidents_total"),
-        F.round(F.sum(F.col("n") * F.col("distance_km")) / F.sum("n"), 3).alias("average_distance"))
+        F.round(exact_mean(F.col("distance_km"), F.col("n")), 3).alias("average_distance"))
     return agg.select("division", "incidents_total", "average_distance").orderBy(
         F.desc("incidents_total"), "division")

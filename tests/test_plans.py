@@ -190,3 +190,21 @@ def test_q4_filters_reach_typed_parquet(spark, incident_files):
     pushed = plan[plan.index("PushedFilters"):]
     assert "IsNotNull(weapon_cd)" in pushed and "IsNotNull(lat)" in pushed
     assert "ReadSchema: struct<area:int,weapon_cd:int,lat:double,lon:double>" in plan
+
+
+def test_station_mean_covers_what_is_counted_and_is_the_same_in_any_order(spark):
+    """Stations and incidents without a point, or with one that is no number, take no part."""
+    nan = float("nan")
+    inc = spark.range(0, 5000).selectExpr("101 AS weapon_cd", "CAST(1 + id % 3 AS INT) AS area",
+                                          "34 + (id % 700) / 997 AS lat", "-118 - (id % 311) / 991 AS lon")
+    bad = spark.createDataFrame([(101, 1, nan, -118.0), (101, 1, 34.0, float("inf")), (101, 1, None, -118.0), (101, 9, 34.0, -118.0)],
+                                "weapon_cd int, area int, lat double, lon double")
+    st = spark.createDataFrame([(-118.2, 34.1, "A", 1), (None, 34.1, "A", 1), (-118.3, nan, "C", 3), (-118.4, 34.2, "B", 2),
+                                (-118.4, 34.2, "X", None), (-118.4, 34.2, "Y", None)], "x double, y double, division string, prec int")
+    want = None
+    for parts in (1, 7, 211):
+        got = [tuple(r) for r in plans.station_profile(inc.unionByName(bad).repartition(parts), st, duplicates="all").collect()]
+        assert got == [tuple(r) for r in plans.station_profile(inc.repartition(parts), st).collect()]
+        assert want is None or got == want
+        want = got
+    assert [(d, n) for d, n, _ in want] == [("A", 1667), ("B", 1667)] and all(0 < m < 100 for _, _, m in want)
