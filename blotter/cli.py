@@ -6,6 +6,7 @@
                                       [--end top|bottom|both] [--rows] [--strategy broadcast|merge|shuffle_hash]
     python -m blotter station-profile --incidents ... --stations S.csv [--strategy ...] [--salt N]
     python -m blotter csv-to-parquet  --src A.csv B.csv --dst OUT [--table incidents] [--typed]
+                                      [--set-aside] [--input-order]
 
 Paths are any Hadoop-supported URI. The result is shown (``--show N``) or
 written as Parquet (``--output``); ``--explain`` prints the physical plan.
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 
 from blotter import plans
 from blotter.session import build_session
-from blotter.sources import clean, csv_to_parquet, read_csv, read_table, write_parquet
+from blotter.sources import clean, convert_csv, read_csv, read_table, write_parquet
 
 STRATEGIES = ["broadcast", "merge", "shuffle_hash"]
 
@@ -63,7 +64,10 @@ def _station_profile(spark, args) -> DataFrame:
 
 
 def _csv_to_parquet(spark, args) -> DataFrame:
-    return csv_to_parquet(spark, args.src, args.dst, table=args.table, typed=args.typed)
+    done = convert_csv(spark, args.src, args.dst, table=args.table, typed=args.typed, set_aside=args.set_aside,
+                       cluster_by=None if args.input_order else "auto")
+    print(f"{done.n_rows} rows, {done.n_rejects} malformed records" + (" set aside" if args.set_aside else " among them"))
+    return done.rows
 
 
 def parser() -> argparse.ArgumentParser:
@@ -118,6 +122,8 @@ def parser() -> argparse.ArgumentParser:
     sp.add_argument("--dst", required=True)
     sp.add_argument("--table", default="incidents")
     sp.add_argument("--typed", action="store_true", help="store parsed dates/numbers (enables row-group skipping)")
+    sp.add_argument("--set-aside", action="store_true", help="malformed records go to DST/part=rejects, rows to DST/part=rows")
+    sp.add_argument("--input-order", action="store_true", help="keep the input's order instead of clustering typed rows by date")
     sp.set_defaults(run=_csv_to_parquet)
     return p
 

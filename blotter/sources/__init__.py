@@ -1,8 +1,11 @@
 from blotter.sources.readers import (
     FIRST_LINE,
     REJECT_COLUMN,
+    Conversion,
     clean,
+    convert_csv,
     csv_to_parquet,
+    file_headers,
     first_line,
     header_line,
     normalize_columns,
@@ -13,6 +16,7 @@ from blotter.sources.readers import (
     read_text_lines,
     register_view,
     reject_counts,
+    reject_reason,
     run_sql,
     write_csv,
     write_parquet,
@@ -20,11 +24,14 @@ from blotter.sources.readers import (
 from blotter.sources.schemas import LAYOUTS, text_schema
 
 __all__ = [
+    "Conversion",
     "FIRST_LINE",
     "LAYOUTS",
     "REJECT_COLUMN",
     "clean",
+    "convert_csv",
     "csv_to_parquet",
+    "file_headers",
     "first_line",
     "header_line",
     "normalize_columns",
@@ -35,6 +42,7 @@ __all__ = [
     "read_text_lines",
     "register_view",
     "reject_counts",
+    "reject_reason",
     "run_sql",
     "text_schema",
     "write_csv",

@@ -102,3 +102,6 @@ TYPES = {
     "income": INCOME_TYPES,
     "stations": STATION_TYPES,
 }
+
+# Column by whose ranges a typed table is dealt to files.
+CLUSTER = {"incidents": "date_occ"}
