@@ -39,6 +39,7 @@ from blotter.functions import (  # noqa: E402
 from blotter.operators import (  # noqa: E402
     composite_reduce_mean,
     count_and_mean,
+    hot_keys,
     in_list,
     join,
     lookup,
@@ -50,6 +51,7 @@ from blotter.session import REQUIRED_CONF, scratch_path  # noqa: E402
 from blotter.sources import (  # noqa: E402
     FIRST_LINE,
     clean,
+    convert_csv,
     csv_to_parquet,
     header_line,
     parse_csv_lines,
@@ -150,29 +152,56 @@ def q_csv_to_parquet(spark, sf_dir):
 
 
 def q_text_line_parse(spark, sf_dir):
-    """A folder of lines: the header first and again later, blank and white-space lines in between."""
+    """Folders of lines: an empty first file, blank first lines, two spellings of the header, and headers and blanks in between."""
     src = _customer_notes(spark, sf_dir)
-    header = F.lit(header_line(src.columns))
-    first = spark.range(0, 1, 1, 1).select(header.alias("value"))
-    body = src.select(F.to_csv(F.struct(*src.columns), {"escape": '"'}).alias("value"))
-    blanks = src.filter(F.col("c_custkey") % 7 == 0).select(
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit(" \t ")).alias("value"))
-    heads = src.filter(F.col("c_custkey") % 500 == 0).select(header.alias("value"))
+    header = header_line(src.columns)
+    body = src.select(F.to_csv(F.struct(*src.columns), {"escape": '"'}).alias("value"), F.col("c_custkey").alias("k"))
+    extra = src.filter(F.col("c_custkey") % 7 == 0).select(
+        F.when(F.col("c_custkey") % 2 == 0, F.lit("")).otherwise(F.lit(" \t ")).alias("value"), F.col("c_custkey").alias("k"))
     path = scratch_path(spark, "text-lines")
-    first.unionAll(body).unionAll(blanks).unionAll(heads).write.text(path)
-    return parse_csv_lines(read_text_lines(spark, path), src.schema, header=FIRST_LINE)
+    for i, spelling in enumerate((header, header.upper().replace(",", " ,"))):
+        mine = body.unionAll(extra).unionAll(src.filter("c_custkey % 500 = 0").select(F.lit(spelling), "c_custkey"))
+        first = spark.createDataFrame([("", -3), (" \t", -2), (spelling, -1)], "value string, k long")
+        rows = mine.filter(F.col("k") % 2 == i).unionAll(first).repartitionByRange(4, "k").sortWithinPartitions("k")
+        rows.select("value").write.mode("append").text(f"{path}/{i}")
+    spark.createDataFrame([], "value string").write.text(f"{path}/0-empty")
+    return parse_csv_lines(read_text_lines(spark, [f"{path}/0-empty", f"{path}/0", f"{path}/1"]), src.schema, header=FIRST_LINE)
 
 
-def q_csv_reject_counts(spark, sf_dir):
-    """Customers as CSV; every 11th record has lost its last fields."""
+def _faulty_csv(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Customers as CSV without a header; some records are cut off, too long, of a wrong type or left open."""
     src = _customer_notes(spark, sf_dir)
+    k = F.col("c_custkey")
     line = F.to_csv(F.struct(*src.columns), {"escape": '"'})
-    short = F.concat(F.col("c_custkey").cast("string"), F.lit(",cut off"))
+    faulty = (F.when(k % 11 == 0, F.concat(k.cast("string"), F.lit(",cut off")))
+              .when(k % 13 == 0, F.concat(line, F.lit(',"one, more"')))
+              .when(k % 17 == 0, F.concat(F.lit("key "), line))
+              .when(k % 19 == 0, F.concat(k.cast("string"), F.lit(',"open')))
+              .otherwise(line))
     path = scratch_path(spark, "csv-rejects")
-    src.select(F.when(F.col("c_custkey") % 11 == 0, short).otherwise(line).alias("value")).write.text(path)
+    src.select(faulty.alias("value")).write.text(path)
+    return path, src
+
+
+def q_csv_reject_counts(spark, sf_dir):
+    path, src = _faulty_csv(spark, sf_dir)
     return reject_counts(read_csv(spark, path, schema=src.schema, rejects=True, header="false"))
 
 
+def q_csv_reject_rows(spark, sf_dir):
+    """Malformed records set aside by the conversion, with its own counts beside each."""
+    path, src = _faulty_csv(spark, sf_dir)
+    done = convert_csv(spark, path, scratch_path(spark, "converted"), schema=src.schema, set_aside=True, header="false")
+    return done.rejects.select("record", "reason", F.col("file").contains("part-").alias("has_file"),
+                               F.lit(done.n_rows).alias("n_rows"), F.lit(done.n_rejects).alias("n_rejects"))
+
+
+def q_csv_accepted_rows(spark, sf_dir):
+    path, src = _faulty_csv(spark, sf_dir)
+    done = convert_csv(spark, path, scratch_path(spark, "converted"), schema=src.schema, set_aside=True, header="false")
+    return done.rows
+
+
 # ---------------------------------------------------------------- raw files -> layout reader -> clean -> report
 
 def _raw_csv(spark, sf_dir) -> str:
@@ -208,8 +237,19 @@ def q_q3_from_typed_parquet(spark, sf_dir):
 
 
 def q_q4_from_text(spark, sf_dir):
-    inc = read_table(spark, _raw_csv(spark, sf_dir), "incidents", "text")
-    return plans.station_profile(clean(inc, "incidents"), _stations(spark, sf_dir))
+    """Raw lines with coordinates that are no numbers; stations without a point or number, or listed twice without a point."""
+    raw = standins.raw_incidents(_inc_union(spark, sf_dir))
+    k = F.col("DR_NO").cast("long")
+    raw = raw.withColumns({"LAT": F.when(k % 43 == 0, F.lit("NaN")).otherwise(F.col("LAT")),
+                           "LON": F.when(k % 47 == 0, F.lit("-Infinity")).otherwise(F.col("LON"))})
+    path = scratch_path(spark, "raw-incidents")
+    write_csv(raw, path)
+    st = _stations(spark, sf_dir)
+    st = st.withColumn("y", F.when(F.col("prec") % 7 != 3, F.col("y")))
+    again = st.filter("prec = 1").withColumn("x", F.lit(float("nan")))
+    nobody = st.filter("prec < 2").withColumn("prec", F.lit(None).cast("int"))
+    st = st.unionByName(again).unionByName(nobody)
+    return plans.station_profile(clean(read_table(spark, path, "incidents", "text"), "incidents"), st)
 
 
 def q_sql_over_view(spark, sf_dir):
@@ -342,6 +382,27 @@ def q_join_one_key_salted(spark, sf_dir):
     return join(_inc_area(spark, sf_dir), st, "prec", strategy="merge", salt=8).select("dr_no", "prec", "division")
 
 
+def _hot_area(spark, sf_dir) -> DataFrame:
+    """Incidents of which a third lies in one area, and another third has no area."""
+    k = F.col("dr_no")
+    area = F.when(k % 3 == 0, F.lit(7)).when(k % 3 == 1, F.col("prec"))
+    return _inc_area(spark, sf_dir).withColumn("prec", area.cast("int"))
+
+
+def q_join_hot_key_salted(spark, sf_dir):
+    st = _stations_dup(spark, sf_dir).select("prec", "division")
+    return join(_hot_area(spark, sf_dir), st, "prec", "left", strategy="merge", salt=8).select("dr_no", "prec", "division")
+
+
+def q_hot_keys(spark, sf_dir):
+    """The keys of at least a tenth of the rows, from the sketch, with their exact rows."""
+    inc = _hot_area(spark, sf_dir)
+    rows = [(h, n) for h, n, _ in hot_keys(inc, "prec", 0.1)]
+    found = spark.createDataFrame(rows, "h long, n_rows long")
+    keys = inc.select("prec", F.xxhash64("prec").alias("h")).distinct()
+    return found.join(keys, "h").select("prec", "n_rows")
+
+
 def q_join_mixed_type_key(spark, sf_dir):
     """Text ZIPs with leading zeros against numbers that have lost them."""
     zero = F.regexp_replace("zip_raw", "^9", "0")
@@ -499,6 +560,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_to_parquet": q_csv_to_parquet,
     "text_line_parse": q_text_line_parse,
     "csv_reject_counts": q_csv_reject_counts,
+    "csv_reject_rows": q_csv_reject_rows,
+    "csv_accepted_rows": q_csv_accepted_rows,
     "q1_from_csv": q_q1_from_csv,
     "q1_from_raw_parquet": q_q1_from_raw_parquet,
     "q1_from_typed_parquet": q_q1_from_typed_parquet,
@@ -526,6 +589,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_one_key_merge": q_join_one_key_merge,
     "join_one_key_shuffle_hash": q_join_one_key_shuffle_hash,
     "join_one_key_salted": q_join_one_key_salted,
+    "join_hot_key_salted": q_join_hot_key_salted,
+    "hot_keys": q_hot_keys,
     "join_mixed_type_key": q_join_mixed_type_key,
     "lookup_with_default": q_lookup_with_default,
     "top_k_keys": q_top_k_keys,

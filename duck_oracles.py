@@ -12,12 +12,12 @@ from __future__ import annotations
 
 # Victim descent code book, written out here so that the oracle
 # doesn't depend on the table under test.
-DESCENT_BOOK = """
-A=Other Asian|B=Black|C=Chinese|D=Cambodian|F=Filipino|G=Guamanian|H=Hispanic/Latin/Mexican
-I=American Indian/Alaskan Native|J=Japanese|K=Korean|L=Laotian|O=Other|P=Pacific Islander|S=Samoan
-U=Hawaiian|V=Vietnamese|W=White|X=Unknown|Z=Asian Indian
-"""
-LABELS = dict(pair.split("=") for pair in DESCENT_BOOK.replace("\n", "|").split("|") if pair)
+LABELS = {
+    "A": "Other Asian", "B": "Black", "C": "Chinese", "D": "Cambodian", "F": "Filipino", "G": "Guamanian",
+    "H": "Hispanic/Latin/Mexican", "I": "American Indian/Alaskan Native", "J": "Japanese", "K": "Korean", "L": "Laotian",
+    "O": "Other", "P": "Pacific Islander", "S": "Samoan", "U": "Hawaiian", "V": "Vietnamese", "W": "White",
+    "X": "Unknown", "Z": "Asian Indian",
+}
 
 F_WGS84 = 1 / 298.257223563
 A_WGS84 = 6378137.0
@@ -144,7 +144,8 @@ WITH RECURSIVE pairs AS (
 ), half_round AS (
     SELECT k, {B_WGS84 / 1000!r} * {series_a} * pi() AS km FROM (SELECT k, (1e0 - s * s) * {e2!r} AS q FROM free WHERE i = 20)
 )
-SELECT l.k AS dr_no, round(CASE WHEN opposite = 0 AND x < 1e-12 THEN h.km ELSE l.km END, 3) AS distance_km
+SELECT l.k AS dr_no, CASE WHEN l.k % 37 <> 0 AND l.k % 41 <> 0 AND l.k % 43 <> 0
+                          THEN round(CASE WHEN opposite = 0 AND x < 1e-12 THEN h.km ELSE l.km END, 3) END AS distance_km
 FROM lengths l LEFT JOIN half_round h ON l.k = h.k
 """
 
@@ -207,6 +208,8 @@ def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"{2 * R_MEAN_KM!r} * asin(sqrt(least({h}, 1.0e0)))"
 
 
+FAULTY = "c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0 OR c_custkey % 19 = 0"
+
 CUSTOMER_NOTES = """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
        c_mktsegment || ', "' || c_name || '"' AS note
@@ -296,13 +299,13 @@ stations_first AS (
 )"""
 
 
-def _station_profile(source: str = "stations", extra: tuple[str, ...] = ()) -> str:
+def _station_profile(source: str = "stations", extra: tuple[str, ...] = (), known: str = "true") -> str:
     firearm = f"""
 pairs AS (
     SELECT s.prec, s.division, i.lat, i.lon, s.st_lat, s.st_lon
     FROM inc i JOIN {source} s ON i.area = s.prec
     WHERE i.weapon_cd IS NOT NULL AND CAST(i.weapon_cd AS VARCHAR) LIKE '1%'
-      AND i.lat IS NOT NULL AND i.lon IS NOT NULL AND (i.lat <> 0 OR i.lon <> 0)
+      AND i.lat IS NOT NULL AND i.lon IS NOT NULL AND (i.lat <> 0 OR i.lon <> 0) AND {known}
 )"""
     ctes, last = _vincenty_ctes("pairs", ["prec", "division"], "lat", "lon", "st_lat", "st_lon")
     return _with(INC, STATIONS, *extra, firearm, *ctes) + f"""
@@ -333,13 +336,30 @@ JOIN_DUP = _with(INC, STATIONS, STATIONS_DUP) + """
 SELECT i.dr_no, s.prec, s.division FROM inc i JOIN stations_dup s ON i.area = s.prec
 """
 
+HOT_AREA = _with(INC, STATIONS, STATIONS_DUP, """
+hot AS (
+    SELECT dr_no, CAST(CASE dr_no % 3 WHEN 0 THEN 7 WHEN 1 THEN area END AS INTEGER) AS prec FROM inc
+)""")
+
 ORACLES: dict[str, str] = {
     "csv_roundtrip_scan": CUSTOMER_NOTES,
     "csv_to_parquet": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
     "text_line_parse": CUSTOMER_NOTES,
-    "csv_reject_counts": """
-SELECT count(*) AS n_rows, count(*) FILTER (c_custkey % 11 = 0) AS n_rejects FROM customer
+    "csv_reject_counts": f"""
+SELECT count(*) AS n_rows, count(*) FILTER ({FAULTY}) AS n_rejects FROM customer
+""",
+    "csv_reject_rows": f"""
+SELECT CASE WHEN c_custkey % 11 = 0 THEN c_custkey || ',cut off'
+            WHEN c_custkey % 13 = 0 THEN line || ',"one, more"'
+            WHEN c_custkey % 17 = 0 THEN 'key ' || line ELSE c_custkey || ',"open' END AS record,
+       CASE WHEN c_custkey % 11 = 0 THEN 'too few fields' WHEN c_custkey % 13 = 0 THEN 'too many fields'
+            WHEN c_custkey % 17 = 0 THEN 'value does not fit its type' ELSE 'open quote' END AS reason,
+       true AS has_file, (SELECT count(*) FROM customer WHERE NOT ({FAULTY})) AS n_rows,
+       (SELECT count(*) FROM customer WHERE {FAULTY}) AS n_rejects
+FROM (SELECT c_custkey, concat_ws(',', c_custkey, c_name, c_nationkey, CAST(c_acctbal AS VARCHAR), c_mktsegment,
+             '"' || c_mktsegment || ', ""' || c_name || '""' || '"') AS line FROM customer) WHERE {FAULTY}
 """,
+    "csv_accepted_rows": f"{CUSTOMER_NOTES} WHERE NOT ({FAULTY})",
     "q1_from_csv": TOP_MONTHS,
     "q1_from_raw_parquet": TOP_MONTHS,
     "q1_from_typed_parquet": TOP_MONTHS,
@@ -351,7 +371,7 @@ WITH times AS (
 SELECT {_band_case('t')} AS time_of_day, count(*) AS crime_total FROM times GROUP BY 1 ORDER BY 2 DESC, 1
 """,
     "q3_from_typed_parquet": _profile("top", True),
-    "q4_from_text": _station_profile(),
+    "q4_from_text": _station_profile(known="i.dr_no % 43 <> 0 AND i.dr_no % 47 <> 0 AND s.prec % 7 <> 3"),
     "sql_over_view": """
 SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS n_orders,
        CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total_price
@@ -417,6 +437,12 @@ SELECT i.dr_no, s.prec, s.division FROM inc i JOIN stations s ON i.area = s.prec
     "join_one_key_merge": JOIN_DUP,
     "join_one_key_shuffle_hash": JOIN_DUP,
     "join_one_key_salted": JOIN_DUP,
+    "join_hot_key_salted": HOT_AREA + """
+SELECT h.dr_no, h.prec, s.division FROM hot h LEFT JOIN stations_dup s ON h.prec = s.prec
+""",
+    "hot_keys": HOT_AREA + """
+SELECT prec, count(*) AS n_rows FROM hot GROUP BY prec HAVING count(*) * 10 > (SELECT count(*) FROM hot)
+""",
     "join_mixed_type_key": _with(INC, GEO) + """
 SELECT g.lat, g.lon, '0' || substr(g.zip_raw, 2, 4) AS zip,
        CASE WHEN n_nationkey % 8 = 7 THEN ''
