@@ -1,8 +1,8 @@
 """Quality classifier: boosted trees over document statistics.
 
 Training reads at most ``max_rows`` labelled documents (those with the least
-hash of their id), never one whose ``crc32`` remainder holds it out; this bound
-is the only sample. Scoring reads every whole text and only the text.
+hash of their id, equal texts of one id once) and ``max_bytes`` of their text, never one whose
+``crc32`` remainder holds it out; this bound is the only sample. Scoring reads every whole text and only the text.
 
 Rows: null or empty texts have all-zero statistics and a score like any other.
 Labels that are null or have no document are ignored; several labels of one
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,7 @@ from .doc_stats import document_stats
 from .shared import arrow_map, received, send
 
 MAX_TRAINING_ROWS = 20_000
+MAX_TRAINING_BYTES = 1 << 30
 CUT = 0.5
 FOLDS, HELD_OUT_FOLD = 3, 1
 
@@ -49,10 +50,24 @@ def training_labels(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     return mean.filter(place < share).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, y) of the training sample; its ids are bounded by ``max_rows``, so they are broadcast."""
-    return (docs.select("doc_id", "text")
-            .join(F.broadcast(training_labels(labels, label, max_rows)), "doc_id"))
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_bytes: int = MAX_TRAINING_BYTES) -> DataFrame:
+    """(doc_id, text, y) of the training sample: at most ``max_rows`` rows and ``max_bytes`` of text.
+
+    Equal texts of one id are one row. The ids, bounded by ``max_rows``, are broadcast; rows are
+    taken in the order of their id's hash, an id's in that of their texts' hash, while both bounds hold.
+    Only hashes and sizes are ordered in one task, at most ``max_rows`` of them from each other task.
+    """
+    ids = F.broadcast(training_labels(labels, label, max_rows))
+    rows = docs.select("doc_id", "text").join(ids, "doc_id").withColumns(
+        {"__h": F.xxhash64("doc_id"), "__t": F.sha2("text", 256), "__b": F.coalesce(F.octet_length("text"), F.lit(0))})
+    rows = rows.dropDuplicates(["doc_id", "__t"])
+    order = ["__h", "doc_id", "__t"]
+    first = rows.select("__h", "doc_id", "__t", "__b").orderBy(*order).limit(max_rows)
+    so_far = F.sum("__b").over(Window.orderBy(*order))
+    first = first.withColumn("__so_far", so_far).filter(F.col("__so_far") <= max_bytes).select(
+        F.col("doc_id").alias("__id"), F.col("__t").alias("__text"))
+    taken = (F.col("doc_id") == F.col("__id")) & F.col("__t").eqNullSafe(F.col("__text"))
+    return rows.join(F.broadcast(first), taken, "left_semi").select("doc_id", "text", "y")
 
 
 def _training_rows(batches):

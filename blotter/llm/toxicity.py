@@ -4,22 +4,28 @@ Terms are lower-cased words and word beginnings (``PREFIXES`` bytes): all that t
 training sample holds. A term's weight is its TF-IDF, with document frequencies of
 the whole corpus, times how surely it goes with label 1 in the sample (``LEAST``
 for a term that doesn't, up to 1), so a text is compared by its telling terms if it
-has some and by all others if not. Every labelled example with a word is in the
-index. Terms of few examples are posting lists and are added up for a text; of the
-others, each block of examples has the largest weight of each term. Examples are
-visited by falling upper bound until none can reach the k-th best cosine, so the
-neighbours are exact. Neighbours vote by cosine for their label; isotonic
-calibration on the training sample (each example without itself) turns votes into
-a score.
-
-Training reads at most ``max_rows`` labelled documents, never a held-out one.
-A text that shares no term with any example has no neighbours and scores as
+has some and by all others if not; the cosine that is reported is of these weights.
+Every labelled example with a word is in the index.
+
+Texts are searched many at once. Terms of few examples are posting lists, added up
+exactly; of the others, each block of examples has the largest weight of each term. A
+block's bound is what the lists gave plus the product with these maxima; only blocks whose
+bound reaches a text's k-th best lower bound are multiplied, first the most promising ones,
+then those that still reach what these gave. All examples near the k-th place are then
+computed again in double precision, term by term in a fixed order, so neighbours and cosines
+are exact and the same in any batch. Neighbours vote by cosine for their label; isotonic
+calibration turns votes into a score. The votes that it learns from come from
+``FOLDS`` models of the sample, each without the fold that it votes on, weights of terms included.
+
+Training reads at most ``max_rows`` labelled texts and ``max_bytes`` of their bytes, never
+a held-out one; this sample, its terms and the index are all that the driver and every task
+hold. A text that shares no term with any example has no neighbours and scores as
 training texts without terms do.
 
 Rows: null, empty and wordless texts have no terms. Labels follow the rules of
-``quality``. Without labels, or with labels of one kind only, every score is
-their share (0 without any). Repeated rows score alike; result columns replace
-input columns of their names.
+``quality``; equal texts of one id are one example. Without labels, or with labels of one kind
+only, every score is their share (0 without any). Repeated rows score alike; result columns
+replace input columns of their names. Ids are whole numbers.
 """
 
 from __future__ import annotations
@@ -33,16 +39,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .quality import labelled_texts
-from .shared import arrow_map, received, send, shared_table
+from .shared import arrow_groups, arrow_map, received, send, shared_table
 from .text import ALNUM, LOWER, chunks, mix64, prefix_hashes, words
 
-MAX_TRAINING_ROWS = 20_000
+MAX_TRAINING_ROWS = 3072
+MAX_TRAINING_BYTES = 16 << 20
+FOLDS = 2
 PREFIXES = (3, 4, 5, 6, 7)
 HALF_CHI2 = 40.0         # the chi-square at which a term counts half
 LEAST = 0.02             # the weight of a term that goes with no label, against a sure one
-COMMON = 1 / 16          # of the examples: terms of more have block bounds in place of posting lists
+COMMON = 1 / 32          # of the examples: terms of more have block bounds in place of posting lists
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 4         # blocks of a text that are multiplied before the bounds are looked at again
+TEXTS = 256              # searched at once
+NEAR = 1e-5              # cosines this near to the k-th best are computed again in double precision
 CUT = 0.7
 EVIDENCE = "score double, neighbours array<struct<doc_id: long, cosine: double, label: int>>"
 
@@ -63,9 +74,10 @@ def _terms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Terms:
-    """The sample's terms as sorted hashes."""
+    """The sample's terms as sorted hashes, and each one's number: frequent terms have small ones, so what is read most lies together."""
 
     hashes: np.ndarray
+    number: np.ndarray
 
     def counts(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, term, count) of the known terms, sorted by text and term."""
@@ -75,7 +87,7 @@ class Terms:
             return none, none, none
         h, same = np.unique(h, return_inverse=True)
         at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        at, sure = at[same], (self.hashes[at] == h)[same]
+        at, sure = self.number[at][same], (self.hashes[at] == h)[same]
         key, n = np.unique(doc[sure] * len(self.hashes) + at[sure], return_counts=True)
         return key // len(self.hashes), key % len(self.hashes), n
 
@@ -86,53 +98,84 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class BlockMaxIndex:
-    """Examples' unit vectors: posting lists of the rarer terms; the common ones by example, with each block's largest weight."""
+    """Examples' unit vectors: posting lists of the rarer terms; the common ones as a matrix with each block's largest weights."""
 
     def __init__(self, example: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int):
-        self.examples, self.blocks = examples, max(1, -(-examples // BLOCK))
+        self.examples, self.blocks, self.terms = examples, max(1, -(-examples // BLOCK)), terms
+        order = np.lexsort((term, example))
+        example, term, weight = example[order].astype(np.int32), term[order].astype(np.int32), weight[order].astype(np.float32)
+        self.term, self.weight = term, weight
+        self.cut = np.searchsorted(example, np.arange(examples + 1))
         often = np.bincount(term, minlength=terms) > max(BLOCK, COMMON * examples)
         self.common = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         own = often[term]
-        self.of = self.common[term[own]]
-        self.of_weight = weight[own]
-        self.of_cut = np.searchsorted(example[own], np.arange(examples + 1))
-        self.rest = np.sqrt(np.bincount(example[own], self.of_weight ** 2, examples))
-        self.top = np.zeros((int(often.sum()), self.blocks))
-        np.maximum.at(self.top, (self.of, example[own] // BLOCK), self.of_weight)
-        example, term, weight = example[~own], term[~own], weight[~own]
-        order = np.argsort(term, kind="stable")
-        self.example, self.weight = example[order].astype(np.int32), weight[order]
-        self.cut = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=terms))])
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, leave_out=-1):
-        """The ``k`` examples of largest cosine above 0, ties to the lower number: (examples, cosines)."""
-        sizes = self.cut[term + 1] - self.cut[term]
-        at = _spans(self.cut[term], sizes)
-        score = np.bincount(self.example[at], self.weight[at] * np.repeat(weight, sizes), self.examples)
+        self.of, self.of_example, self.of_weight = self.common[term[own]], example[own], weight[own]
+        order = np.argsort(term[~own], kind="stable")
+        self.list_example, self.list_weight = example[~own][order], weight[~own][order]
+        self.list_cut = np.concatenate([[0], np.cumsum(np.bincount(term[~own], minlength=terms))])
+        self.matrix = self.top = None     # made where they are used
+
+    def _matrices(self) -> None:
+        many = int((self.common >= 0).sum())
+        self.matrix = np.zeros((many, self.blocks * BLOCK), np.float32)
+        self.matrix[self.of, self.of_example] = self.of_weight
+        self.matrix = np.ascontiguousarray(self.matrix.reshape(many, self.blocks, BLOCK).transpose(1, 0, 2))
+        self.top = self.matrix.max(2).T
+
+    def nearest(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, texts: int, k: int) -> list[tuple]:
+        """Per text the ``k`` examples of largest cosine above 0, ties to the lower number: (examples, cosines).
+
+        ``doc``, ``term`` and ``weight`` are the texts' unit vectors, sorted by text and term.
+        """
+        if self.matrix is None:
+            self._matrices()
+        cuts = np.searchsorted(doc, np.arange(texts + 1))
+        return [row for a in range(0, texts, TEXTS)
+                for row in self._nearest(cuts[a:a + TEXTS + 1], term, weight, k)]
+
+    def _nearest(self, cuts: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int) -> list[tuple]:
+        texts, (a, b), width = len(cuts) - 1, cuts[[0, -1]], self.blocks * BLOCK
+        doc, term, weight = np.repeat(np.arange(texts), np.diff(cuts)), term[a:b], weight[a:b]
+        sizes = self.list_cut[term + 1] - self.list_cut[term]
+        at = _spans(self.list_cut[term], sizes)
+        place = np.repeat(doc * width, sizes) + self.list_example[at]
+        score = np.bincount(place, self.list_weight[at] * np.repeat(weight, sizes), texts * width)
+        score = score.reshape(texts, width).astype(np.float32)
         mine = self.common[term]
-        mine, w = mine[mine >= 0], weight[mine >= 0]
-        bound = np.repeat(w @ self.top[mine], BLOCK)[:self.examples]
-        bound = score + np.minimum(bound, np.sqrt(w @ w) * self.rest * (1 + 1e-6))
-        out = np.atleast_1d(leave_out)
-        score[out[out >= 0]] = bound[out[out >= 0]] = 0
-        floor = np.partition(score, self.examples - k)[self.examples - k] if self.examples > k else 0.0
-        open_ones = np.flatnonzero((bound > 0) & (bound + 1e-6 >= floor))
-        open_ones = open_ones[np.argsort(-bound[open_ones], kind="stable")]
-        dense = np.zeros(len(self.top))
-        dense[mine] = w
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        a, step = 0, BLOCK
-        while a < len(open_ones) and not (len(best) == k and bound[open_ones[a]] + 1e-6 < cosine[-1]):
-            ids = open_ones[a:a + step]
-            sizes = self.of_cut[ids + 1] - self.of_cut[ids]
-            at = _spans(self.of_cut[ids], sizes)
-            more = np.bincount(np.repeat(np.arange(len(ids)), sizes), self.of_weight[at] * dense[self.of[at]], len(ids))
-            best, cosine = np.concatenate([best, ids]), np.concatenate([cosine, score[ids] + more])
-            order = np.lexsort((best, -cosine))[:k]
+        asked = np.zeros((texts, self.matrix.shape[1]), np.float32)
+        asked[doc[mine >= 0], mine[mine >= 0]] = weight[mine >= 0]
+        done = np.zeros((texts, self.blocks), bool)
+        # what a block can reach at most: its best list score plus the product with its largest weights
+        bound = score.reshape(texts, self.blocks, BLOCK).max(2) + asked @ self.top
+        kth = max(0, width - k)
+        first = np.argsort(-bound, axis=1, kind="stable")[:, :FIRST_BLOCKS]
+        for last in (False, True):
+            # scores so far are lower bounds, exact ones where a block is done
+            floor = np.partition(score, kth, axis=1)[:, kth]
+            open_ = ~done & (bound > 0) & (bound >= floor[:, None] - NEAR)
+            if not last:
+                some = np.zeros_like(open_)
+                np.put_along_axis(some, first, True, axis=1)
+                open_ &= some
+            for block in np.flatnonzero(open_.any(0)).tolist():
+                rows = np.flatnonzero(open_[:, block])
+                part = slice(block * BLOCK, (block + 1) * BLOCK)
+                score[rows, part] += asked[rows] @ self.matrix[block]
+            done |= open_
+        score[~np.repeat(done, BLOCK, axis=1)] = 0
+        floor = np.maximum(np.partition(score, kth, axis=1)[:, kth] - NEAR, 0)
+        out, dense = [], np.zeros(self.terms, np.float32)
+        for i in range(texts):
+            ids = np.flatnonzero(score[i, :self.examples] > floor[i])
+            own = slice(cuts[i] - a, cuts[i + 1] - a)
+            dense[term[own]] = weight[own]
+            spans = zip(self.cut[ids].tolist(), self.cut[ids + 1].tolist())
+            cosine = np.array([(self.weight[x:y] * dense[self.term[x:y]]).sum(dtype=np.float64) for x, y in spans])
+            dense[term[own]] = 0
+            order = np.lexsort((ids, -cosine))[:k]
             order = order[cosine[order] > 0]
-            best, cosine = best[order], cosine[order]
-            a, step = a + step, 2 * step
-        return best, cosine
+            out.append((ids[order], cosine[order]))
+        return out
 
 
 @dataclass
@@ -181,64 +224,31 @@ def _isotonic(vote: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return x, y
 
 
-def _association(batches):
-    """Per term: in how many texts of each label it is, summed within the task's batches."""
+def _term_rows(batches):
+    """Per row of the sample: its terms and their counts, as bytes."""
     for batch in batches:
-        y = np.asarray(batch.column("y"))
-        held = []
-        for lo, _, data, offs in chunks(batch, "text"):
+        cols: tuple[list, list] = ([], [])
+        for lo, hi, data, offs in chunks(batch, "text"):
             doc, h = _terms(data, offs)
             order = np.lexsort((h, doc))
             doc, h = doc[order], h[order]
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-            held.append((h[new], y[lo + doc[new]]))
-        h, label = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.uint64), np.zeros(0))
-        term, same = np.unique(h, return_inverse=True)
-        n, ones = np.bincount(same, minlength=len(term)), np.bincount(same, label, len(term)).astype(np.int64)
-        for a in range(0, len(term), 1 << 16):
-            b = a + (1 << 16)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(term[a:b].view(np.int64)), pa.array(n[a:b]), pa.array(ones[a:b])], ["term", "n", "ones"])
-
-
-def _vocabulary(sample: DataFrame, rows: int, ones: int) -> tuple[Terms, np.ndarray]:
-    """All terms of the sample, and how surely each goes with label 1 (``LEAST`` to 1)."""
-    if not 0 < ones < rows:
-        return Terms(np.zeros(0, np.uint64)), np.zeros(0)
-    per = arrow_map(sample.select("text", "y"), _association, "term long, n long, ones long").groupBy("term").agg(
-        F.sum("n").alias("n"), F.sum("ones").alias("ones")).toArrow()
-    term, n, a = (np.asarray(per.column(c)) for c in ("term", "n", "ones"))
-    order = np.argsort(term.view(np.uint64))
-    term, n, a = term[order].view(np.uint64), n[order].astype(float), a[order].astype(float)
-    share = ones / rows
-    lift = np.maximum(0, a / n - share) / (1 - share)
-    chi2 = lift ** 2 * n * rows * (1 - share) / (share * np.maximum(1, rows - n))
-    return Terms(term), LEAST + (1 - LEAST) * (lift * chi2 / (chi2 + HALF_CHI2)) ** 2
-
-
-def _term_rows(sent, text_col: str):
-    """Per row of the sample: its terms and counts, as bytes."""
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(h))).astype(np.int32)
+            cuts = np.searchsorted(doc[at], np.arange(hi - lo + 1))
+            for x, y in zip(cuts[:-1], cuts[1:]):
+                cols[0].append(h[at[x:y]].tobytes())
+                cols[1].append(n[x:y].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"),
+                                          *(pa.array(c, pa.binary()) for c in cols)], ["doc_id", "y", "terms", "counts"])
 
-    def run(batches):
-        terms = received(sent)
-        for batch in batches:
-            cols = ([], [])
-            for lo, hi, data, offs in chunks(batch, text_col):
-                doc, term, n = terms.counts(data, offs)
-                cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
-                for x, y in zip(cuts[:-1], cuts[1:]):
-                    cols[0].append(term[x:y].astype(np.int32).tobytes())
-                    cols[1].append(n[x:y].astype(np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"),
-                                              *(pa.array(c, pa.binary()) for c in cols)],
-                                             ["doc_id", "y", "terms", "counts"])
 
-    return run
+SLICE = 1 << 16   # terms whose counts travel together
 
 
 def _document_counts(sent, text_col: str):
-    """(term, n): texts that hold each term (key -1: all texts), summed within the task."""
+    """(slice, counts): in how many of the task's texts each term is, for slices of terms (-1: the texts)."""
 
     def run(batches):
         terms = received(sent)
@@ -247,69 +257,118 @@ def _document_counts(sent, text_col: str):
             texts += batch.num_rows
             for _, _, data, offs in chunks(batch, text_col):
                 total += np.bincount(terms.counts(data, offs)[1], minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(total[at], texts))],
-                                         ["term", "n"])
+        cells = [total[a:a + SLICE].tobytes() for a in range(0, len(total), SLICE)]
+        yield pa.RecordBatch.from_arrays([pa.array([*range(len(cells)), -1], pa.int32()),
+                                          pa.array([*cells, np.array([texts]).tobytes()], pa.binary())], ["slice", "counts"])
 
     return run
 
 
-def _votes(sent):
-    """The vote for each text of the sample with terms, without the examples of its id."""
-
-    def run(batches):
-        known = received(sent)
-        for batch in batches:
-            ids, y, votes, labels = np.asarray(batch.column("doc_id")), np.asarray(batch.column("y")), [], []
-            for lo, hi, data, offs in chunks(batch, "text"):
-                doc, term, weight = known.vectors(data, offs)
-                cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
-                for i, a, b in zip(range(lo, hi), cuts[:-1], cuts[1:]):
-                    if a < b:
-                        own = np.flatnonzero(known.doc_ids == ids[i])
-                        votes.append(known.vote(*known.index.nearest(term[a:b], weight[a:b], NEIGHBOURS, own)))
-                        labels.append(int(y[i]))
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(labels, pa.int32())], ["vote", "y"])
-
-    return run
+def _summed(key, batches):
+    total = sum(np.frombuffer(c, np.int64) for batch in batches for c in batch.column("counts").to_pylist())
+    yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
+                                     ["slice", "counts"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> ToxicityModel:
-    """Terms, corpus statistics, index and calibration; all bounded by the sample of ``max_rows`` texts."""
-    sample = shared_table(labelled_texts(docs, labels, label, max_rows), "toxicity-sample")
-    known = sample.agg(F.count(F.lit(1)), F.sum("y")).first()
-    rows, ones = known[0], known[1] or 0
-    terms, sure = _vocabulary(sample, rows, ones)
-    sent = send(docs.sparkSession, terms)
-    df = np.zeros(len(terms.hashes) + 1)
-    if len(terms.hashes):
-        counted = arrow_map(docs.select("text"), _document_counts(sent, "text"), "term long, n long").groupBy(
-            "term").agg(F.sum("n").alias("n")).toArrow()
-        df[np.asarray(counted.column("term"))] = np.asarray(counted.column("n"))
-        del counted
-    idf = np.log1p(df[-1] / (1 + df[:-1])) * sure
-    rows_of = arrow_map(sample, _term_rows(sent, "text"), "doc_id long, y int, terms binary, counts binary").toArrow()
-    ids, y = (np.asarray(rows_of.column(c)).astype(np.int64) for c in ("doc_id", "y"))
-    each, count = ([np.frombuffer(c.as_buffer(), np.int32) for c in rows_of.column(name)] for name in ("terms", "counts"))
-    full = [i for i in np.lexsort((y, ids)).tolist() if len(each[i])]
-    empty = [int(y[i]) for i in range(len(each)) if not len(each[i])]
-    full.sort(key=lambda i: (each[i].tobytes(), int(ids[i]), count[i].tobytes()))  # the same order in every run
-    none = [np.zeros(0, np.int32)]
-    doc = np.repeat(np.arange(len(full), dtype=np.int32), [len(each[i]) for i in full])
-    term = np.concatenate(none + [each[i] for i in full])
-    doc, term, weight = _unit(doc, term, np.concatenate(none + [count[i] for i in full]), idf, len(full))
-    ids, y = ids[full], y[full]
-    del rows_of, each, count
-    index = BlockMaxIndex(doc, term, weight, len(full), len(terms.hashes))
-    del doc, term, weight
+def _sureness(doc: np.ndarray, term: np.ndarray, y: np.ndarray, terms: int) -> np.ndarray:
+    """How surely each term goes with label 1 in these examples (``LEAST`` to 1; a term that none has: ``LEAST``)."""
+    rows, ones = len(y), int(y.sum())
+    if not 0 < ones < rows:
+        return np.full(terms, LEAST)
+    n, a = np.bincount(term, minlength=terms).astype(float), np.bincount(term, y[doc], terms)
+    share = ones / rows
+    lift = np.maximum(0, a / np.maximum(n, 1) - share) / (1 - share)
+    chi2 = lift ** 2 * n * rows * (1 - share) / (share * np.maximum(1, rows - n))
+    return LEAST + (1 - LEAST) * (lift * chi2 / (chi2 + HALF_CHI2)) ** 2
+
+
+def _examples(terms: Terms, idf: np.ndarray, ids: np.ndarray, y: np.ndarray, doc: np.ndarray, term: np.ndarray,
+              n: np.ndarray) -> Examples:
+    """The index of the examples; term weights learn from their labels."""
+    idf = idf * _sureness(doc, term, y, len(idf))
+    doc, term, weight = _unit(doc, term, n, idf, len(y))
+    order = _alike(doc, term, weight, len(y), len(idf))
+    place = np.empty(len(y), np.int64)
+    place[order] = np.arange(len(y))
+    return Examples(terms, idf, BlockMaxIndex(place[doc], term, weight, len(y), len(idf)), ids[order], y[order])
+
+
+AXES = 8
+
+
+def _alike(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, terms: int) -> np.ndarray:
+    """An order of the examples in which those of one kind (a language, say) come together, so that blocks' bounds are low.
+
+    By the signs along the first ``AXES`` principal directions of the common terms.
+    """
+    often = np.bincount(term, minlength=terms) > max(BLOCK, COMMON * examples)
+    own = often[term]
+    matrix = np.zeros((examples, int(often.sum())), np.float32)
+    matrix[doc[own], (np.cumsum(often) - 1)[term[own]]] = weight[own]
+    y = np.random.default_rng(0).normal(size=(matrix.shape[1], AXES)).astype(np.float32)
+    for _ in range(4):
+        y = matrix.T @ np.linalg.qr(matrix @ y)[0] if matrix.size else y
+    side = (matrix @ y).T
+    return np.lexsort((np.arange(examples), *(side[::-1] > np.median(side, axis=1)[::-1, None])))
+
+
+
+
+def _fold_votes(terms, idf, ids, y, doc, term, n) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, labels): each example's vote by the examples of the other folds, with weights learnt from those.
+
+    Rows of one id are in one fold.
+    """
+    fold = mix64(ids.astype(np.uint64)) % np.uint64(FOLDS)
+    votes, labels = [np.zeros(0)], [np.zeros(0, np.int64)]
+    for f in range(FOLDS):
+        out = fold == f
+        place = np.cumsum(~out) - 1
+        kept = ~out[doc]
+        if not out.any() or out.all():
+            continue
+        others = _examples(terms, idf, ids[~out], y[~out], place[doc[kept]], term[kept], n[kept])
+        asked, place = out[doc], np.cumsum(out) - 1
+        vectors = _unit(place[doc[asked]], term[asked], n[asked], others.idf, int(out.sum()))
+        votes.append(np.array([others.vote(*near) for near in others.index.nearest(*vectors, int(out.sum()), NEIGHBOURS)]))
+        labels.append(y[out])
+    return np.concatenate(votes), np.concatenate(labels)
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS,
+          max_bytes: int = MAX_TRAINING_BYTES) -> ToxicityModel:
+    """Terms, corpus statistics, index and calibration; all but the corpus counts come from the bounded sample."""
+    sample = shared_table(labelled_texts(docs, labels, label, max_rows, max_bytes), "toxicity-sample")
+    found = arrow_map(sample, _term_rows, "doc_id long, y int, terms binary, counts binary").toArrow()
+    found = found.sort_by([("terms", "ascending"), ("doc_id", "ascending"), ("counts", "ascending")])  # the same in every run
+    ids, y = (np.asarray(found.column(c)).astype(np.int64) for c in ("doc_id", "y"))
+    rows, ones = len(y), int(y.sum())
     share = ones / rows if rows else 0.0
-    without = (sum(empty) + 0.5) / (len(empty) + 1) if 0 < ones < rows else share
-    model = ToxicityModel(send(docs.sparkSession, Examples(terms, idf, index, ids, y)),
-                          (np.array([0.0]), np.array([share])), without)
-    if full:
-        spread = sample.repartition(4 * docs.sparkSession.sparkContext.defaultParallelism)  # searching costs far more than reading
-        votes = arrow_map(spread, _votes(model.sent), "vote double, y int").toArrow()
-        model.steps = _isotonic(*(np.asarray(votes.column(c)) for c in ("vote", "y")))
+    model = ToxicityModel(None, (np.array([0.0]), np.array([share])), share)
+    sizes = np.array([len(c.as_buffer()) // 8 for c in found.column("terms")], np.int64)
+    hashes = np.frombuffer(b"".join(found.column("terms").to_pylist()), np.uint64)
+    n = np.frombuffer(b"".join(found.column("counts").to_pylist()), np.int32)
+    del found
+    if not 0 < ones < rows or not len(hashes):
+        model.sent = send(docs.sparkSession, Examples(Terms(np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.zeros(0), BlockMaxIndex(
+            *(np.zeros(0, np.int64) for _ in range(3)), 0, 0), ids[:0], y[:0]))
+        return model
+    known, term = np.unique(hashes, return_inverse=True)
+    number = np.empty(len(known), np.int64)
+    number[np.argsort(-np.bincount(term), kind="stable")] = np.arange(len(known))
+    terms, term = Terms(known, number), number[term].astype(np.int32)
+    counted = arrow_map(docs.select("text"), _document_counts(send(docs.sparkSession, terms), "text"), "slice int, counts binary")
+    counted = {r["slice"]: np.frombuffer(r["counts"], np.int64)
+               for r in arrow_groups(counted, "slice", _summed, "slice int, counts binary").collect()}
+    texts = int(counted.pop(-1)[0])
+    idf = np.log1p(texts / (1 + np.concatenate([counted[i] for i in range(len(counted))])))
+    full = sizes > 0
+    model.without = (int(y[~full].sum()) + 0.5) / (int((~full).sum()) + 1)
+    sample_of = (ids[full], y[full], np.repeat(np.arange(int(full.sum())), sizes[full]).astype(np.int32), term, n)
+    votes, labels_of = _fold_votes(terms, idf, *sample_of)
+    if len(votes):
+        model.steps = _isotonic(votes, labels_of)
+    model.sent = send(docs.sparkSession, _examples(terms, idf, *sample_of))
     return model
 
 
@@ -322,14 +381,10 @@ def _score(model: ToxicityModel, text_col: str):
             scores, evidence = [], []
             for lo, hi, data, offs in chunks(batch, text_col):
                 doc, term, weight = known.vectors(data, offs)
-                cuts = np.searchsorted(doc, np.arange(hi - lo + 1))
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    if a == b:
-                        scores.append(without)
-                        evidence.append([])
-                        continue
-                    near, cosine = known.index.nearest(term[a:b], weight[a:b], NEIGHBOURS)
-                    scores.append(float(np.interp(known.vote(near, cosine), *steps)))
+                has = np.zeros(hi - lo, bool)
+                has[doc] = True
+                for some, (near, cosine) in zip(has.tolist(), known.index.nearest(doc, term, weight, hi - lo, NEIGHBOURS)):
+                    scores.append(float(np.interp(known.vote(near, cosine), *steps)) if some else without)
                     evidence.append([{"doc_id": int(known.doc_ids[i]), "cosine": float(c), "label": int(known.labels[i])}
                                      for i, c in zip(near, cosine)])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))

@@ -138,13 +138,16 @@ def test_block_max_neighbours_are_exact():
     dense /= np.linalg.norm(dense, axis=1, keepdims=True)
     at, term = np.nonzero(dense)
     index = toxicity.BlockMaxIndex(at, term, dense[at, term], len(dense), terms)
+    asked = np.nonzero(dense[:60])
+    many = index.nearest(*asked, dense[asked], 60, 7)
     for i in range(60):
-        q = np.flatnonzero(dense[i])
-        got, cosine = index.nearest(q, dense[i][q], 7, i)
+        got, cosine = many[i]
+        one = index.nearest(np.zeros(len(q := np.flatnonzero(dense[i])), int), q, dense[i][q], 1, 7)[0]
+        assert (one[0] == got).all() and (one[1] == cosine).all()  # the same bits in any batch
         score = dense @ dense[i]
-        score[i] = -1
         want = np.sort(score)[::-1][:7]
-        assert np.allclose(cosine, want[want > 0]) and i not in got
+        assert np.allclose(cosine, want[want > 0])
+        assert all(x < y for x, y, c, d in zip(got, got[1:], cosine, cosine[1:]) if c == d)
         assert np.allclose(score[got], cosine)
 
 
