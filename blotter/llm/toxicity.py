@@ -19,7 +19,7 @@ calibration turns votes into a score. The votes that it learns from come from
 
 Training reads at most ``max_rows`` labelled texts and ``max_bytes`` of their bytes, never
 a held-out one; this sample, its terms and the index are all that the driver and every task
-hold. A text that shares no term with any example has no neighbours and scores as
+hold. One task makes the index. A text that shares no term with any example has no neighbours and scores as
 training texts without terms do.
 
 Rows: null, empty and wordless texts have no terms. Labels follow the rules of
@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -335,41 +336,71 @@ def _fold_votes(terms, idf, ids, y, doc, term, n) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(votes), np.concatenate(labels)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS,
-          max_bytes: int = MAX_TRAINING_BYTES) -> ToxicityModel:
-    """Terms, corpus statistics, index and calibration; all but the corpus counts come from the bounded sample."""
-    sample = shared_table(labelled_texts(docs, labels, label, max_rows, max_bytes), "toxicity-sample")
-    found = arrow_map(sample, _term_rows, "doc_id long, y int, terms binary, counts binary").toArrow()
-    found = found.sort_by([("terms", "ascending"), ("doc_id", "ascending"), ("counts", "ascending")])  # the same in every run
-    ids, y = (np.asarray(found.column(c)).astype(np.int64) for c in ("doc_id", "y"))
-    rows, ones = len(y), int(y.sum())
-    share = ones / rows if rows else 0.0
-    model = ToxicityModel(None, (np.array([0.0]), np.array([share])), share)
+def _sample_arrays(batches) -> tuple:
+    """(ids, labels, terms of each row, all rows' term hashes, their counts) of the sample, in the same order in every run."""
+    found = pa.Table.from_batches(list(batches)).sort_by([("terms", "ascending"), ("doc_id", "ascending"), ("counts", "ascending")])
+    ids, y = (found.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "y"))
     sizes = np.array([len(c.as_buffer()) // 8 for c in found.column("terms")], np.int64)
-    hashes = np.frombuffer(b"".join(found.column("terms").to_pylist()), np.uint64)
-    n = np.frombuffer(b"".join(found.column("counts").to_pylist()), np.int32)
-    del found
-    if not 0 < ones < rows or not len(hashes):
-        model.sent = send(docs.sparkSession, Examples(Terms(np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.zeros(0), BlockMaxIndex(
-            *(np.zeros(0, np.int64) for _ in range(3)), 0, 0), ids[:0], y[:0]))
-        return model
-    known, term = np.unique(hashes, return_inverse=True)
+    hashes, n = (np.frombuffer(b"".join(found.column(c).to_pylist()), kind) for c, kind in (("terms", np.uint64), ("counts", np.int32)))
+    return ids, y, sizes, hashes, n
+
+
+def _known_terms(key, batches):
+    """One row: the sample's terms and their numbers, if it can teach anything."""
+    _, y, _, hashes, _ = _sample_arrays(batches)
+    known, place = np.unique(hashes, return_inverse=True)
     number = np.empty(len(known), np.int64)
-    number[np.argsort(-np.bincount(term), kind="stable")] = np.arange(len(known))
-    terms, term = Terms(known, number), number[term].astype(np.int32)
-    counted = arrow_map(docs.select("text"), _document_counts(send(docs.sparkSession, terms), "text"), "slice int, counts binary")
+    number[np.argsort(-np.bincount(place, minlength=len(known)), kind="stable")] = np.arange(len(known))
+    yield pa.RecordBatch.from_arrays([pa.array([len(y)]), pa.array([int(y.sum())]), pa.array([known.tobytes()], pa.binary()),
+                                      pa.array([number.tobytes()], pa.binary())], ["rows", "ones", "known", "number"])
+
+
+def _trained(sent):
+    """One row: the pickled index, the calibration, and the score of texts without terms."""
+
+    def run(key, batches):
+        terms, idf = received(sent)
+        ids, y, sizes, hashes, n = _sample_arrays(batches)
+        term = terms.number[np.searchsorted(terms.hashes, hashes)].astype(np.int32)
+        full = sizes > 0
+        sample = (ids[full], y[full], np.repeat(np.arange(int(full.sum())), sizes[full]).astype(np.int32), term, n)
+        votes, labels = _fold_votes(terms, idf, *sample)
+        steps = _isotonic(votes, labels) if len(votes) else (np.array([0.0]), np.array([y.mean()]))
+        without = (int(y[~full].sum()) + 0.5) / (int((~full).sum()) + 1)
+        payload = cloudpickle.dumps(_examples(terms, idf, *sample))
+        yield pa.RecordBatch.from_arrays([pa.array([payload], pa.binary()), pa.array([steps[0].tolist()]), pa.array([steps[1].tolist()]),
+                                          pa.array([without])], ["payload", "votes", "scores", "without"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS,
+          max_bytes: int = MAX_TRAINING_BYTES) -> ToxicityModel:
+    """Terms, corpus statistics, index and calibration; all but the corpus counts come from the bounded sample.
+
+    One task makes the index; the driver passes on its bytes and holds the terms and their counts.
+    """
+    spark = docs.sparkSession
+    sample = labelled_texts(docs, labels, label, max_rows, max_bytes)
+    vectors = arrow_map(sample, _term_rows, "doc_id long, y int, terms binary, counts binary")
+    vectors = shared_table(vectors, "toxicity-sample").withColumn("one", F.lit(1))
+    found = arrow_groups(vectors, "one", _known_terms, "rows long, ones long, known binary, number binary").first()
+    rows, ones = (found["rows"], found["ones"]) if found else (0, 0)
+    if not 0 < ones < rows or not found["known"]:
+        nothing = [np.zeros(0, np.int64) for _ in range(5)]
+        empty = Examples(Terms(np.zeros(0, np.uint64), nothing[0]), np.zeros(0), BlockMaxIndex(*nothing[:3], 0, 0), *nothing[3:])
+        share = ones / rows if rows else 0.0
+        return ToxicityModel(send(spark, empty), (np.array([0.0]), np.array([share])), share)
+    terms = Terms(np.frombuffer(found["known"], np.uint64), np.frombuffer(found["number"], np.int64))
+    counted = arrow_map(docs.select("text"), _document_counts(send(spark, terms), "text"), "slice int, counts binary")
     counted = {r["slice"]: np.frombuffer(r["counts"], np.int64)
                for r in arrow_groups(counted, "slice", _summed, "slice int, counts binary").collect()}
     texts = int(counted.pop(-1)[0])
     idf = np.log1p(texts / (1 + np.concatenate([counted[i] for i in range(len(counted))])))
-    full = sizes > 0
-    model.without = (int(y[~full].sum()) + 0.5) / (int((~full).sum()) + 1)
-    sample_of = (ids[full], y[full], np.repeat(np.arange(int(full.sum())), sizes[full]).astype(np.int32), term, n)
-    votes, labels_of = _fold_votes(terms, idf, *sample_of)
-    if len(votes):
-        model.steps = _isotonic(votes, labels_of)
-    model.sent = send(docs.sparkSession, _examples(terms, idf, *sample_of))
-    return model
+    made = arrow_groups(vectors, "one", _trained(send(spark, (terms, idf))),
+                        "payload binary, votes array<double>, scores array<double>, without double").first()
+    return ToxicityModel(spark.sparkContext.broadcast(bytes(made["payload"])),
+                         (np.array(made["votes"]), np.array(made["scores"])), made["without"])
 
 
 def _score(model: ToxicityModel, text_col: str):
