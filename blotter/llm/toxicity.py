@@ -30,10 +30,12 @@ replace input columns of their names. Ids are whole numbers.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -110,9 +112,10 @@ class BlockMaxIndex:
         often = np.bincount(term, minlength=terms) > max(BLOCK, COMMON * examples)
         self.common = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
         own = often[term]
-        self.of, self.of_example, self.of_weight = self.common[term[own]], example[own], weight[own]
+        small = np.uint16 if max(examples, int(often.sum())) <= 1 << 16 else np.int32
+        self.of, self.of_example, self.of_weight = self.common[term[own]].astype(small), example[own].astype(small), weight[own]
         order = np.argsort(term[~own], kind="stable")
-        self.list_example, self.list_weight = example[~own][order], weight[~own][order]
+        self.list_example, self.list_weight = example[~own][order].astype(small), weight[~own][order]
         self.list_cut = np.concatenate([[0], np.cumsum(np.bincount(term[~own], minlength=terms))])
         self.matrix = self.top = None     # made where they are used
 
@@ -245,6 +248,7 @@ def _term_rows(batches):
                                           *(pa.array(c, pa.binary()) for c in cols)], ["doc_id", "y", "terms", "counts"])
 
 
+PIECE = 1 << 20   # bytes of the index in one row
 SLICE = 1 << 16   # terms whose counts travel together
 
 
@@ -356,7 +360,7 @@ def _known_terms(key, batches):
 
 
 def _trained(sent):
-    """One row: the pickled index, the calibration, and the score of texts without terms."""
+    """Pieces of two pickled parts: the calibration with the score of texts without terms, and the index."""
 
     def run(key, batches):
         terms, idf = received(sent)
@@ -367,9 +371,11 @@ def _trained(sent):
         votes, labels = _fold_votes(terms, idf, *sample)
         steps = _isotonic(votes, labels) if len(votes) else (np.array([0.0]), np.array([y.mean()]))
         without = (int(y[~full].sum()) + 0.5) / (int((~full).sum()) + 1)
-        payload = cloudpickle.dumps(_examples(terms, idf, *sample))
-        yield pa.RecordBatch.from_arrays([pa.array([payload], pa.binary()), pa.array([steps[0].tolist()]), pa.array([steps[1].tolist()]),
-                                          pa.array([without])], ["payload", "votes", "scores", "without"])
+        parts = [pickle.dumps((steps, without)), cloudpickle.dumps(_examples(terms, idf, *sample))]
+        for i, part in enumerate(parts):
+            for a in range(0, len(part), PIECE):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([a]), pa.array([part[a:a + PIECE]], pa.binary())],
+                                                 ["part", "place", "bytes"])
 
     return run
 
@@ -397,10 +403,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
                for r in arrow_groups(counted, "slice", _summed, "slice int, counts binary").collect()}
     texts = int(counted.pop(-1)[0])
     idf = np.log1p(texts / (1 + np.concatenate([counted[i] for i in range(len(counted))])))
-    made = arrow_groups(vectors, "one", _trained(send(spark, (terms, idf))),
-                        "payload binary, votes array<double>, scores array<double>, without double").first()
-    return ToxicityModel(spark.sparkContext.broadcast(bytes(made["payload"])),
-                         (np.array(made["votes"]), np.array(made["scores"])), made["without"])
+    made = arrow_groups(vectors, "one", _trained(send(spark, (terms, idf))), "part int, place long, bytes binary")
+    made = shared_table(made, "toxicity-index").toArrow().sort_by([("part", "ascending"), ("place", "ascending")])
+    first, index = (b"".join(made.filter(pc.equal(made["part"], i))["bytes"].to_pylist()) for i in (0, 1))
+    return ToxicityModel(spark.sparkContext.broadcast(index), *pickle.loads(first))
 
 
 def _score(model: ToxicityModel, text_col: str):
