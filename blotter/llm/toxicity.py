@@ -35,7 +35,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +44,7 @@ from .quality import labelled_texts
 from .shared import arrow_groups, arrow_map, received, send, shared_table
 from .text import ALNUM, LOWER, chunks, mix64, prefix_hashes, words
 
-MAX_TRAINING_ROWS = 3072
+MAX_TRAINING_ROWS = 2560
 MAX_TRAINING_BYTES = 16 << 20
 FOLDS = 2
 PREFIXES = (3, 4, 5, 6, 7)
@@ -404,8 +403,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
     texts = int(counted.pop(-1)[0])
     idf = np.log1p(texts / (1 + np.concatenate([counted[i] for i in range(len(counted))])))
     made = arrow_groups(vectors, "one", _trained(send(spark, (terms, idf))), "part int, place long, bytes binary")
-    made = shared_table(made, "toxicity-index").toArrow().sort_by([("part", "ascending"), ("place", "ascending")])
-    first, index = (b"".join(made.filter(pc.equal(made["part"], i))["bytes"].to_pylist()) for i in (0, 1))
+    made = shared_table(made, "toxicity-index").toArrow()
+    pieces = sorted(zip(made["part"].to_pylist(), made["place"].to_pylist(), (c.as_buffer() for c in made["bytes"])), key=lambda x: x[:2])
+    first, index = (b"".join(c for part, _, c in pieces if part == i) for i in (0, 1))
+    del made, pieces
     return ToxicityModel(spark.sparkContext.broadcast(index), *pickle.loads(first))
 
 
