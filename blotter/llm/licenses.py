@@ -2,7 +2,8 @@
 
 Every rolling word pair of every text is joined with the places it has in the
 templates (a broadcast table, bounded by ``MAX_PAIRS``). A match votes for the
-diagonal ``text position - template position``; votes are gathered as bit masks
+diagonal ``text position - template position``. Templates of which a text doesn't have enough different
+pairs, wherever they stand, can't be found in it; their votes go no further. The others are gathered as bit masks
 of template positions, ``BITS`` of them to a mask. A diagonal with all votes is an exact
 occurrence, whatever lies beside it. Of the others a diagonal counts if none within ``SLACK`` words
 has more votes (ties: the first); the diagonals within ``SLACK`` of it are merged into it, as words put in
@@ -143,6 +144,44 @@ def _grams(batches):
                     [pa.array(keys[lo:hi][doc[a:b]]), pa.array(pos[a:b]), pa.array(grams[a:b])], ["key", "pos", "h"])
 
 
+_VOTE = "key long, pos int, tid int, at int, grams int, base boolean, label string"
+
+
+def _possible(batches):
+    """The votes of templates of which a text has enough different pairs to be found at all.
+
+    The join keeps the order of ``_grams``, so the votes of a text come together; a text's
+    votes are held until the next text begins.
+    """
+    held: list[pa.Table] = []
+
+    def kept(table: pa.Table):
+        key, tid, at, grams = (table[c].to_numpy() for c in ("key", "tid", "at", "grams"))
+        run = np.cumsum(np.append(True, key[1:] != key[:-1]))
+        order = np.lexsort((at, tid, run))
+        run, tid, at, grams = run[order], tid[order], at[order], grams[order]
+        new = np.append(True, (run[1:] != run[:-1]) | (tid[1:] != tid[:-1]))
+        other = new | np.append(True, at[1:] != at[:-1])
+        group = np.cumsum(new) - 1
+        need = np.where(grams < SHORT, grams, np.ceil(COVER * grams - 1e-9))
+        good = np.bincount(group, other)[group] >= need
+        yield from table.take(pa.array(np.sort(order[good]))).to_batches()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        table = pa.concat_tables(held).combine_chunks()
+        key = table["key"].to_numpy()
+        change = np.flatnonzero(key[1:] != key[:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            yield from kept(table.slice(0, cut).combine_chunks())
+        held = [table.slice(cut)]
+    if held:
+        yield from kept(held[0].combine_chunks())
+
+
 def _word_counts(batches):
     for batch in batches:
         counts = [np.diff(words(LOWER[data], offs, ALNUM)[2]) for _, _, data, offs in chunks(batch, "text")]
@@ -164,8 +203,9 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at") % BITS)
     template = ["key", "tid", "base", "label", "grams"]
-    votes = (grams.join(F.broadcast(_templates(docs.sparkSession, phrases, notices)), "h")
-             .groupBy(*template, (F.col("pos") - F.col("at")).alias("diagonal"), F.floor(F.col("at") / BITS).alias("mask_no"))
+    joined = grams.join(F.broadcast(_templates(docs.sparkSession, phrases, notices)), "h")
+    votes = arrow_map(joined.select(*(c.split()[0] for c in _VOTE.split(", "))), _possible, _VOTE)
+    votes = (votes.groupBy(*template, (F.col("pos") - F.col("at")).alias("diagonal"), F.floor(F.col("at") / BITS).alias("mask_no"))
              .agg(F.bit_or(bit).alias("mask"), F.min("pos").alias("first"), (F.max("pos") + K).alias("end")))
     votes = shared_table(votes, "license-votes")
     lines = votes.groupBy(*template, "diagonal").agg(F.sum(F.bit_count("mask")).alias("hits"))
