@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -156,3 +157,101 @@ def test_isotonic_scores_rise():
     v = rng.random(300).round(2)
     x, y = toxicity._isotonic(v, (rng.random(300) < v).astype(int))
     assert (np.diff(x) >= 0).all() and (np.diff(y) >= -0.2).all() and ((y > 0) & (y < 1)).all()
+
+
+def test_first_tree_takes_the_best_of_all_splits():
+    """Against a search over every feature and every value between bins, node by node."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4)).astype(np.float32).round(1)
+    y = ((x[:, 1] > 0.4) | (x[:, 2] * x[:, 0] > 0.5)).astype(float)
+    depth, l2, least = 3, 1.0, 2.0
+    model = fit(x, y, trees=1, depth=depth, rate=0.5, bins=64, l2=l2, min_hessian=least)
+    p = np.full(300, y.mean())
+    g, h = y - p, p * (1 - p)
+    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 65)[1:-1])) for j in range(4)]
+
+    def gain(rows, left):
+        parts = [rows & left, rows & ~left]
+        if any(h[q].sum() < least for q in parts):
+            return 0.0
+        return sum(g[q].sum() ** 2 / (h[q].sum() + l2) for q in parts) - g[rows].sum() ** 2 / (h[rows].sum() + l2)
+
+    nodes = {0: np.ones(300, bool)}
+    for node in range(2 ** depth - 1):
+        rows = nodes[node]
+        best = max((gain(rows, x[:, j] <= e) for j in range(4) for e in edges[j]), default=0.0)
+        left = x[:, model.feature[0, node]] <= model.threshold[0, node]
+        took = gain(rows, left) if np.isfinite(model.threshold[0, node]) else 0.0
+        assert took == pytest.approx(max(best, 0.0), abs=1e-7)
+        nodes[2 * node + 1], nodes[2 * node + 2] = rows & left, rows & ~left
+    for k in range(2 ** depth):
+        rows = nodes[2 ** depth - 1 + k]
+        assert model.leaf[0, k] == pytest.approx(0.5 * g[rows].sum() / (h[rows].sum() + l2))
+
+
+def _term_counts(text):
+    out = Counter()
+    for w in plain.ALNUM.findall(plain.lower(text)):
+        w = w.encode()
+        out[w] += 1
+        for k in toxicity.PREFIXES:
+            if len(w) > k:
+                out[(k, w[:k])] += 1
+    return out
+
+
+def _sure(bags, labels):
+    rows, ones = len(labels), sum(labels)
+    n, a = Counter(t for b in bags for t in b), Counter(t for b, y in zip(bags, labels) if y for t in b)
+    out, share = {}, ones / rows
+    for t in n:
+        lift = max(0, a[t] / n[t] - share) / (1 - share)
+        chi2 = lift ** 2 * n[t] * rows * (1 - share) / (share * max(1, rows - n[t]))
+        out[t] = toxicity.LEAST + (1 - toxicity.LEAST) * (lift * chi2 / (chi2 + toxicity.HALF_CHI2)) ** 2
+    return out
+
+
+def test_toxicity_against_a_plain_version_of_the_whole_query(corpus):
+    """Terms, document frequencies, weights, neighbours, votes across folds, calibration and scores, all in plain Python."""
+    docs, labels, rows = corpus
+    texts = [(r["doc_id"], _term_counts(r["text"])) for r in docs.collect()]
+    bags = dict(texts)
+    known = {d: t for d, _, t in rows if not plain.held_out(d)}
+    terms = {t for d in known for t in bags[d]}
+    df = Counter(t for _, bag in texts for t in bag if t in terms)
+    idf = {t: np.log1p(len(texts) / (1 + df[t])) for t in terms}
+
+    def index(ids):
+        sure = _sure([bags[d] for d in ids], [known[d] for d in ids])
+        weight = {t: idf[t] * sure.get(t, toxicity.LEAST) for t in terms}
+
+        def unit(bag):
+            v = {t: (1 + np.log(n)) * weight[t] for t, n in bag.items() if t in terms}
+            norm = np.sqrt(sum(x * x for x in v.values()))
+            return {t: x / norm for t, x in v.items()}
+
+        examples = [(d, unit(bags[d])) for d in ids]
+
+        def near(bag):
+            q = unit(bag)
+            score = sorted(((sum(x * v.get(t, 0.0) for t, x in q.items()), d) for d, v in examples), reverse=True)
+            return [(c, d) for c, d in score[:toxicity.NEIGHBOURS] if c > 0]
+
+        return near
+
+    vote = lambda found: sum(c * known[d] for c, d in found) / sum(c for c, _ in found)
+    fold = {d: int(toxicity.mix64(np.array([d], np.uint64))[0] % np.uint64(toxicity.FOLDS)) for d in known}
+    votes, truth = [], []
+    for f in range(toxicity.FOLDS):
+        others = index([d for d in known if fold[d] != f])
+        mine = [d for d in known if fold[d] == f]
+        votes += [vote(others(bags[d])) for d in mine]
+        truth += [known[d] for d in mine]
+    steps = toxicity._isotonic(np.array(votes), np.array(truth))
+    near = index(list(known))
+    out = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, toxicity.train(docs, labels)).collect()}
+    for d, bag in texts[::7]:
+        want = near(bag)
+        got = [n["cosine"] for n in out[d]["neighbours"]]
+        assert np.allclose(got, [c for c, _ in want], atol=2e-6)
+        assert out[d]["score"] == pytest.approx(np.interp(vote(want), *steps), abs=0.02)

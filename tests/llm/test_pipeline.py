@@ -121,5 +121,5 @@ def test_query_matches_oracle(spark, name):
 @tables
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert [n for n, _ in P.STAGES] and "pipeline" in entry.queries()
