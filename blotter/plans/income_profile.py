@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from blotter.functions.parsing import INCIDENT_TS_FORMAT, in_year, money_to_int, zip5, zip_text
 from blotter.functions.recode import DESCENT_LABELS, recode
 from blotter.operators.joins import join
+from blotter.operators.ranking import top_k_rows
 from blotter.plans.top_months import as_timestamp
 
 
@@ -107,8 +108,8 @@ def ranking_zips(per_zip: DataFrame, k: int = 3, end: str = "top", distinct: boo
         # a ZIP that the income table lists twice takes one of the k places,
         # with its income nearest to this end
         best = F.max("income") if end == "top" else F.min("income")
-        return totals.groupBy("zip").agg(best.alias("income")).orderBy(by_income, F.asc("zip")).limit(k).select("zip")
-    first_k = totals.orderBy(by_income, F.asc("zip")).limit(k)
+        return top_k_rows(totals.groupBy("zip").agg(best.alias("income")), [by_income, F.asc("zip")], k).select("zip")
+    first_k = top_k_rows(totals, [by_income, F.asc("zip")], k)
     # Row reading: walk the (at most k) best (zip, income) groups in order and
     # keep those that hold one of the first k joined rows.
     w = Window.orderBy(by_income, F.asc("zip")).rowsBetween(Window.unboundedPreceding, -1)
