@@ -7,8 +7,10 @@ searched backwards for all phrases at once through wavelet-tree ranks, hits are
 located by sampled suffix positions, and overlapping spans are merged.
 
 A phrase is ``window`` consecutive words of an item, or a shorter item as a
-whole. Phrases go to the tasks in blocks of at most ``block_bytes`` of item text;
-a larger benchmark takes one pass over the texts for each block.
+whole. Phrases go to the tasks in blocks of about ``block_bytes`` of item text.
+The shard's index is over the vocabulary of all blocks, so it is built once and
+searched for block after block; a task holds one block at a time, whatever the
+size of the benchmark (only the vocabulary is held whole).
 
 Rows: a null text has no words; null, empty and wordless items have no phrases;
 an item with a null id marks words but can't be listed. Repeated items count
@@ -34,8 +36,16 @@ SHARD_WORDS = 1_000_000     # words of texts indexed at once (one longer text is
 RESULTS = ("n_words", "n_hit", "items", "spans")
 
 
+def _find(vocab: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Word ids from 1; 0 for words outside the vocabulary."""
+    if not len(vocab):
+        return np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
+    return np.where(vocab[at] == h, at + 1, 0)
+
+
 class Phrases:
-    """Distinct phrases by length, their vocabulary, and the items of each."""
+    """Distinct phrases of a block by length, their vocabulary, and the items of each."""
 
     def __init__(self, items: list[tuple[int | None, bytes]], window: int):
         seen: dict[bytes, set] = {}
@@ -50,15 +60,16 @@ class Phrases:
         self.groups = []
         for size in sorted({len(p) // 8 for p in seen}):
             mine = sorted(p for p in seen if len(p) == 8 * size)
-            ids = self.find(np.frombuffer(b"".join(mine), np.uint64)).reshape(-1, size)
+            ids = _find(self.vocab, np.frombuffer(b"".join(mine), np.uint64)).reshape(-1, size)
             owners = [sorted(place[i] for i in seen[p] if i is not None) for p in mine]
             self.groups.append((ids, np.cumsum([0, *map(len, owners)]),
                                 np.array([o for x in owners for o in x], np.int64)))
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Word ids from 1; 0 for words of no phrase."""
-        at = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
-        return np.where(self.vocab[at] == h, at + 1, 0)
+    def renumbered(self, vocab: np.ndarray):
+        """The groups with word ids of a vocabulary that holds this one."""
+        ids_there = _find(vocab, self.vocab)
+        for ids, cuts, owners in self.groups:
+            yield ids_there[ids - 1], cuts, owners
 
 
 def _runs(sym: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,14 +97,15 @@ def _runs(sym: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, n
     return out, where
 
 
-def _search_shard(phrases: Phrases, sym: np.ndarray, first: np.ndarray):
-    """Hit flags of the shard's words and (text, item) pairs."""
+def _search_shard(blocks, vocab: np.ndarray, shortest: int, sym: np.ndarray, first: np.ndarray):
+    """Hit flags of the shard's words and sorted (text, item id) pairs; ``blocks`` gives the blocks one after another."""
     hit = np.zeros(len(sym) + 1, np.int64)
     found = [np.zeros((0, 2), np.int64)]
-    run, where = _runs(sym, first, phrases.shortest)
-    if len(run):
-        index = FMIndex(run)
-        for ids, cuts, owners in phrases.groups:
+    run, where = _runs(sym, first, shortest)
+    index = FMIndex(run) if len(run) else None
+    for phrases in blocks if index else ():
+        item_ids = np.array(phrases.ids, np.int64)
+        for ids, cuts, owners in phrases.renumbered(vocab):
             lo, hi = index.search(ids)
             count = hi - lo
             which = np.repeat(np.arange(len(ids)), count)
@@ -106,16 +118,24 @@ def _search_shard(phrases: Phrases, sym: np.ndarray, first: np.ndarray):
             text = np.searchsorted(first, at, "right") - 1
             n = cuts[which + 1] - cuts[which]
             own = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(cuts[which], n)
-            found.append(np.unique(np.stack([np.repeat(text, n), owners[own]], 1), axis=0))
+            found.append(np.unique(np.stack([np.repeat(text, n), item_ids[owners[own]]], 1), axis=0))
     return np.cumsum(hit[:-1]) > 0, np.unique(np.concatenate(found), axis=0)
 
 
-def _scan(sent, text_col: str):
-    def shard_rows(phrases, parts):
+def _block_reader(sent: list):
+    """Makes iterators over the blocks. A single block stays in memory, of several only the one in use."""
+    if len(sent) == 1:
+        only = [received(sent[0])]
+        return lambda: iter(only)
+    return lambda: (received(block, keep=False) for block in sent)
+
+
+def _scan(sent_vocab, sent_blocks: list, shortest: int, text_col: str):
+    def shard_rows(blocks, vocab, parts):
         sym = np.concatenate([s for s, _ in parts])
         sizes = np.concatenate([n for _, n in parts])
         first = np.concatenate([[0], np.cumsum(sizes)])
-        hit, pairs = _search_shard(phrases, sym, first)
+        hit, pairs = _search_shard(blocks, vocab, shortest, sym, first)
         total = np.concatenate([[0], np.cumsum(hit)])
         edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
         edge_first = first[:-1][sizes > 0]
@@ -125,28 +145,27 @@ def _scan(sent, text_col: str):
         stops = np.sort(np.concatenate([np.flatnonzero(edge == -1), cut]))
         of_span = np.searchsorted(starts, first)
         of_pair = np.searchsorted(pairs[:, 0], np.arange(len(sizes) + 1))
-        ids = np.array(phrases.ids, np.int64)
         for i, n in enumerate(sizes.tolist()):
             a, b = of_span[i], of_span[i + 1]
             yield (n, int(total[first[i + 1]] - total[first[i]]),
-                   ids[pairs[of_pair[i]:of_pair[i + 1], 1]].tolist(),
+                   pairs[of_pair[i]:of_pair[i + 1], 1].tolist(),
                    [{"first": int(x), "end": int(y)} for x, y in zip(starts[a:b] - first[i], stops[a:b] - first[i])])
 
     def run(batches):
-        phrases = received(sent)
+        vocab, reader = received(sent_vocab), _block_reader(sent_blocks)
         for batch in batches:
             rows, parts, size = [], [], 0
             for _, _, data, offs in chunks(batch, text_col):
                 data = LOWER[data]
                 s, e, first = words(data, offs, ALNUM)
                 h = span_hash(data, s, e)
-                parts.append((phrases.find(h) if len(phrases.vocab) else np.zeros(len(h), np.int64), np.diff(first)))
+                parts.append((_find(vocab, h), np.diff(first)))
                 size += len(h)
                 if size >= SHARD_WORDS:
-                    rows.extend(shard_rows(phrases, parts))
+                    rows.extend(shard_rows(reader(), vocab, parts))
                     parts, size = [], 0
             if parts:
-                rows.extend(shard_rows(phrases, parts))
+                rows.extend(shard_rows(reader(), vocab, parts))
             n, hit, items, spans = zip(*rows) if rows else ((), (), (), ())
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()),
                      pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
@@ -166,33 +185,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     blocks = parts_for(text_bytes(items), block_bytes)
     kinds = T.StructType.fromDDL(
         "n_words long, n_hit long, items array<long>, spans array<struct<first: long, end: long>>")
-    out = docs
+    vocab, shortest, sent = np.zeros(0, np.uint64), window, []
     for b in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         phrases = Phrases([(r["item_id"], (r["text"] or "").encode()) for r in mine.collect()], window)
-        sent = send(docs.sparkSession, phrases)
-        before = [c for c in out.columns if c in RESULTS]
-        held = out.withColumnsRenamed({c: f"__{c}" for c in before})
-        schema = T.StructType(held.schema.fields + kinds.fields)
-        out = arrow_map(held, _scan(sent, text_col), schema)
-        if before:
-            out = _merged(out)
-    return out
-
-
-def _merged(df: DataFrame) -> DataFrame:
-    """The results of one more block of phrases put together with those before it."""
-    spans = F.array_sort(F.concat("__spans", "spans"))
-    start = F.array().cast("array<struct<first: long, end: long>>")
-
-    def grow(acc, x):
-        top = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1),
-                          F.array(F.struct(top["first"].alias("first"), F.greatest(top["end"], x["end"]).alias("end"))))
-        return F.when(F.size(acc) == 0, F.array(x)).when(x["first"] <= top["end"], joined).otherwise(
-            F.concat(acc, F.array(x)))
-
-    df = df.withColumn("spans", F.aggregate(spans, start, grow))
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["first"])
-    df = df.withColumn("n_hit", hit).withColumn("items", F.array_sort(F.array_union("__items", "items")))
-    return df.drop(*[f"__{c}" for c in RESULTS])
+        if phrases.groups:
+            vocab, shortest = np.union1d(vocab, phrases.vocab), min(shortest, phrases.shortest)
+            sent.append(send(docs.sparkSession, phrases))
+    schema = T.StructType(docs.schema.fields + kinds.fields)
+    return arrow_map(docs, _scan(send(docs.sparkSession, vocab), sent, shortest, text_col), schema)

@@ -48,8 +48,12 @@ def send(spark: SparkSession, model):
         return spark.sparkContext.broadcast(cloudpickle.dumps(model))
 
 
-def received(sent):
-    return pickle.loads(sent.value)
+def received(sent, keep: bool = True):
+    """The object sent. Without ``keep`` its bytes leave the task's memory again and are read anew next time."""
+    model = pickle.loads(sent.value)
+    if not keep and getattr(sent, "_path", None):
+        sent.__dict__.pop("_value", None)
+    return model
 
 
 def shared_table(df: DataFrame, name: str, small: bool = False) -> DataFrame:
