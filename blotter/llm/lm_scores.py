@@ -3,10 +3,14 @@
 Both models are bigram models with Dirichlet smoothing over one vocabulary: all
 words that occur ``MIN_COUNT`` times or more in the background; any other word is
 one unknown word. Words and bigrams are counted exactly over all texts of both
-sides, however many there are. The counts of the larger side are scaled to the
-tokens of the smaller, so that the models match: neither is sharper only because
-it has seen more text. A text's score is the mean over its tokens of target loss
-minus background loss (in nats): the lower, the closer to the target.
+sides, however many there are. A bigram falls back on its side's unigrams, and
+these, by a fixed share, on the unigrams of both sides together, so that a word
+that one side lacks costs the same whatever the vocabulary's size; unigrams are
+never flattened. The bigram counts of the larger side are scaled to the tokens of the
+smaller, so that the models match: neither is sharper only because it has seen more
+text. A text of a side is scored by that side's counts without its own (one row's),
+so texts inside and outside a side compare. A text's score is the mean over its
+tokens of target loss minus background loss (in nats): the lower, the closer to the target.
 
 1. A task packs its texts into runs of about ``RUN_TOKENS`` tokens, each with its
    distinct words, and writes them.
@@ -17,11 +21,12 @@ minus background loss (in nats): the lower, the closer to the target.
 
 No task or driver holds a model; parts and runs have a size of their own, and their
 number grows with the tokens. A very common word or bigram is one entry for
-each run. Texts get their losses by their MD5 digest.
+each run. Texts get their losses by their MD5 digest, very frequent texts (and null ones) over several tasks.
 
 Rows: a null, empty or wordless text has no tokens, null losses and a null
 score. Rows are scored one by one, repeated ones alike; columns named like a
-result are replaced. Empty tables give uniform models.
+result are replaced. Empty tables give uniform models. Texts are known to be in a side
+if ``docs`` is that side's DataFrame; in another one they count as texts outside it.
 """
 
 from __future__ import annotations
@@ -34,15 +39,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import salted_join
 from .shared import arrow_groups, arrow_map, parts_for, shared_table
 from .text import ALNUM, LOWER, chunks, mix64, span_hash, words
 
 MIN_COUNT = 2
 PRIOR = 50.0             # weight of the unigram model, in tokens
+SHARED = 0.2             # share of the unigrams of both sides together in either side's unigram model
+UNIFORM = 0.01           # share of the uniform distribution in those
 RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
 RUN_TOKENS = 2_000_000   # tokens (and texts) of a run
 PART_TOKENS = 2_000_000  # tokens behind one part of the words or bigrams
 LEAST_PARTS = 12
+HOT_TASKS = 256          # tasks at most for the rows of one very frequent text
 
 _TARGET, _BACKGROUND, _SCORED = 1, 2, 4   # what a run's texts are for
 _OTHER, _START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -140,6 +149,7 @@ def _gathered(keys: np.ndarray, found: list[tuple[int, bytes]], parts: int, rows
 class _Run:
     """The unpacked payload of a run."""
 
+    role: int
     words: np.ndarray
     sizes: np.ndarray
     toks: np.ndarray
@@ -147,7 +157,7 @@ class _Run:
     @classmethod
     def read(cls, r: dict) -> _Run:
         sizes = np.frombuffer(r["sizes"], np.int64)
-        return cls(np.frombuffer(r["words"], np.uint64), sizes, _unpacked(r["toks"], int(sizes.sum()), 1)[0])
+        return cls(r["role"], np.frombuffer(r["words"], np.uint64), sizes, _unpacked(r["toks"], int(sizes.sum()), 1)[0])
 
     def starts(self) -> np.ndarray:
         """Places of the texts' first tokens."""
@@ -245,13 +255,37 @@ class Totals:
     texts: tuple[int, int]
     other: tuple[tuple[int, int], tuple[int, int]]
 
-    def losses(self, side: int, mine: _Run, known: np.ndarray, total: np.ndarray, pair: np.ndarray) -> np.ndarray:
-        """Of every token; ``total``: tokens and histories of the words, ``pair``: of each token's bigram."""
+    def losses(self, side: int, mine: _Run, known: np.ndarray, total: np.ndarray, pair: np.ndarray, same: np.ndarray) -> np.ndarray:
+        """Of every token; ``total``: tokens and histories of the words by side, ``pair``: of the bigrams by side,
+        ``same``: each token's bigram."""
+        inside = [bool(mine.role & role) for role in (_TARGET, _BACKGROUND)]
+        words = len(mine.words)
+        doc = np.repeat(np.arange(len(mine.sizes)), mine.sizes)
+        size = mine.sizes[doc]
+        word = np.append(np.where(known, np.arange(words), words), words + 1)  # all unknown words are one; a text's start
+        tok, before = word[mine.toks], word[mine.before()]
+        tokens = [np.append(np.where(known, total[2 * s], 0), self.other[s][0])[tok] for s in (0, 1)]
+        history = np.append(np.where(known, total[2 * side + 1], 0), [self.other[side][1], self.texts[side]])[before]
+        every = [np.full(len(tok), n) for n in self.tokens]
+        pair = pair[side][same]
+        if any(inside):  # a text is no part of the models that score it
+            own = _own(doc, tok)
+            for s in np.flatnonzero(inside):
+                tokens[s], every[s] = tokens[s] - own, every[s] - size
+        if inside[side]:
+            history, pair = history - _own(doc, before), pair - _own(doc, same)
+        both = every[0] + every[1]
+        unigram = UNIFORM / self.size + (1 - UNIFORM) * (tokens[0] + tokens[1]) / np.maximum(both, 1)
+        unigram = np.where(both > 0, unigram, 1 / self.size)
+        unigram = np.where(every[side] > 0, (1 - SHARED) * tokens[side] / np.maximum(every[side], 1) + SHARED * unigram, unigram)
         scale = min(self.tokens) / self.tokens[side] if self.tokens[side] else 1.0
-        token, history = (np.where(known, total[i], self.other[side][i]) * scale for i in (0, 1))
-        unigram = (token + 1) / (self.tokens[side] * scale + self.size)
-        history = np.append(history, self.texts[side] * scale)[mine.before()]
-        return -np.log((pair * scale + PRIOR * unigram[mine.toks]) / (history + PRIOR))
+        return -np.log((pair * scale + PRIOR * unigram) / (history * scale + PRIOR))
+
+
+def _own(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How often each value stands in its own text."""
+    _, same, n = np.unique(doc * (int(value.max(initial=0)) + 1) + value, return_inverse=True, return_counts=True)
+    return n[same]
 
 
 def _scored(parts: int, totals: Totals):
@@ -263,7 +297,7 @@ def _scored(parts: int, totals: Totals):
         doc = np.repeat(np.arange(len(mine.sizes)), mine.sizes)
         means = []
         for side in (0, 1):
-            loss = totals.losses(side, mine, known, total[2 * side:2 * side + 2], pair[side][same])
+            loss = totals.losses(side, mine, known, total, pair, same)
             mean = np.bincount(doc, loss, len(mine.sizes)) / np.maximum(1, mine.sizes)
             means.append(pa.array(mean, mask=mine.sizes == 0))
         digests = [r["digests"][i:i + 16] for i in range(0, len(r["digests"]), 16)]
@@ -312,7 +346,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, text_
     dealt = arrow_map(runs, _word_deals(parts), _DEALT)
     word = shared_table(arrow_groups(dealt, "part", _answers(True), _FOUND), "lm-words")
     stats = word.filter("run = -1").agg(*(F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(5))).first()
-    totals = Totals(stats[0] + 2, side("tokens"), side("texts"), ((stats[1], stats[2]), (stats[3], stats[4])))
+    totals = Totals(stats[0] + 1, side("tokens"), side("texts"), ((stats[1], stats[2]), (stats[3], stats[4])))
 
     dealt = arrow_groups(_by_run(runs, word=word), "run", _bigram_deals(parts), _DEALT)
     pair = arrow_groups(dealt, "part", _answers(False), _FOUND)
@@ -323,6 +357,7 @@ def score_texts(docs: DataFrame, target: DataFrame, background: DataFrame, text_
 
     docs = docs.drop(*RESULTS)
     keyed = docs.withColumn("__digest", _digest(text_col))
-    return keyed.join(losses.withColumnRenamed("digest", "__digest"), "__digest").select(
+    found = salted_join(keyed, losses.withColumnRenamed("digest", "__digest"), "__digest", buckets=HOT_TASKS)
+    return found.select(
         *docs.columns, *(F.col(f"__{c}").alias(name) for c, name in zip(("n", "one", "two"), RESULTS)),
         (F.col("__one") - F.col("__two")).alias(RESULTS[3]))
