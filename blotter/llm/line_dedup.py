@@ -7,8 +7,11 @@ the keys that ``min_docs`` or more documents hold. ``insert`` and ``delete``
 change both, so removing a document takes its lines' counts back, and a line may
 return to the documents that still hold it.
 
-``apply`` probes the filters while it scans the texts, so that only likely hits
-(and about one in a thousand others) leave the scan; the exact counts decide.
+``apply`` probes the filters, so that only likely hits (and about one in a
+thousand others) go on; the exact counts decide. Filters of up to
+``BROADCAST_BYTES`` go to the tasks that scan the texts; above that, the keys go to
+their shard and are probed there. Keys with more than a shard's share of all
+reference counts are spread over several tasks, by those counts.
 
 Rows: a null or empty text is one empty line and stays so (null becomes empty);
 blank keys are never dropped. Rows with equal ids are one document for the
@@ -32,7 +35,8 @@ from .text import mix64
 
 MIN_DOCS = 10
 SHARD_BYTES = 64 << 20          # text bytes behind one shard
-BROADCAST_BYTES = 64 << 20      # filters above this size are not sent to the tasks
+BROADCAST_BYTES = 64 << 20      # filters above this size are not sent: the keys go to them
+HOT_PARTS = (64, 1 << 20)       # a key is hot above one such part of all counts: as many as shards, within these
 _SLOTS = 4
 _KICKS = 200
 _KEYS = "__line_keys"
@@ -191,6 +195,22 @@ def _update(key, batches):
                                      ["shard", "filter"])
 
 
+def _probe(key, batches):
+    """The keys of one shard that its filters may hold; hot keys (in groups below 0) are known and go on as they are."""
+    names = ["id", "hi", "lo", "lane"]
+    chain, held = None, []
+    for batch in batches:
+        keys = batch.filter(batch.column("hi").is_valid())
+        for raw in batch.column("filter").drop_null():
+            chain = CuckooChain.from_bytes(raw.as_py())
+        if key[0].as_py() < 0:
+            yield keys.select(names)
+        else:
+            held.append(keys)  # a shard's keys wait for its filters
+    for keys in held if chain else ():
+        yield keys.filter(pa.array(chain.contains(np.asarray(keys.column("hi")).view(np.uint64)))).select(names)
+
+
 class LineIndex:
     """The lines of a changing corpus. ``path`` must be in a folder that all executors share.
 
@@ -277,17 +297,44 @@ class LineIndex:
         return self.spark.read.schema(_FILTER).parquet(f"{self.path}/filters-{self.version}")
 
     def _sent_filters(self):
-        """The filters for all tasks, if they are small enough to send; else None and every key is looked up."""
+        """The filters for all tasks, if they are small enough to send; else None."""
         size = self.filters().agg(F.sum(F.octet_length("filter"))).first()[0] or 0
         if size > BROADCAST_BYTES:
             return None
         return self.spark.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in self.filters().collect()})
 
+    def _lanes(self):
+        """How many tasks share a key, by its count: one for each part of all counts that it fills."""
+        total = None
+        if self.logs:
+            log = self.spark.read.schema(_CHANGES).parquet(*[f"{self.path}/{name}" for name in self.logs])
+            total = log.agg(F.sum("docs")).first()[0]
+        parts = min(max(self.shards, HOT_PARTS[0]), HOT_PARTS[1])
+        return F.ceil(F.col("docs") * parts / F.lit(float(total or 1))).cast("int"), parts
+
+    def _likely(self, docs: DataFrame, hot: DataFrame, parts: int) -> DataFrame:
+        """(id, hi, lo, lane) of the keys that the filters may hold."""
+        sent = self._sent_filters()
+        keys = self._keys(docs, sent).join(F.broadcast(hot), ["hi", "lo"], "left")  # fewer than ``parts`` rows
+        keys = keys.withColumn("lane", F.coalesce(F.pmod(F.xxhash64("id"), "lanes"), F.lit(0)).cast("int"))
+        if sent is not None:
+            return keys.select("id", "hi", "lo", "lane")
+        known = -1 - F.pmod(F.xxhash64("hi", "lo", "lane"), F.lit(parts))
+        shard = F.when(F.col("lanes").isNotNull(), known).otherwise(F.pmod("lo", F.lit(self.shards))).cast("int")
+        rows = keys.select(shard.alias("shard"), "id", "hi", "lo", "lane").unionByName(
+            self.filters(), allowMissingColumns=True)
+        kind = docs.schema[self.id_col].dataType
+        schema = T.StructType().add("id", kind).add("hi", "long").add("lo", "long").add("lane", "integer")
+        return arrow_groups(rows, "shard", _probe, schema)
+
     def apply(self, docs: DataFrame) -> DataFrame:
         """``docs`` without the lines that too many documents hold, with ``n_lines`` and ``n_dropped``."""
         docs = docs.drop("n_lines", "n_dropped")
-        likely = self._keys(docs, self._sent_filters())
-        sure = likely.join(self.blocked().select("hi", "lo"), ["hi", "lo"], "left_semi")
+        lanes, parts = self._lanes()
+        blocked = self.blocked().select("hi", "lo", lanes.alias("lanes"))
+        copies = blocked.select("hi", "lo", F.explode(F.sequence(F.lit(0), F.col("lanes") - 1)).alias("lane"))
+        likely = self._likely(docs, blocked.filter("lanes > 1"), parts)
+        sure = likely.join(copies, ["hi", "lo", "lane"], "left_semi")
         keys = sure.groupBy("id").agg(F.collect_set(F.struct("hi", "lo")).alias(_KEYS))
         joined = docs.join(keys, docs[self.id_col].eqNullSafe(keys["id"]), "left").drop(keys["id"])
         schema = T.StructType([f if f.name != self.text_col else T.StructField(f.name, T.StringType())

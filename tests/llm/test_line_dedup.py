@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from blotter.llm import line_dedup as L
 from blotter.session import scratch_path
@@ -72,6 +73,37 @@ def test_cuckoo_chain_grows_and_forgets():
     assert not any((t > 0).any() for t in again.tables)
 
 
-def test_without_sent_filters_the_exact_counts_decide_alone(edge, monkeypatch):
+@pytest.mark.parametrize("n", [2, 3, 10])
+def test_filters_too_large_to_send_are_probed_by_shard(edge, monkeypatch, n):
     monkeypatch.setattr(L, "BROADCAST_BYTES", -1)
-    assert _rows(L.line_dedup(edge, min_docs=2)) == _want(edge_rows(), 2)
+    assert _rows(L.line_dedup(edge, min_docs=n)) == _want(edge_rows(), n)
+
+
+@pytest.mark.parametrize("sent", [64 << 20, -1])
+def test_hot_lines_are_spread(spark, monkeypatch, sent):
+    monkeypatch.setattr(L, "BROADCAST_BYTES", sent)
+    rng = random.Random(4)
+    rows = [(i, "\n".join(["In every text"] + [f"line {rng.randrange(900)}" for _ in range(3)])) for i in range(400)]
+    rows += [(None, "in every text\nline 1"), (None, "in every text"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    index = L.LineIndex(spark, scratch_path(spark, "test-hot"), min_docs=3, shards=5)
+    index.insert(docs)
+    lanes, parts = index._lanes()
+    hot = index.blocked().select("hi", "lo", lanes.alias("lanes")).filter("lanes > 1")
+    assert [r["lanes"] for r in hot.collect()] and hot.count() < parts
+    likely = index._likely(docs, hot, parts)
+    assert likely.groupBy("hi", "lo").agg({"lane": "max"}).filter("`max(lane)` > 5").count() == 1
+    assert _rows(index.apply(docs)) == _want(rows, 3)
+
+
+def test_the_filters_decide_what_is_looked_up(spark, monkeypatch):
+    rows = [(i, f"a\nb\nc\nown {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = L.LineIndex(spark, scratch_path(spark, "test-filters"), min_docs=10, shards=5)
+    index.insert(docs)
+    for sent in (64 << 20, -1):
+        monkeypatch.setattr(L, "BROADCAST_BYTES", sent)
+        none = index.blocked().select("hi", "lo").limit(0).withColumn("lanes", F.lit(2))
+        likely = index._likely(docs, none, 64)
+        assert likely.count() < 160  # 150 references to three keys of 200
+        assert likely.join(index.blocked(), ["hi", "lo"], "left_semi").count() == 150
