@@ -49,6 +49,7 @@ SHARED = 0.2             # share of the unigrams of both sides together in eithe
 UNIFORM = 0.01           # share of the uniform distribution in those
 RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
 RUN_TOKENS = 2_000_000   # tokens (and texts) of a run
+SCORED_TOKENS = 250_000  # tokens of a run whose losses are worked out at once (or one longer text)
 PART_TOKENS = 2_000_000  # tokens behind one part of the words or bigrams
 LEAST_PARTS = 12
 HOT_TASKS = 256          # tasks at most for the rows of one very frequent text
@@ -255,31 +256,44 @@ class Totals:
     texts: tuple[int, int]
     other: tuple[tuple[int, int], tuple[int, int]]
 
-    def losses(self, side: int, mine: _Run, known: np.ndarray, total: np.ndarray, pair: np.ndarray, same: np.ndarray) -> np.ndarray:
-        """Of every token; ``total``: tokens and histories of the words by side, ``pair``: of the bigrams by side,
-        ``same``: each token's bigram."""
-        inside = [bool(mine.role & role) for role in (_TARGET, _BACKGROUND)]
-        words = len(mine.words)
-        doc = np.repeat(np.arange(len(mine.sizes)), mine.sizes)
-        size = mine.sizes[doc]
-        word = np.append(np.where(known, np.arange(words), words), words + 1)  # all unknown words are one; a text's start
+    def losses(self, mine: _Run, known: np.ndarray, total: np.ndarray, pair: np.ndarray, same: np.ndarray):
+        """Mean losses of each text by both sides, some texts at a time; ``total``: tokens and histories of the words by
+        side, ``pair``: of the bigrams by side, ``same``: each token's bigram."""
+        n = len(mine.words)
+        word = np.append(np.where(known, np.arange(n), n), n + 1)  # all unknown words are one; a text's start is the last
+        tokens = [np.append(np.where(known, total[2 * s], 0), self.other[s][0]) for s in (0, 1)]
+        history = [np.append(np.where(known, total[2 * s + 1], 0), [self.other[s][1], self.texts[s]]) for s in (0, 1)]
         tok, before = word[mine.toks], word[mine.before()]
-        tokens = [np.append(np.where(known, total[2 * s], 0), self.other[s][0])[tok] for s in (0, 1)]
-        history = np.append(np.where(known, total[2 * side + 1], 0), [self.other[side][1], self.texts[side]])[before]
-        every = [np.full(len(tok), n) for n in self.tokens]
-        pair = pair[side][same]
+        cuts = np.concatenate([[0], np.cumsum(mine.sizes)])
+        out = np.zeros((2, len(mine.sizes)))
+        lo = 0
+        while lo < len(mine.sizes):
+            hi = max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + SCORED_TOKENS, "right")) - 1)
+            at = slice(cuts[lo], cuts[hi])
+            doc = np.repeat(np.arange(hi - lo), mine.sizes[lo:hi])
+            seen = [(tokens[s][tok[at]], history[s][before[at]], pair[s][same[at]]) for s in (0, 1)]
+            loss = list(self._by_token(mine.role, doc, mine.sizes[lo:hi], (tok[at], before[at], same[at]), seen))
+            for s in (0, 1):
+                out[s, lo:hi] = np.bincount(doc, loss[s], hi - lo) / np.maximum(1, mine.sizes[lo:hi])
+            lo = hi
+        return out
+
+    def _by_token(self, role: int, doc: np.ndarray, sizes: np.ndarray, names: tuple, seen: list[tuple]):
+        """Losses by both sides of the tokens of some texts; ``seen``: counts of each token's word, history and bigram."""
+        inside = [bool(role & r) for r in (_TARGET, _BACKGROUND)]
+        every = [np.full(len(doc), n) for n in self.tokens]
         if any(inside):  # a text is no part of the models that score it
-            own = _own(doc, tok)
+            own = [_own(doc, name) for name in names]
             for s in np.flatnonzero(inside):
-                tokens[s], every[s] = tokens[s] - own, every[s] - size
-        if inside[side]:
-            history, pair = history - _own(doc, before), pair - _own(doc, same)
+                seen[s] = tuple(n - mine for n, mine in zip(seen[s], own))
+                every[s] = every[s] - sizes[doc]
         both = every[0] + every[1]
-        unigram = UNIFORM / self.size + (1 - UNIFORM) * (tokens[0] + tokens[1]) / np.maximum(both, 1)
-        unigram = np.where(both > 0, unigram, 1 / self.size)
-        unigram = np.where(every[side] > 0, (1 - SHARED) * tokens[side] / np.maximum(every[side], 1) + SHARED * unigram, unigram)
-        scale = min(self.tokens) / self.tokens[side] if self.tokens[side] else 1.0
-        return -np.log((pair * scale + PRIOR * unigram) / (history * scale + PRIOR))
+        base = UNIFORM / self.size + (1 - UNIFORM) * (seen[0][0] + seen[1][0]) / np.maximum(both, 1)
+        base = np.where(both > 0, base, 1 / self.size)
+        for s, (token, history, pair) in enumerate(seen):
+            unigram = np.where(every[s] > 0, (1 - SHARED) * token / np.maximum(every[s], 1) + SHARED * base, base)
+            scale = min(self.tokens) / self.tokens[s] if self.tokens[s] else 1.0
+            yield -np.log((pair * scale + PRIOR * unigram) / (history * scale + PRIOR))
 
 
 def _own(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -294,12 +308,7 @@ def _scored(parts: int, totals: Totals):
         known = total[2] >= MIN_COUNT
         keys, same = np.unique(mine.bigrams(known), return_inverse=True)
         pair = _gathered(keys, found, parts, 2)
-        doc = np.repeat(np.arange(len(mine.sizes)), mine.sizes)
-        means = []
-        for side in (0, 1):
-            loss = totals.losses(side, mine, known, total, pair, same)
-            mean = np.bincount(doc, loss, len(mine.sizes)) / np.maximum(1, mine.sizes)
-            means.append(pa.array(mean, mask=mine.sizes == 0))
+        means = [pa.array(mean, mask=mine.sizes == 0) for mean in totals.losses(mine, known, total, pair, same)]
         digests = [r["digests"][i:i + 16] for i in range(0, len(r["digests"]), 16)]
         yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(mine.sizes), *means], _names(_LOSSES))
 

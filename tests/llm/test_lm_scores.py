@@ -47,7 +47,9 @@ def _losses(text, models, vocab, inside=(False, False)):
     return out
 
 
-def test_against_plain_models(spark):
+@pytest.mark.parametrize("at_once", [250_000, 70])
+def test_against_plain_models(spark, monkeypatch, at_once):
+    monkeypatch.setattr(S, "SCORED_TOKENS", at_once)
     rng = random.Random(12)
     rows = [(i, " ".join(prose(rng, rng.randrange(60), 50))) for i in range(80)] + [(90, None), (91, "rare once"), (92, "")]
     target = [(i, " ".join(prose(rng, 30, 12))) for i in range(10)]
